@@ -384,10 +384,24 @@ def context_per_query(queries: DataFrame, hits: DataFrame, query_id: str = "quer
     )
 
 
-def with_attachments(hits: DataFrame, attachments: DataFrame, query_id: str = "query_id") -> DataFrame:
-    """Index hits plus attached texts; a request's attachments come before its hits."""
-    both = attachments.withColumn("origin", F.lit("attachment")).unionByName(
-        hits.withColumn("origin", F.lit("index")), allowMissingColumns=True
-    )
-    order = Window.partitionBy(query_id).orderBy(F.col("origin") != "attachment", "rank")
-    return both.withColumn("position", F.row_number().over(order))
+def with_attachments(hits: DataFrame, attachments: DataFrame) -> DataFrame:
+    """Index hits plus attached texts. ``priority`` puts a request's attachments (0) before its hits (1);
+    ``rank`` orders each kind. No group is gathered, so any number of attachments is fine."""
+    first = attachments.withColumns({"origin": F.lit("attachment"), "priority": F.lit(0)})
+    second = hits.withColumns({"origin": F.lit("index"), "priority": F.lit(1)})
+    return first.unionByName(second, allowMissingColumns=True)
+
+
+FETCH_BROADCAST_ROWS = 500_000
+
+
+def fetch(hits: DataFrame, table: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """Hits joined with their rows of ``table``.
+
+    The hits are materialised and counted first: below the bound they go to the table, which then
+    is read once and not shuffled; above it both sides shuffle on the key.
+    """
+    hits = cut_lineage(hits)
+    if hits.count() <= FETCH_BROADCAST_ROWS:
+        return table.join(F.broadcast(hits), key)
+    return hits.join(table, key)
