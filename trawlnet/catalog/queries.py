@@ -11,7 +11,7 @@ from trawlnet.catalog.tables import Tables, derived_sql
 from trawlnet.functions import keys, text
 from trawlnet.operators import chat, chunk, embed, ops, retrieve, runs, search, state
 from trawlnet.plans import answer
-from trawlnet.session import cut_lineage
+from trawlnet.session import cut_lineage, ship_package
 from trawlnet.sources import collection
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,7 +23,12 @@ def query(sql: str | None = None, name: str | None = None):
 
     def add(fn: Callable[[Tables], DataFrame]):
         key = name or fn.__name__
-        QUERIES[key] = lambda spark, folder: fn(Tables(spark, folder))
+
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship_package(spark)
+            return fn(Tables(spark, folder))
+
+        QUERIES[key] = run
         if sql:
             ORACLES[key] = sql
         return fn
