@@ -1,9 +1,11 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from trawlnet.functions import text as T
+from trawlnet.functions.words import coded_words, drop_tags
 
 SEPARATORS = ["\n", "\r", "\r\n", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", " ", " "]
 
@@ -53,8 +55,11 @@ def test_extension(spark, name, expected):
     assert evaluate(spark, [name], lambda c: T.has_extension(c, (".py", ".md", ".ts", ".js"))) == [expected]
 
 
-def test_tokens(spark):
-    assert evaluate(spark, ["Ab, c_d É9!", "", "--", None], T.tokens) == [["ab", "c", "d", "é9"], [], [], None]
+def test_words():
+    rows, codes, words = coded_words(pa.array(["Ab, c_d É9!", "", "--", None, " ab"]))
+    assert [(r, words[c]) for r, c in zip(rows.tolist(), codes.tolist())] == [(0, "ab"), (0, "c"), (0, "d"), (0, "é9"), (4, "ab")]
+    assert [len(x) for x in coded_words(pa.array([], pa.string()))] == [0, 0, 0]
+    assert drop_tags(pa.array(["<a\nb>x<c>", None])).to_pylist() == [" x ", None]
 
 
 def test_first_non_empty(spark):

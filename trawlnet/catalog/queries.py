@@ -179,7 +179,7 @@ def request_ids(t: Tables) -> DataFrame:
 
 
 def _stored(t: Tables, size: int, kind: str) -> DataFrame:
-    docs = t("documents").select("doc_id", "source", "text")
+    docs = t.spread("documents", "doc_id", "source", "text")
     chunks = chunk.chunk_lines(docs, size=size, keep=["doc_id", "source"])
     return chunks.select(
         F.concat(F.lit("code_"), F.coalesce("source", F.lit(""))).alias("collection_id"),

@@ -41,10 +41,11 @@ def with_ordinal(df: DataFrame, order_by: Sequence[str], name: str = "ordinal")
 
     A range sort places whole key ranges in partitions; the sorted rows are checkpointed so that
     the sizes and the numbering see one and the same layout. Only one size per partition reaches
-    the driver. Pass narrow rows: keys, not texts.
+    the driver. Pass narrow rows, keys without texts: they are checkpointed before the sort too,
+    because a range sort reads its input twice and making the keys may mean reading all texts.
     """
     spark = df.sparkSession
-    placed = cut_lineage(df.orderBy(*order_by).withColumn("_slot", F.monotonically_increasing_id()))
+    placed = cut_lineage(cut_lineage(df).orderBy(*order_by).withColumn("_slot", F.monotonically_increasing_id()))
     partition = F.shiftright("_slot", 33)
     within = F.col("_slot").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = {r["p"]: r["n"] for r in placed.groupBy(partition.alias("p")).agg(F.count("*").alias("n")).collect()}

@@ -12,9 +12,7 @@ LINE_ENDS = ("\r\n", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", "\u20
 # Fixed patterns. The JVM's whitespace class under (?U) plus U+001C..U+001F is what Python strips.
 NON_BLANK = r"(?U)[^\s\x1c-\x1f]"
 STRIP = r"(?U)\A[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
-TOKEN_SEP = r"[^\p{L}\p{N}]+"
 TITLE = r"(?is)<title>(.*?)</title>"
-TAG = r"(?s)<[^>]*>"
 URL_PATH = r"^[a-z]+://[^/]*/([^?#]*)"
 
 
@@ -53,11 +51,6 @@ def split_lines(text: Column) -> Column:
     return F.slice(raw, 1, n_lines(raw))
 
 
-def tokens(text: Column) -> Column:
-    """Lower-case runs of letters and digits."""
-    return F.filter(F.split(F.lower(text), TOKEN_SEP, -1), lambda t: t != "")
-
-
 def basename(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
-from trawlnet.functions.text import tokens
+from trawlnet.functions.words import coded_words
 
 VECTOR = ArrayType(FloatType())
 HASH_DIM = 64
@@ -47,7 +47,11 @@ def unpack_reply(reply: dict | Sequence, expected: int) -> Sequence:
 
 
 def function_embedder(name: str, dim: int, fn: Callable[[list[str]], dict | Sequence]) -> Embedder:
-    """Wrap a batch function; Arrow batches bound each call. ``fn`` must be safe to repeat on task retry."""
+    """Wrap a batch function; Arrow batches bound each call. ``fn`` must be safe to repeat on task retry.
+
+    The column is marked non-deterministic, as is the hashing one, so that Spark computes it once
+    where it stands instead of again inside every filter it would push below it.
+    """
 
     @F.pandas_udf(VECTOR)
     def call(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -59,36 +63,33 @@ def function_embedder(name: str, dim: int, fn: Callable[[list[str]], dict | Sequ
                     raise ValueError(f"embedder {name} returned a vector of size {len(v)}, not {dim}")
             yield pd.Series([np.asarray(v, dtype="float32") for v in vectors], index=batch.index, dtype=object)
 
-    return Embedder(name, dim, call)
+    return Embedder(name, dim, call.asNondeterministic())
 
 
 def token_bucket(token: str, dim: int) -> int:
     return int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % dim
 
 
-def hash_vectors(token_lists: pa.ListArray, dim: int) -> np.ndarray:
-    """Count tokens per hash bucket and scale each row to unit length; a row without tokens stays zero."""
-    n = len(token_lists)
-    counts = np.zeros((n, dim))
-    words = token_lists.flatten().dictionary_encode()  # so each distinct word is hashed once per batch
-    if len(words):
-        buckets = np.array([token_bucket(w, dim) for w in words.dictionary.to_pylist()])
-        rows = np.repeat(np.arange(n), token_lists.value_lengths().fill_null(0).to_numpy())
-        cells = rows * dim + buckets[words.indices.to_numpy()]
-        counts = np.bincount(cells, minlength=n * dim).reshape(n, dim).astype("float64")
+def hash_vectors(texts: pa.Array, dim: int) -> np.ndarray:
+    """Count words per hash bucket and scale each row to unit length; a text without words stays zero."""
+    rows, codes, words = coded_words(texts)
+    buckets = np.array([token_bucket(w, dim) for w in words], dtype=np.int64)  # each distinct word once per batch
+    counts = np.bincount(rows * dim + buckets[codes], minlength=len(texts) * dim).astype("float64")
+    counts = counts.reshape(len(texts), dim)
     norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
     return np.divide(counts, norms, out=np.zeros_like(counts), where=norms > 0)
 
 
 def hashing_embedder(dim: int = HASH_DIM) -> Embedder:
-    """Deterministic feature hashing: no model, no shuffle, equal for equal token multisets."""
+    """Deterministic feature hashing: no model, no shuffle, equal for equal word multisets."""
 
     @F.arrow_udf(VECTOR)
     def hashed(batch: pa.Array) -> pa.Array:
         vectors = hash_vectors(batch, dim).astype("float32")
-        return pa.array(list(vectors), type=pa.list_(pa.float32()))
+        offsets = np.arange(len(batch) + 1, dtype="int32") * dim
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(vectors.ravel()))
 
-    return Embedder(f"hash{dim}", dim, lambda text: hashed(tokens(text)))
+    return Embedder(f"hash{dim}", dim, hashed.asNondeterministic())
 
 
 _REGISTRY: dict[str, Embedder] = {}
@@ -125,7 +126,7 @@ def check_dimension(df: DataFrame, dim: int, vector_col: str = "embedding") -> D
 def bucket_weights(df: DataFrame, *keep: str, vector_col: str = "embedding") -> DataFrame:
     """Long form of the non-zero weights: ``keep..., bucket, weight``."""
     return (
-        df.select(*keep, F.posexplode(vector_col).alias("bucket", "_w"))
+        df.select(*keep, F.posexplode_outer(vector_col).alias("bucket", "_w"))
         .where("_w <> 0")
         .select(*keep, "bucket", F.round(F.col("_w").cast("double"), 6).alias("weight"))
     )

@@ -100,7 +100,7 @@ def _normalised(df: DataFrame, vector_col: str) -> DataFrame:
     def normalise(batch: pa.Array) -> pa.Array:
         return pa.array(list(unit_length(matrix(batch))), type=pa.list_(pa.float64()))
 
-    return df.withColumn(vector_col, normalise(vector_col))
+    return df.withColumn(vector_col, normalise.asNondeterministic()(vector_col))
 
 
 def rank_hits(hits: DataFrame, k: int, query_id: str, item_id: str, cost: str = "distance") -> DataFrame:
@@ -214,7 +214,7 @@ def _nearest_pivot(pivots: np.ndarray):
         radius = d[np.arange(len(d)), cell]
         return pa.StructArray.from_arrays([pa.array(cell.astype("int32")), pa.array(radius)], names=["cell", "radius"])
 
-    return nearest
+    return nearest.asNondeterministic()
 
 
 def _home_cells(d: np.ndarray, sizes: np.ndarray, k: int) -> np.ndarray:
@@ -237,7 +237,7 @@ def _first_cells(pivots, sizes, k):
     def cells(batch: pa.Array) -> pa.Array:
         return _cell_lists(_home_cells(_distances(matrix(batch), pivots), sizes, k))
 
-    return cells
+    return cells.asNondeterministic()
 
 
 def _later_cells(pivots, sizes, radii, k):
@@ -255,7 +255,7 @@ def _later_cells(pivots, sizes, radii, k):
         reachable = lower**2 <= bound.to_numpy()[:, None] + 1e-5
         return _cell_lists(reachable & (sizes > 0)[None, :] & ~_home_cells(d, sizes, k))
 
-    return cells
+    return cells.asNondeterministic()
 
 
 def block_join(visits, placed, sizes, *, k, query_id, item_id, vector_col, scope=None) -> DataFrame:

@@ -10,11 +10,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-from trawlnet.functions.text import TAG, TITLE, first_non_empty, tokens
+from trawlnet.functions.text import TITLE, first_non_empty
+from trawlnet.functions.words import coded_words, drop_tags
 from trawlnet.operators.retrieve import BROADCAST_BYTES, BROADCAST_ROWS, NO_RESULTS, rank_hits
 from trawlnet.operators.topk import DECIMALS, RunningTopK
+from trawlnet.session import cut_lineage
 
 # Fixed values.
 PROVIDER_A = "Tavily"
@@ -71,10 +73,6 @@ def page_title(html: Column) -> Column:
     return F.regexp_extract(html, TITLE, 1)
 
 
-def page_tokens(html: Column) -> Column:
-    return tokens(F.regexp_replace(html, TAG, " "))
-
-
 def search_pages(
     pages: DataFrame,
     queries: DataFrame,
@@ -92,70 +90,60 @@ def search_pages(
     ties go to the lower page id and pages scoring zero are no hits. Pages never move: a query
     block of proven small size goes to them, and a larger query set runs as several such blocks.
     """
-    words = pages.select(page_id, page_tokens(F.col(html)).alias("_words"))
-    asked = queries.select(query_id, F.array_distinct(tokens(F.col(query_text))).alias("_words"))
-    blocks = _score_blocks(words, asked, words.count(), k, page_id, query_id, max_queries)
+    texts = pages.select(page_id, F.col(html).alias("_html"))
+    asked = queries.select(query_id, F.col(query_text).alias("_asked"))
+    blocks = _score_blocks(texts, asked, pages.count(), k, page_id, query_id, max_queries)
     return rank_hits(blocks, k, query_id, page_id, cost="_cost").select(
         query_id, page_id, (-F.col("_cost")).alias("score"), "rank"
     )
 
 
-def _score_blocks(words, asked, n_pages, k, page_id, query_id, max_queries, depth=0) -> DataFrame:
+def _score_blocks(pages, asked, n_pages, k, page_id, query_id, max_queries, depth=0) -> DataFrame:
     head = asked.limit(max_queries + 1).toArrow()
     if head.num_rows <= max_queries and head.nbytes <= BROADCAST_BYTES:
-        return _score_block(words, head, asked.schema[query_id], n_pages, k, page_id, query_id)
+        return _score_block(pages, head, asked.schema[query_id], n_pages, k, page_id, query_id)
     n = max(2, math.ceil(2 * asked.count() / max_queries))
     block = F.pmod(F.xxhash64(F.lit(depth), F.col(query_id)), F.lit(n))
     return reduce(
         DataFrame.unionByName,
         [
-            _score_blocks(words, asked.where(block == b), n_pages, k, page_id, query_id, max_queries, depth + 1)
+            _score_blocks(pages, asked.where(block == b), n_pages, k, page_id, query_id, max_queries, depth + 1)
             for b in range(n)
         ],
     )
 
 
-def _score_block(words, head: pa.Table, query_field, n_pages, k, page_id, query_id) -> DataFrame:
-    spark = words.sparkSession
+def _score_block(pages, head: pa.Table, query_field, n_pages, k, page_id, query_id) -> DataFrame:
+    spark = pages.sparkSession
     ids = head[query_id].combine_chunks()
-    lists = head["_words"].combine_chunks()
-    flat = lists.flatten().dictionary_encode()
-    vocabulary = flat.dictionary.to_pylist()
-    owner = np.repeat(np.arange(len(ids)), lists.value_lengths().fill_null(0).to_numpy())
-    word_of = flat.indices.to_numpy()
-    by_word = np.argsort(word_of, kind="stable")
-    postings = owner[by_word]  # queries of word w sit at starts[w]:starts[w + 1]
+    owner, word_of, vocabulary = coded_words(head["_asked"].combine_chunks())
+    word_of, owner = np.unique(np.stack([word_of, owner]), axis=1).astype(np.int64)  # each word counts once per query
+    postings = owner  # queries of word w sit at starts[w]:starts[w + 1]
     starts = np.r_[0, np.cumsum(np.bincount(word_of, minlength=len(vocabulary)))]
 
-    known = spark.createDataFrame([(w,) for w in vocabulary], "word string")
-    # bounded by the words of one query block, which was size-checked above
-    counts = (
-        words.select(F.explode(F.array_distinct("_words")).alias("word"))
-        .join(F.broadcast(known), "word")
-        .groupBy("word")
-        .count()
-        .collect()
-    )
-    df = {r["word"]: r["count"] for r in counts}
-    idf = np.array([math.log(n_pages / df[w]) if w in df else 0.0 for w in vocabulary])
+    # texts are tokenised once; what is kept of a page is its counts of the words asked for
+    counted = cut_lineage(_count_words(pages, vocabulary, page_id))
+    df = np.zeros(len(vocabulary))
+    for r in counted.select(F.explode("word").alias("w")).groupBy("w").count().collect():  # at most the vocabulary
+        df[r["w"]] = r["count"]
+    idf = np.log(n_pages / np.maximum(df, 1))
     schema = StructType(
         [
             StructField(query_id, query_field.dataType),
-            StructField(page_id, words.schema[page_id].dataType),
+            StructField(page_id, pages.schema[page_id].dataType),
             StructField("_cost", DoubleType()),
         ]
     )
-    shared = spark.sparkContext.broadcast((ids, vocabulary, idf, starts, postings))
+    shared = spark.sparkContext.broadcast((ids, idf, starts, postings))
 
     def score(batches):
-        q_ids, vocab, weight, first, queries_of = shared.value
-        lookup = pd.Index(vocab)
+        q_ids, weight, first, queries_of = shared.value
         best = RunningTopK(len(q_ids), k)
         item_type = None
         for batch in batches:
             item_type = batch.schema.field(page_id).type
             page_ids = batch.column(page_id).to_numpy(zero_copy_only=False)
-            for rows, costs in _page_costs(batch.column("_words"), lookup, weight, first, queries_of, len(q_ids)):
+            for rows, costs in _page_costs(batch.column("word"), batch.column("tf"), weight, first, queries_of, len(q_ids)):
                 best.offer(lambda part, c=costs: c[part], len(rows), page_ids[rows])
         if best.ids is not None and len(best.rows):
             yield pa.RecordBatch.from_arrays(
@@ -163,24 +151,54 @@ def _score_block(words, head: pa.Table, query_field, n_pages, k, page_id, query_
                 names=schema.names,
             )
 
-    return words.mapInArrow(score, schema)
+    return counted.mapInArrow(score, schema)
+
+
+def _count_words(pages: DataFrame, vocabulary: list[str], page_id: str) -> DataFrame:
+    """``page_id, word, tf``: positions in the vocabulary and how often the page has each; no empty rows."""
+    schema = StructType(
+        [
+            pages.schema[page_id],
+            StructField("word", ArrayType(IntegerType())),
+            StructField("tf", ArrayType(IntegerType())),
+        ]
+    )
+    shared = pages.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def count(batches):
+        lookup = pd.Index(shared.value, dtype=object)
+        width = max(1, len(lookup))
+        for batch in batches:
+            row, code, words = coded_words(drop_tags(batch.column("_html")))
+            if not len(row):
+                continue
+            word = lookup.get_indexer(pd.Index(words, dtype=object))[code]
+            pairs, tf = np.unique(row[word >= 0] * width + word[word >= 0], return_counts=True)
+            row, word = np.divmod(pairs, width)
+            pages, sizes = np.unique(row, return_counts=True)
+            offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype("int32"))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(page_id).take(pa.array(pages)),
+                    pa.ListArray.from_arrays(offsets, pa.array(word.astype("int32"))),
+                    pa.ListArray.from_arrays(offsets, pa.array(tf.astype("int32"))),
+                ],
+                names=schema.names,
+            )
+
+    return pages.mapInArrow(count, schema)
 
 
 _SLICE_CELLS = 4_000_000
 
 
-def _page_costs(word_lists: pa.ListArray, lookup: pd.Index, idf, starts, postings, n_queries: int):
+def _page_costs(word_lists: pa.ListArray, tf_lists: pa.ListArray, idf, starts, postings, n_queries: int):
     """Negated rounded scores (query x page) of a few pages at a time; ``inf`` where nothing matches."""
     n = len(word_lists)
-    encoded = word_lists.flatten().dictionary_encode()
-    word = lookup.get_indexer(encoded.dictionary.to_pandas()) if len(encoded) else np.zeros(0, int)
-    word = word[encoded.indices.to_numpy()] if len(encoded) else word
-    row = np.repeat(np.arange(n), word_lists.value_lengths().fill_null(0).to_numpy())
-    row, word = row[word >= 0], word[word >= 0]
-    pair, tf = np.unique(row * max(1, len(lookup)) + word, return_counts=True)
-    row, word = np.divmod(pair, max(1, len(lookup)))
-    fan = (starts[1:] - starts[:-1])[word]
-    work = np.cumsum(np.bincount(row, weights=fan + 0.0, minlength=n) + n_queries)
+    word, tf = word_lists.flatten().to_numpy(), tf_lists.flatten().to_numpy()
+    row = np.repeat(np.arange(n), word_lists.value_lengths().to_numpy())
+    fan = (starts[1:] - starts[:-1])[word]  # queries that ask for each word
+    work = np.cumsum(np.bincount(row, weights=fan.astype(float), minlength=n) + n_queries)
     group = (work // _SLICE_CELLS).astype(int)
     for g in np.unique(group):
         rows = np.flatnonzero(group == g)
