@@ -10,10 +10,8 @@ def frame(spark, vectors, key, scope=None, first=0):
     return spark.createDataFrame(rows, f"{key} long, embedding array<float>, scope int").repartition(4)
 
 
-def brute_force(q, x, k, same_scope=False, metric="l2"):
+def brute_force(q, x, k, same_scope=False):
     q, x = (np.asarray(m, dtype="float32").astype("float64") for m in (q, x))
-    if metric == "cosine":
-        q, x = R.unit_length(q), R.unit_length(x)
     out = []
     for i, v in enumerate(q):
         d = np.round(((x - v) ** 2).sum(axis=1), 6)
@@ -58,15 +56,6 @@ def test_scope_limits_candidates(spark, small_blocks, bound):
     assert rows(got) == brute_force(q, x, 7, same_scope=True)
 
 
-@pytest.mark.parametrize("bound", [R.BROADCAST_ROWS, 10])
-def test_cosine(spark, bound):
-    x, q = skewed_vectors(150, 5), skewed_vectors(30, 6)
-    got = R.knn(frame(spark, q, "query_id"), frame(spark, x, "id"), 4, metric="cosine", broadcast_rows=bound)
-    expected = {(a, b): c / 2 for a, _, b, c in brute_force(q, x, 4, metric="cosine")}
-    assert {(r[0], r[2]) for r in rows(got)} == set(expected)
-    assert all(r[3] == pytest.approx(expected[r[0], r[2]], abs=1e-6) for r in rows(got))
-
-
 @pytest.mark.parametrize("bound", [R.BROADCAST_ROWS, 1])
 def test_fewer_items_than_k_and_none_at_all(spark, bound):
     q = frame(spark, [[0, 0], [1, 1], [2, 2]], "query_id")
@@ -79,8 +68,6 @@ def test_bad_arguments(spark):
     x = frame(spark, [[0, 1]], "id")
     with pytest.raises(ValueError):
         R.knn(frame(spark, [[0, 1]], "query_id"), x, 0)
-    with pytest.raises(ValueError):
-        R.knn(frame(spark, [[0, 1]], "query_id"), x, metric="dot")
     with pytest.raises(Exception):
         R.knn(frame(spark, [[0, 1, 2]], "query_id"), x).collect()
 

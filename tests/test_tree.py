@@ -3,8 +3,8 @@ import os
 import pytest
 
 from trawlnet.operators.embed import function_embedder
-from trawlnet.plans.answer import query_collection, rag_contexts
-from trawlnet.plans.ingest import ingest_project
+from trawlnet.plans.answer import query_collection, query_collections, rag_contexts
+from trawlnet.plans.ingest import ingest_project, store_documents
 from trawlnet.sources.collection import ParquetStore, ViewStore, open_store
 from trawlnet.sources.tree import scan_file, scan_tree
 
@@ -94,3 +94,22 @@ def test_session_store(spark, tree):
     assert store.read("code_proj").where("id like '%a.py:1'").count() == 1
     ingest_project(spark, str(tree), store, ids="content", mode="upsert")
     assert store.read("code_proj").count() == 9
+
+
+@pytest.mark.parametrize("path", [None, "store"])
+def test_documents_with_metadata(spark, tmp_path, path):
+    store = open_store(spark, path and str(tmp_path / path))
+    schema = "n int, document string, metadata map<string,string>"
+    texts = ["vector database", "web server", "test runner"]
+    a = spark.createDataFrame([(i, t, {"source": "s", "line": str(i)}) for i, t in enumerate(texts)], schema)
+    store_documents(a, "a", store, order_by=["n"])
+    store_documents(a.drop("metadata").where("n > 0"), "b", store, order_by=["n"])
+    queries = spark.createDataFrame([(1, "a", "vector database"), (2, "b", "vector database"), (3, "none", "x")], "query_id int, collection_id string, text string")
+    hits = query_collection(store, "a", queries.where("query_id = 1"), 3).orderBy("rank").collect()
+    assert len(hits) == 3 and (hits[0]["id"], hits[0]["metadata"], hits[0]["distance"]) == ("chunk_0", {"source": "s", "line": "0"}, 0.0)
+    assert query_collection(store, "b", queries.where("query_id = 2"), 5).count() == 2
+    both = query_collections(store, queries, 5).collect()
+    assert sorted((r["query_id"], r["collection_id"], r["id"]) for r in both) == [
+        (1, "a", "chunk_0"), (1, "a", "chunk_1"), (1, "a", "chunk_2"), (2, "b", "chunk_0"), (2, "b", "chunk_1"),
+    ]
+    assert {r["document"] for r in both if r["query_id"] == 2} == {"web server", "test runner"}

@@ -27,6 +27,8 @@ BROADCAST_BYTES = 64 << 20
 ITEM_BLOCK = 20_000
 QUERY_BLOCK = 4_096
 MAX_CELLS = 1024
+# Scope values that are worth an IN filter on the items.
+PRUNED_SCOPES = 1000
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -47,11 +49,6 @@ def plain(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False)
 
 
-def unit_length(x: np.ndarray) -> np.ndarray:
-    norms = np.sqrt((x * x).sum(axis=1, keepdims=True))
-    return np.divide(x, norms, out=np.zeros_like(x), where=norms > 0)
-
-
 def knn(
     queries: DataFrame,
     items: DataFrame,
@@ -61,33 +58,25 @@ def knn(
     item_id: str = "id",
     vector_col: str = "embedding",
     scope: str | None = None,
-    metric: str = "l2",
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """The ``k`` nearest items of every query: ``query_id, item_id, distance, rank``.
 
-    Exact for any input size. ``distance`` is squared L2 (or ``1 - cos``) to 6 decimals, and equal
-    distances rank by item id. With ``scope``, a query only meets items with the same value there.
+    Exact for any input size. ``distance`` is squared L2 to 6 decimals, and equal distances rank by
+    item id. With ``scope``, a query only meets items with the same value there.
     A query set of proven small size travels to the items, which then never move; a larger one
     is joined cell by cell with triangle-inequality pruning (``knn_partitioned``).
     """
     if k < 1:
         raise ValueError("k must be at least 1")
-    if metric not in ("l2", "cosine"):
-        raise ValueError(f"unknown metric {metric!r}")
     queries = _narrow(queries, query_id, vector_col, scope)
     items = _narrow(items, item_id, vector_col, scope)
-    if metric == "cosine":
-        queries, items = _normalised(queries, vector_col), _normalised(items, vector_col)
     head = queries.limit(broadcast_rows + 1).toArrow()
     if head.num_rows <= broadcast_rows and head.nbytes <= BROADCAST_BYTES:
         hits = _knn_broadcast(head, queries.schema[query_id], items, k, query_id, item_id, vector_col, scope)
     else:
         hits = knn_partitioned(queries, items, k, query_id, item_id, vector_col, scope)
-    ranked = rank_hits(hits, k, query_id, item_id)
-    if metric == "cosine":
-        ranked = ranked.withColumn("distance", F.round(F.col("distance") / 2, 6))
-    return ranked
+    return rank_hits(hits, k, query_id, item_id)
 
 
 def _narrow(df: DataFrame, key: str, vector_col: str, scope: str | None) -> DataFrame:
@@ -95,14 +84,6 @@ def _narrow(df: DataFrame, key: str, vector_col: str, scope: str | None) -> Data
     return df.select(*columns).where(F.col(vector_col).isNotNull())
 
 
-def _normalised(df: DataFrame, vector_col: str) -> DataFrame:
-    @F.arrow_udf("array<double>")
-    def normalise(batch: pa.Array) -> pa.Array:
-        return pa.array(list(unit_length(matrix(batch))), type=pa.list_(pa.float64()))
-
-    return df.withColumn(vector_col, normalise.asNondeterministic()(vector_col))
-
-
 def rank_hits(hits: DataFrame, k: int, query_id: str, item_id: str, cost: str = "distance") -> DataFrame:
     """Merge partial top-k lists. Spark keeps k per query in each partition before the shuffle."""
     order = Window.partitionBy(query_id).orderBy(cost, item_id)
@@ -126,7 +107,10 @@ def _knn_broadcast(head: pa.Table, query_field, items, k, query_id, item_id, vec
     vectors = matrix(head[vector_col])
     members: dict | None = None
     if scope:
-        members = {s: np.asarray(g) for s, g in pd.Series(plain(head[scope])).groupby(plain(head[scope])).groups.items()}
+        values = pd.Series(plain(head[scope]))
+        members = {value: np.asarray(rows) for value, rows in values.groupby(values).indices.items()}
+        if len(members) <= PRUNED_SCOPES:  # lets a table partitioned by the scope skip whole folders
+            items = items.where(F.col(scope).isin(values.dropna().unique().tolist()))
     shared = items.sparkSession.sparkContext.broadcast((ids, vectors, members))
 
     def score(batches):
@@ -164,6 +148,8 @@ def knn_partitioned(queries, items, k, query_id, item_id, vector_col, scope=None
     k items, which bounds each query's k-th distance; round two visits only cells that the
     triangle inequality cannot rule out. Only per-cell sizes and radii reach the driver.
     """
+    # both sides are read several times below, and may hold vectors that were costly to make
+    queries, items = cut_lineage(queries), cut_lineage(items)
     pivots = _pivots(items, vector_col)
     if not len(pivots):
         return items.sparkSession.createDataFrame([], _hit_schema(items, queries.schema[query_id], item_id))

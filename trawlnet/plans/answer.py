@@ -22,7 +22,6 @@ def search_chunks(
     document: str = "document",
     embedder: str | Embedder | None = None,
     scope: str | None = None,
-    metric: str = "l2",
 ) -> DataFrame:
     """Text in, ranked ids out: both sides embedded with one embedder, then the exact top-k join.
 
@@ -31,9 +30,10 @@ def search_chunks(
     chosen = resolve(embedder)
     if "embedding" not in chunks.columns:
         chunks = chosen.add(chunks, document)
-    return knn(
-        chosen.add(queries, query_text), chunks, k, query_id=query_id, item_id=item_id, scope=scope, metric=metric
-    )
+    return knn(chosen.add(queries, query_text), chunks, k, query_id=query_id, item_id=item_id, scope=scope)
+
+
+HIT_COLUMNS = ("rank", "id", "document", "metadata", "path", "start_line", "end_line", "distance")
 
 
 def query_collection(
@@ -44,15 +44,30 @@ def query_collection(
     *,
     query_id: str = "query_id",
     embedder: str | Embedder | None = None,
-    metric: str = "l2",
 ) -> DataFrame:
-    """``query_id, rank, id, document, metadata, path, start_line, end_line, distance`` within one collection."""
+    """``query_id`` and ``HIT_COLUMNS`` of every query's best chunks within one collection."""
     rows = store.read(collection_id)
     check_embedder(rows, resolve(embedder).name)
-    hits = search_chunks(queries, rows, k, query_id=query_id, embedder=embedder, metric=metric)
+    hits = search_chunks(queries, rows, k, query_id=query_id, embedder=embedder)
     # the top-k runs on ids and vectors; documents are fetched for the winners only
-    return fetch(hits, rows.drop("embedding", "embedder", "collection_id"), "id").select(
-        query_id, "rank", "id", "document", "metadata", "path", "start_line", "end_line", "distance"
+    return fetch(hits, rows.drop("embedding", "embedder", "collection_id"), "id").select(query_id, *HIT_COLUMNS)
+
+
+def query_collections(
+    store: ParquetStore | ViewStore,
+    queries: DataFrame,
+    k: int = DEFAULT_K,
+    *,
+    query_id: str = "query_id",
+    embedder: str | Embedder | None = None,
+) -> DataFrame:
+    """Like ``query_collection`` for queries that each name their own ``collection_id``, in one job."""
+    rows = store.read().join(queries.select("collection_id").distinct(), "collection_id", "left_semi")
+    check_embedder(rows, resolve(embedder).name)
+    hits = search_chunks(queries, rows, k, query_id=query_id, embedder=embedder, scope="collection_id")
+    placed = hits.join(queries.select(query_id, "collection_id"), query_id)
+    return fetch(placed, rows.drop("embedding", "embedder"), ["collection_id", "id"]).select(
+        query_id, "collection_id", *HIT_COLUMNS
     )
 
 

@@ -3,35 +3,55 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trawlnet.functions.keys import chunk_id, content_key, with_ordinal
 from trawlnet.operators.chunk import DEFAULT_CHUNK_LINES, chunk_lines
-from trawlnet.operators.embed import Embedder, resolve
+from trawlnet.operators.embed import Embedder, check_dimension, resolve
 from trawlnet.sources.collection import ParquetStore, ViewStore
 from trawlnet.sources.tree import EXTENSIONS, require_directory, scan_tree
 
 
-def with_chunk_ids(chunks: DataFrame, ids: str = "ordinal") -> DataFrame:
-    """Add ``id``: ``chunk_<n>`` in (path, start_line) order, or a key that follows the content's place."""
+def with_chunk_ids(rows: DataFrame, ids: str = "ordinal", order_by: Sequence[str] = ("path", "start_line")) -> DataFrame:
+    """Add ``id``: ``chunk_<n>`` by place in the unique order ``order_by``, or a key that follows the
+    content's place (``path:start_line``), which needs no sort and survives growth of other files."""
     if ids == "content":
-        return chunks.withColumn("id", content_key(F.col("path"), F.col("start_line")))
+        return rows.withColumn("id", content_key(F.col("path"), F.col("start_line")))
     if ids != "ordinal":
         raise ValueError(f"unknown id scheme {ids!r}")
     # only keys are sorted and checkpointed; texts meet their number in one join on a unique key
-    numbered = with_ordinal(chunks.select("path", "start_line"), ["path", "start_line"])
-    numbered = numbered.select(
-        F.col("path").alias("_path"), F.col("start_line").alias("_line"), chunk_id(F.col("ordinal")).alias("id")
-    )
-    same = (F.col("path") == F.col("_path")) & F.col("start_line").eqNullSafe(F.col("_line"))
-    return chunks.join(numbered, same).drop("_path", "_line")
+    numbered = with_ordinal(rows.select(*order_by), order_by)
+    numbered = numbered.select(*[F.col(c).alias(f"_{c}") for c in order_by], chunk_id(F.col("ordinal")).alias("id"))
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in order_by])
+    return rows.join(numbered, same).drop(*[f"_{c}" for c in order_by])
 
 
-def embed_chunks(chunks: DataFrame, embedder: str | Embedder | None = None) -> DataFrame:
+def embed_chunks(chunks: DataFrame, embedder: str | Embedder | None = None, text_col: str = "text") -> DataFrame:
     chosen = resolve(embedder)
-    return chosen.add(chunks).withColumn("embedder", F.lit(chosen.name))
+    return check_dimension(chosen.add(chunks, text_col), chosen.dim).withColumn("embedder", F.lit(chosen.name))
+
+
+def store_rows(rows: DataFrame, collection_id: str, store: ParquetStore | ViewStore, mode: str = "insert_missing") -> None:
+    if mode not in ("insert_missing", "upsert"):
+        raise ValueError(f"unknown write mode {mode!r}")
+    getattr(store, mode)(rows.withColumn("collection_id", F.lit(collection_id)))
+
+
+def store_documents(
+    documents: DataFrame,
+    collection_id: str,
+    store: ParquetStore | ViewStore,
+    *,
+    order_by: Sequence[str],
+    embedder: str | Embedder | None = None,
+    mode: str = "insert_missing",
+) -> None:
+    """Number, embed and store ready-made texts: ``document``, any order columns, optional ``metadata``."""
+    rows = embed_chunks(with_chunk_ids(documents, order_by=order_by), embedder, "document")
+    store_rows(rows, collection_id, store, mode)
 
 
 def ingest_texts(
@@ -48,14 +68,8 @@ def ingest_texts(
     chunks = chunk_lines(texts, size=size)
     if chunks.isEmpty():
         return
-    rows = embed_chunks(with_chunk_ids(chunks, ids), embedder).withColumn("collection_id", F.lit(collection_id))
-    rows = rows.withColumnRenamed("text", "document")
-    if mode == "insert_missing":
-        store.insert_missing(rows)
-    elif mode == "upsert":
-        store.upsert(rows)
-    else:
-        raise ValueError(f"unknown write mode {mode!r}")
+    rows = embed_chunks(with_chunk_ids(chunks, ids), embedder).withColumnRenamed("text", "document")
+    store_rows(rows, collection_id, store, mode)
 
 
 def ingest_project(

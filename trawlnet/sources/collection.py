@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType, IntegerType, MapType, StringType, StructField, StructType
 
+from trawlnet.session import cut_lineage
+
 COLLECTION_SCHEMA = StructType(
     [
         StructField("collection_id", StringType()),
@@ -67,7 +69,7 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: list[str] = KEY) -> Da
 
 
 class ViewStore:
-    """Collections in this session only, behind a temp view."""
+    """Collections in this session only, behind a temp view of materialised rows."""
 
     def __init__(self, spark: SparkSession, view: str = "collections"):
         self.spark, self.view = spark, view
@@ -79,10 +81,10 @@ class ViewStore:
         return rows if collection_id is None else rows.where(F.col("collection_id") == collection_id)
 
     def insert_missing(self, rows: DataFrame) -> None:
-        insert_missing(self.read(), conform(rows)).createOrReplaceTempView(self.view)
+        cut_lineage(insert_missing(self.read(), conform(rows))).createOrReplaceTempView(self.view)
 
     def upsert(self, rows: DataFrame) -> None:
-        upsert(self.read(), conform(rows)).createOrReplaceTempView(self.view)
+        cut_lineage(upsert(self.read(), conform(rows))).createOrReplaceTempView(self.view)
 
 
 class ParquetStore:
