@@ -74,9 +74,12 @@ def knn(
     head = queries.limit(broadcast_rows + 1).toArrow()
     if head.num_rows <= broadcast_rows and head.nbytes <= BROADCAST_BYTES:
         hits = _knn_broadcast(head, queries.schema[query_id], items, k, query_id, item_id, vector_col, scope)
-    else:
-        hits = knn_partitioned(queries, items, k, query_id, item_id, vector_col, scope)
-    return rank_hits(hits, k, query_id, item_id)
+        return rank_hits(hits, k, query_id, item_id)
+
+    def join(q: DataFrame, x: DataFrame) -> DataFrame:
+        return knn_partitioned(q, x, k, query_id, item_id, vector_col, scope)
+
+    return once_per_vector(queries, items, k, query_id, item_id, vector_col, scope, join)
 
 
 def _narrow(df: DataFrame, key: str, vector_col: str, scope: str | None) -> DataFrame:
@@ -138,6 +141,25 @@ def _knn_broadcast(head: pa.Table, query_field, items, k, query_id, item_id, vec
     return items.mapInArrow(score, schema)
 
 
+def once_per_vector(queries, items, k, query_id, item_id, vector_col, scope, join) -> DataFrame:
+    """Run ``join`` on distinct vectors, then hand each answer to all queries with that vector.
+
+    Copies of one text have one vector, and any number of copies may exist. Of items with equal
+    vectors only the k lowest ids can be hits, and Spark drops the others before the shuffle;
+    queries with equal vectors share one answer. The result is the same as without this step.
+    """
+    same = [vector_col] + ([scope] if scope else [])
+    lowest = Window.partitionBy(*same).orderBy(item_id)
+    items = items.withColumn("_copy", F.row_number().over(lowest)).where(F.col("_copy") <= k).drop("_copy")
+    askers = queries.groupBy(*same).agg(F.min(query_id).alias(query_id))
+    # both are read several times by the join, and may hold vectors that were costly to make
+    askers, items = cut_lineage(askers), cut_lineage(items)
+    hits = rank_hits(join(askers, items), k, query_id, item_id)
+    lists = hits.groupBy(query_id).agg(F.collect_list(F.struct(item_id, "distance", "rank")).alias("_hits"))  # k each
+    answers = askers.join(lists, query_id).drop(query_id)
+    return queries.join(answers, same).select(query_id, F.inline("_hits"))
+
+
 # --- partitioned exact join ------------------------------------------------------------------
 
 
@@ -148,8 +170,6 @@ def knn_partitioned(queries, items, k, query_id, item_id, vector_col, scope=None
     k items, which bounds each query's k-th distance; round two visits only cells that the
     triangle inequality cannot rule out. Only per-cell sizes and radii reach the driver.
     """
-    # both sides are read several times below, and may hold vectors that were costly to make
-    queries, items = cut_lineage(queries), cut_lineage(items)
     pivots = _pivots(items, vector_col)
     if not len(pivots):
         return items.sparkSession.createDataFrame([], _hit_schema(items, queries.schema[query_id], item_id))
@@ -328,14 +348,18 @@ def knn_approximate(
         return _narrow(df, key, vector_col, None).withColumn("_v", array_to_vector(F.col(vector_col).cast("array<double>")))
 
     model = lsh.fit(as_vectors(items, item_id).limit(1))  # random directions: only the dimension is read
-    placed = in_cells(items, item_id)
-    sizes = np.zeros(tables * cells_per_table, dtype=np.int64)
-    for r in placed.groupBy("cell").count().collect():  # at most tables * cells_per_table rows
-        sizes[r["cell"]] = r["count"]
-    hits = block_join(
-        in_cells(queries, query_id), placed, sizes, k=k, query_id=query_id, item_id=item_id, vector_col=vector_col
-    )
-    return rank_hits(hits.dropDuplicates([query_id, item_id]), k, query_id, item_id)
+    def join(q: DataFrame, x: DataFrame) -> DataFrame:
+        placed = in_cells(x, item_id)
+        sizes = np.zeros(tables * cells_per_table, dtype=np.int64)
+        for r in placed.groupBy("cell").count().collect():  # at most tables * cells_per_table rows
+            sizes[r["cell"]] = r["count"]
+        hits = block_join(
+            in_cells(q, query_id), placed, sizes, k=k, query_id=query_id, item_id=item_id, vector_col=vector_col
+        )
+        return hits.dropDuplicates([query_id, item_id])
+
+    narrow = (_narrow(queries, query_id, vector_col, None), _narrow(items, item_id, vector_col, None))
+    return once_per_vector(*narrow, k, query_id, item_id, vector_col, None, join)
 
 
 def recall(found: DataFrame, truth: DataFrame, query_id: str = "query_id", item_id: str = "id") -> DataFrame:

@@ -37,7 +37,7 @@ def embed_chunks(chunks: DataFrame, embedder: str | Embedder | None = None, text
 def store_rows(rows: DataFrame, collection_id: str, store: ParquetStore | ViewStore, mode: str = "insert_missing") -> None:
     if mode not in ("insert_missing", "upsert"):
         raise ValueError(f"unknown write mode {mode!r}")
-    getattr(store, mode)(rows.withColumn("collection_id", F.lit(collection_id)))
+    getattr(store, mode)(rows.withColumn("collection_id", F.lit(collection_id)), collection_id)
 
 
 def store_documents(

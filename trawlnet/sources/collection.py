@@ -80,10 +80,10 @@ class ViewStore:
         rows = self.spark.table(self.view)
         return rows if collection_id is None else rows.where(F.col("collection_id") == collection_id)
 
-    def insert_missing(self, rows: DataFrame) -> None:
+    def insert_missing(self, rows: DataFrame, collection_id: str | None = None) -> None:
         cut_lineage(insert_missing(self.read(), conform(rows))).createOrReplaceTempView(self.view)
 
-    def upsert(self, rows: DataFrame) -> None:
+    def upsert(self, rows: DataFrame, collection_id: str | None = None) -> None:
         cut_lineage(upsert(self.read(), conform(rows))).createOrReplaceTempView(self.view)
 
 
@@ -107,17 +107,21 @@ class ParquetStore:
             rows = rows.select(*COLLECTION_SCHEMA.names)
         return rows if collection_id is None else rows.where(F.col("collection_id") == collection_id)
 
-    def insert_missing(self, rows: DataFrame) -> None:
-        self._write(missing_rows(self.read(), conform(rows)), "add")
+    def insert_missing(self, rows: DataFrame, collection_id: str | None = None) -> None:
+        """``collection_id`` says that all rows belong to it, so only its folders are compared with."""
+        self._write(missing_rows(self.read(collection_id), conform(rows)), "add")
 
-    def upsert(self, rows: DataFrame) -> None:
-        incoming = conform(rows)
-        touched = self.read().join(incoming.select("collection_id").distinct(), "collection_id", "left_semi")
+    def upsert(self, rows: DataFrame, collection_id: str | None = None) -> None:
+        incoming, touched = conform(rows), self.read(collection_id)
+        if collection_id is None:
+            touched = touched.join(incoming.select("collection_id").distinct(), "collection_id", "left_semi")
         self._write(upsert(touched, incoming), "set")
 
     def _write(self, rows: DataFrame, kind: str) -> None:
         number = max((n for n, _, _ in self._folders()), default=0) + 1
-        rows.write.partitionBy("collection_id").parquet(f"{self.root}/batch={number:06d}-{kind}")
+        # AQE splits a large collection over tasks and packs small ones together, so files are neither
+        # one per task and collection nor one per collection
+        rows.hint("rebalance", "collection_id").write.partitionBy("collection_id").parquet(f"{self.root}/batch={number:06d}-{kind}")
 
     def _folders(self) -> list[tuple[int, str, str]]:
         """(number, kind, path) of every write in order, finished or not."""

@@ -25,6 +25,11 @@ EXTENSIONS = (".py", ".md", ".ts", ".js")
 _ENTRY = "path string, is_dir boolean, size long"
 _BATCH_ROWS = 10_000
 _BATCH_BYTES = 32 << 20
+_TASK_BYTES = 64 << 20
+
+
+def _width(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
 
 
 def require_directory(path: str) -> str:
@@ -48,7 +53,7 @@ def list_tree(spark: SparkSession, root: str) -> DataFrame:
         frontier = level.where("is_dir").select("path")
         if frontier.isEmpty():
             break
-        frontier = frontier.repartition("path")
+        frontier = frontier.repartition(_width(spark), "path")
     return reduce(DataFrame.unionByName, files)
 
 
@@ -113,7 +118,10 @@ def _contents(paths, contents) -> pa.RecordBatch:
 def scan_tree(spark: SparkSession, root: str, extensions: Sequence[str] = EXTENSIONS) -> DataFrame:
     """``path, text`` of the tree's files with a listed extension; other files are never opened."""
     wanted = list_tree(spark, root).where(has_extension(basename(F.col("path")), extensions))
-    spread = wanted.repartition("path")  # one directory may hold most files
+    held = wanted.agg(F.sum("size")).first()[0] or 0
+    # one directory may hold most files; the explicit number keeps AQE from merging tasks by the
+    # size of the paths when it is the contents that count
+    spread = wanted.repartition(max(_width(spark), held // _TASK_BYTES), "path")
     return read_files(spread).select("path", decode_utf8(F.col("content")).alias("text"))
 
 
