@@ -138,7 +138,7 @@ def _score_block(pages, head: pa.Table, query_field, n_pages, k, page_id, query_
 
     def score(batches):
         q_ids, weight, first, queries_of = shared.value
-        best = RunningTopK(len(q_ids), k)
+        best = RunningTopK(len(q_ids), k, floor=-math.inf)
         item_type = None
         for batch in batches:
             item_type = batch.schema.field(page_id).type

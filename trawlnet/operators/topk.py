@@ -5,22 +5,32 @@ from __future__ import annotations
 import numpy as np
 
 DECIMALS = 6
-_BLOCK_CELLS = 4_000_000  # 32 MB of float64 scores at a time
+_ROUNDING_ROOM = 1e-6
+_BLOCK_CELLS = 1_000_000  # 8 MB of float64 scores at a time
 
 
-def pick(costs: np.ndarray, ids: np.ndarray, k: int, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Positions of the k lowest ``(cost, id)`` per row at or below ``cut``: (row, column, cost).
+def pick(
+    costs: np.ndarray, ids: np.ndarray, k: int, cut: np.ndarray, floor: float
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions of the k lowest ``(rounded cost, id)`` per row at or below ``cut``: (row, column, cost).
 
     ``inf`` means "not a candidate". Ties at the k-th cost go to the lower id, so any split of
-    the rows into blocks merges to the same answer.
+    the rows into blocks merges to the same answer. Only what may survive is rounded.
     """
     if costs.shape[1] > k and not np.isfinite(cut).all():
-        cut = np.minimum(cut, np.partition(costs, k - 1, axis=1)[:, k - 1])
-    rows, cols = np.nonzero((costs <= cut[:, None]) & np.isfinite(costs))
-    values = costs[rows, cols]
+        cut = np.minimum(cut, _rounded(np.partition(costs, k - 1, axis=1)[:, k - 1], floor))
+    flat = np.flatnonzero(costs <= (cut + _ROUNDING_ROOM)[:, None])
+    values = _rounded(costs.ravel()[flat], floor)
+    rows, cols = np.divmod(flat, costs.shape[1])
+    kept = (values <= cut[rows]) & np.isfinite(values)
+    rows, cols, values = rows[kept], cols[kept], values[kept]
     return keep_k(rows, cols, values, ids[cols], k)
 
 
+def _rounded(costs: np.ndarray, floor: float) -> np.ndarray:
+    return np.round(np.maximum(costs, floor), DECIMALS)
+
+
 def keep_k(rows, cols, values, ids, k):
     _, id_rank = np.unique(ids, return_inverse=True)
     order = np.lexsort((id_rank, values, rows))
@@ -32,10 +42,13 @@ def keep_k(rows, cols, values, ids, k):
 
 
 class RunningTopK:
-    """Keeps the best k per query over any number of batches in O(queries * k) memory."""
+    """Keeps the best k per query over any number of batches in O(queries * k) memory.
+
+    ``floor`` is the least possible cost; float noise below it is lifted to it.
+    """
 
-    def __init__(self, n_queries: int, k: int):
-        self.k = k
+    def __init__(self, n_queries: int, k: int, floor: float = 0.0):
+        self.k, self.floor = k, floor
         self.rows = np.zeros(0, dtype=np.int64)
         self.ids = None
         self.costs = np.zeros(0)
@@ -48,7 +61,7 @@ class RunningTopK:
         found = []
         for start in range(0, len(members), step):
             part = members[start : start + step]
-            rows, cols, values = pick(score_block(part), ids, self.k, self.cut[part])
+            rows, cols, values = pick(score_block(part), ids, self.k, self.cut[part], self.floor)
             found.append((part[rows], ids[cols], values))
         if not found:
             return
@@ -63,5 +76,8 @@ class RunningTopK:
 
 
 def squared_distances(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    d = (q * q).sum(axis=1)[:, None] + (x * x).sum(axis=1)[None, :] - 2.0 * (q @ x.T)
-    return np.round(np.maximum(d, 0.0), DECIMALS)
+    d = q @ x.T
+    d *= -2.0
+    d += (q * q).sum(axis=1)[:, None]
+    d += (x * x).sum(axis=1)[None, :]
+    return d
