@@ -49,6 +49,8 @@ def test_format_b_keeps_five(spark):
         ((None, None, '{"organic":[]}', None), NONE),
         ((None, None, None, "boom"), "Serper search failed: boom"),
         ((None, None, None, None), S.NO_PROVIDER),
+        (("{broken", None, '{"organic":[]}', None), "Tavily search failed: malformed response"),
+        ((None, None, "", None), "Serper search failed: malformed response"),
     ],
 )
 def test_precedence(spark, row, expected):

@@ -48,7 +48,7 @@ def test_decode_replaces_bad_bytes(spark):
     "name,expected",
     [
         ("a.py", True), ("C.PY", True), ("a..py", True), ("__init__.py", True), (".b.py", True), ("x.d.ts", True),
-        (".py", False), ("..py", False), ("a", False), ("a.", False), ("a.py.txt", False), ("x.tsx", False),
+        (".py", False), ("..py", False), ("a", False), ("a.", False), ("a.py.txt", False), ("x.tsx", False), ("a.py\n", False), ("...py", False), ("x\ny.py", True),
     ],
 )
 def test_extension(spark, name, expected):

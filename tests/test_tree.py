@@ -20,6 +20,8 @@ def tree(tmp_path):
         path.parent.mkdir(parents=True, exist_ok=True)
         path.write_text("" if name == "empty.py" else f"first {name}\nsecond\n")
     (root / "bad.md").write_bytes(b"ok \xff\nline")
+    with open(os.fsencode(root) + b"/n\xff.js", "w") as f:
+        f.write("odd name")
     os.symlink(root / "sub", root / "link_dir")
     os.symlink(root / "a.py", root / "link.py")
     os.symlink(root / "gone", root / "broken.py")
@@ -28,7 +30,7 @@ def tree(tmp_path):
 
 def test_scan_reads_exactly_the_wanted_files(spark, tree):
     rows = {os.path.relpath(r["path"], tree): r["text"] for r in scan_tree(spark, str(tree)).collect()}
-    assert sorted(rows) == sorted(READ + ["bad.md", "link.py"])
+    assert sorted(rows) == sorted(READ + ["bad.md", "link.py", "n\ufffd.js"])
     assert rows["bad.md"] == "ok �\nline"
     assert rows["sub/C.PY"] == "first sub/C.PY\nsecond\n"
 
@@ -49,14 +51,14 @@ def test_ingest_then_query(spark, tree, tmp_path):
     assert isinstance(store, ParquetStore)
     ingest_project(spark, str(tree), store)
     rows = store.read("code_proj").orderBy("id").collect()
-    assert len(rows) == 9  # ten files, one of them empty
-    assert {r["id"] for r in rows} == {f"chunk_{i}" for i in range(9)}
+    assert len(rows) == 10  # eleven files, one of them empty
+    assert {r["id"] for r in rows} == {f"chunk_{i}" for i in range(10)}
     by_number = sorted(rows, key=lambda r: int(r["id"].split("_")[1]))
     assert [r["path"] for r in by_number] == sorted(r["path"] for r in rows)
     assert all(len(r["embedding"]) == 64 and r["embedder"] == "hash64" for r in rows)
 
     ingest_project(spark, str(tree), store)  # same ids: nothing is added
-    assert store.read("code_proj").count() == 9
+    assert store.read("code_proj").count() == 10
 
     queries = spark.createDataFrame([(1, "first a.py second"), (2, "bad ok line")], "query_id int, text string")
     hits = query_collection(store, "code_proj", queries, 3)
@@ -93,7 +95,7 @@ def test_session_store(spark, tree):
     ingest_project(spark, str(tree), store, ids="content")
     assert store.read("code_proj").where("id like '%a.py:1'").count() == 1
     ingest_project(spark, str(tree), store, ids="content", mode="upsert")
-    assert store.read("code_proj").count() == 9
+    assert store.read("code_proj").count() == 10
 
 
 @pytest.mark.parametrize("path", [None, "store"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -57,8 +58,8 @@ def basename(path: Column) -> Column:
 
 def has_extension(name: Column, extensions: Sequence[str]) -> Column:
     """Whether a file name ends in one of ``extensions``; a leading-dot name alone has none."""
-    alternatives = "|".join(e.lstrip(".") for e in extensions)
-    return name.rlike(rf"(?is)^\.*[^.].*\.({alternatives})$")
+    alternatives = "|".join(re.escape(e.lstrip(".")) for e in extensions)
+    return name.rlike(rf"(?is)\A\.*[^.].*\.({alternatives})\z")
 
 
 def first_non_empty(*options: Column | str) -> Column:

@@ -23,6 +23,7 @@ PROVIDER_A = "Tavily"
 PROVIDER_B = "Serper"
 NO_PROVIDER = "Search result (no API key configured). Use TAVILY_API_KEY or SERPER_API_KEY for live search."
 PROVIDER_B_HITS = 5
+MALFORMED = "malformed response"
 SCHEMA_A = "results array<struct<title string, url string, content string>>, answer string"
 SCHEMA_B = "organic array<struct<title string, link string, snippet string>>"
 
@@ -57,15 +58,15 @@ def format_response_b(payload: Column) -> Column:
 def search_text(payload_a: Column, error_a: Column, payload_b: Column, error_b: Column) -> Column:
     """Provider A's answer or failure if it was asked, else provider B's, else the fixed notice."""
 
-    def failed(provider: str, error: Column) -> Column:
-        return F.concat(F.lit(f"{provider} search failed: "), error)
+    def asked(provider: str, error: Column, payload: Column, text: Column) -> Column:
+        broken = F.when(payload.isNotNull() & F.try_parse_json(payload).isNull(), F.lit(MALFORMED))
+        failure = F.concat(F.lit(f"{provider} search failed: "), F.coalesce(error, broken))
+        return F.coalesce(failure, F.when(payload.isNotNull(), text))
 
-    return (
-        F.when(error_a.isNotNull(), failed(PROVIDER_A, error_a))
-        .when(payload_a.isNotNull(), format_response_a(payload_a))
-        .when(error_b.isNotNull(), failed(PROVIDER_B, error_b))
-        .when(payload_b.isNotNull(), format_response_b(payload_b))
-        .otherwise(NO_PROVIDER)
+    return F.coalesce(
+        asked(PROVIDER_A, error_a, payload_a, format_response_a(payload_a)),
+        asked(PROVIDER_B, error_b, payload_b, format_response_b(payload_b)),
+        F.lit(NO_PROVIDER),
     )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from trawlnet.functions.keys import chunk_id, content_key, with_ordinal
 from trawlnet.operators.chunk import DEFAULT_CHUNK_LINES, chunk_lines
 from trawlnet.operators.embed import Embedder, check_dimension, resolve
+from trawlnet.session import cut_lineage
 from trawlnet.sources.collection import ParquetStore, ViewStore
 from trawlnet.sources.tree import EXTENSIONS, require_directory, scan_tree
 
@@ -66,6 +67,9 @@ def ingest_texts(
 ) -> None:
     """Chunk, number, embed and store rows of ``path, text``. Nothing is written when no chunk is left."""
     chunks = chunk_lines(texts, size=size)
+    if ids == "ordinal":
+        # numbering and storing both read the chunks, and must see the same ones even if files change
+        chunks = cut_lineage(chunks)
     if chunks.isEmpty():
         return
     rows = embed_chunks(with_chunk_ids(chunks, ids), embedder).withColumnRenamed("text", "document")

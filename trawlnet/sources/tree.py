@@ -22,7 +22,8 @@ from trawlnet.session import cut_lineage
 # Fixed value: the file types that are indexed by default.
 EXTENSIONS = (".py", ".md", ".ts", ".js")
 
-_ENTRY = "path string, is_dir boolean, size long"
+# File names are bytes: one that is not UTF-8 must neither fail the job nor be lost.
+_ENTRY = "raw binary, is_dir boolean, size long"
 _BATCH_ROWS = 10_000
 _BATCH_BYTES = 32 << 20
 _TASK_BYTES = 64 << 20
@@ -40,34 +41,35 @@ def require_directory(path: str) -> str:
 
 
 def list_tree(spark: SparkSession, root: str) -> DataFrame:
-    """``path, size`` of every file below ``root``; empty when it is not a directory.
+    """``path, raw, size`` of every file below ``root``; empty when it is not a directory. ``raw`` is the
+    path as bytes, ``path`` its readable form.
 
     One Spark job per directory level, so neither the driver nor one task holds the whole tree.
     Hidden directories are entered; links to directories are not followed.
     """
     files = []
-    frontier = spark.createDataFrame([(str(PurePath(root)),)], "path string")
+    frontier = spark.createDataFrame([(os.fsencode(PurePath(root)),)], "raw binary")
     while True:
         level = cut_lineage(frontier.mapInArrow(_scan_directories, _ENTRY))
-        files.append(level.where(~F.col("is_dir")).select("path", "size"))
-        frontier = level.where("is_dir").select("path")
+        files.append(level.where(~F.col("is_dir")).select(decode_utf8(F.col("raw")).alias("path"), "raw", "size"))
+        frontier = level.where("is_dir").select("raw")
         if frontier.isEmpty():
             break
-        frontier = frontier.repartition(_width(spark), "path")
+        frontier = frontier.repartition(_width(spark), "raw")
     return reduce(DataFrame.unionByName, files)
 
 
 def _scan_directories(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows: list[tuple[str, bool, int]] = []
+    rows: list[tuple[bytes, bool, int]] = []
     for batch in batches:
-        for directory in batch.column("path").to_pylist():
+        for directory in batch.column("raw").to_pylist():
             try:
                 entries = os.scandir(directory)
             except OSError:
                 continue
             with entries:
                 for entry in entries:
-                    path = entry.name if directory == "." else entry.path
+                    path = entry.name if directory == b"." else entry.path
                     if entry.is_dir(follow_symlinks=False):
                         rows.append((path, True, 0))
                     elif entry.is_file():
@@ -81,20 +83,21 @@ def _scan_directories(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 def _entries(rows) -> pa.RecordBatch:
     columns = list(zip(*rows)) or [(), (), ()]
     return pa.RecordBatch.from_arrays(
-        [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.bool_()), pa.array(columns[2], pa.int64())],
-        names=["path", "is_dir", "size"],
+        [pa.array(columns[0], pa.binary()), pa.array(columns[1], pa.bool_()), pa.array(columns[2], pa.int64())],
+        names=["raw", "is_dir", "size"],
     )
 
 
 def read_files(files: DataFrame) -> DataFrame:
     """``path, content`` of the listed files; unreadable ones yield nothing."""
-    return files.select("path").mapInArrow(_read, "path string, content binary")
+    content = files.select("raw").mapInArrow(_read, "raw binary, content binary")
+    return content.select(decode_utf8(F.col("raw")).alias("path"), "content")
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     paths, contents, held = [], [], 0
     for batch in batches:
-        for path in batch.column("path").to_pylist():
+        for path in batch.column("raw").to_pylist():
             try:
                 with open(path, "rb") as f:
                     content = f.read()
@@ -111,7 +114,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _contents(paths, contents) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(paths, pa.string()), pa.array(contents, pa.binary())], names=["path", "content"]
+        [pa.array(paths, pa.binary()), pa.array(contents, pa.binary())], names=["raw", "content"]
     )
 
 
@@ -121,11 +124,11 @@ def scan_tree(spark: SparkSession, root: str, extensions: Sequence[str] = EXTENS
     held = wanted.agg(F.sum("size")).first()[0] or 0
     # one directory may hold most files; the explicit number keeps AQE from merging tasks by the
     # size of the paths when it is the contents that count
-    spread = wanted.repartition(max(_width(spark), held // _TASK_BYTES), "path")
+    spread = wanted.repartition(max(_width(spark), held // _TASK_BYTES), "raw")
     return read_files(spread).select("path", decode_utf8(F.col("content")).alias("text"))
 
 
 def scan_file(spark: SparkSession, path: str) -> DataFrame:
     """``path, text`` of one file, whatever its extension; no row when it cannot be read."""
-    one = spark.createDataFrame([(str(PurePath(path)),)], "path string")
+    one = spark.createDataFrame([(os.fsencode(PurePath(path)),)], "raw binary")
     return read_files(one).select("path", decode_utf8(F.col("content")).alias("text"))
