@@ -38,6 +38,7 @@ def skewed_vectors(n, seed, dim=6):
 def small_blocks(monkeypatch):
     monkeypatch.setattr(R, "ITEM_BLOCK", 40)
     monkeypatch.setattr(R, "QUERY_BLOCK", 25)
+    monkeypatch.setattr(R, "_SLICE_ROWS", 7)
 
 
 @pytest.mark.parametrize("bound", [R.BROADCAST_ROWS, 10])

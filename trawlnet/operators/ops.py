@@ -15,6 +15,7 @@ MAX_PROBES = 3
 OPTIONAL_CHECKS = ("store", "llm")
 EXCLUDED_ROUTES = ("/metrics",)
 LATENCY_BOUNDS = (0.1, 0.5, 1.0)
+RUN_EVENT = "crew_run_summary"
 
 
 def probe_rollup(probes: DataFrame) -> DataFrame:
@@ -59,7 +60,7 @@ def route_metrics(
     )
 
 
-def run_outcomes(logs: DataFrame, event: str = "crew_run_summary") -> DataFrame:
+def run_outcomes(logs: DataFrame, event: str = RUN_EVENT) -> DataFrame:
     """Runs per outcome with mean and longest duration and mean step count, from summary log records."""
     return (
         logs.where(F.col("event") == event)

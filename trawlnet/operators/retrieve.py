@@ -212,13 +212,27 @@ def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(d, 0.0))
 
 
+_SLICE_ROWS = 1024
+
+
+def _slices(batch: pa.Array):
+    """A vector batch in pieces, so that a piece-by-pivot matrix stays at a few megabytes."""
+    x = matrix(batch)
+    for start in range(0, max(1, len(x)), _SLICE_ROWS):
+        yield slice(start, start + _SLICE_ROWS), x[start : start + _SLICE_ROWS]
+
+
 def _nearest_pivot(pivots: np.ndarray):
     @F.arrow_udf("cell int, radius double")
     def nearest(batch: pa.Array) -> pa.Array:
-        d = _distances(matrix(batch), pivots)
-        cell = d.argmin(axis=1)
-        radius = d[np.arange(len(d)), cell]
-        return pa.StructArray.from_arrays([pa.array(cell.astype("int32")), pa.array(radius)], names=["cell", "radius"])
+        cells, radii = [], []
+        for _, x in _slices(batch):
+            d = _distances(x, pivots) if len(x) else np.zeros((0, len(pivots)))
+            cells.append(d.argmin(axis=1).astype("int32"))
+            radii.append(d.min(axis=1))
+        return pa.StructArray.from_arrays(
+            [pa.array(np.concatenate(cells)), pa.array(np.concatenate(radii))], names=["cell", "radius"]
+        )
 
     return nearest.asNondeterministic()
 
@@ -233,15 +247,18 @@ def _home_cells(d: np.ndarray, sizes: np.ndarray, k: int) -> np.ndarray:
     return mask & (sizes > 0)[None, :]
 
 
-def _cell_lists(mask: np.ndarray) -> pa.Array:
-    offsets = np.r_[0, np.cumsum(mask.sum(axis=1))].astype("int32")
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.nonzero(mask)[1].astype("int32")))
+def _cell_lists(masks: list[np.ndarray]) -> pa.Array:
+    counts = np.concatenate([m.sum(axis=1) for m in masks])
+    cells = np.concatenate([np.nonzero(m)[1] for m in masks]).astype("int32")
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype("int32")), pa.array(cells))
 
 
 def _first_cells(pivots, sizes, k):
     @F.arrow_udf("array<int>")
     def cells(batch: pa.Array) -> pa.Array:
-        return _cell_lists(_home_cells(_distances(matrix(batch), pivots), sizes, k))
+        masks = [np.zeros((0, 1), bool)]
+        masks += [_home_cells(_distances(x, pivots), sizes, k) for _, x in _slices(batch) if len(x)]
+        return _cell_lists(masks)
 
     return cells.asNondeterministic()
 
@@ -251,15 +268,20 @@ def _later_cells(pivots, sizes, radii, k):
 
     @F.arrow_udf("array<int>")
     def cells(batch: pa.Array, bound: pa.Array) -> pa.Array:
-        d = _distances(matrix(batch), pivots)
-        home = d.argmin(axis=1)
-        gap = between[home]
-        # an item is nearer to its own pivot than to the query's home pivot: a half-space bound
-        plane = np.divide(d**2 - d.min(axis=1)[:, None] ** 2, 2 * gap, out=np.zeros_like(d), where=gap > 0)
-        lower = np.maximum(np.maximum(d - radii[None, :], plane), 0.0)
-        # distances are compared after rounding, so leave room for a tie at the k-th place
-        reachable = lower**2 <= bound.to_numpy()[:, None] + 1e-5
-        return _cell_lists(reachable & (sizes > 0)[None, :] & ~_home_cells(d, sizes, k))
+        bounds = bound.to_numpy(zero_copy_only=False)
+        masks = [np.zeros((0, 1), bool)]
+        for rows, x in _slices(batch):
+            if not len(x):
+                continue
+            d = _distances(x, pivots)
+            gap = between[d.argmin(axis=1)]
+            # an item is nearer to its own pivot than to the query's home pivot: a half-space bound
+            plane = np.divide(d**2 - d.min(axis=1)[:, None] ** 2, 2 * gap, out=np.zeros_like(d), where=gap > 0)
+            lower = np.maximum(np.maximum(d - radii[None, :], plane), 0.0)
+            # distances are compared after rounding, so leave room for a tie at the k-th place
+            reachable = lower**2 <= bounds[rows][:, None] + 1e-5
+            masks.append(reachable & (sizes > 0)[None, :] & ~_home_cells(d, sizes, k))
+        return _cell_lists(masks)
 
     return cells.asNondeterministic()
 

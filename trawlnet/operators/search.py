@@ -100,16 +100,20 @@ def search_pages(
 
 
 def _score_blocks(pages, asked, n_pages, k, page_id, query_id, max_queries, depth=0) -> DataFrame:
-    head = asked.limit(max_queries + 1).toArrow()
-    if head.num_rows <= max_queries and head.nbytes <= BROADCAST_BYTES:
-        return _score_block(pages, head, asked.schema[query_id], n_pages, k, page_id, query_id)
-    n = max(2, math.ceil(2 * asked.count() / max_queries))
-    block = F.pmod(F.xxhash64(F.lit(depth), F.col(query_id)), F.lit(n))
+    """Score one block of queries, or split it by id until every part is small enough to ship."""
+    size = asked.agg(F.count("*").alias("n"), F.sum(F.octet_length("_asked")).alias("held")).first()
+    n, held = size["n"], size["held"] or 0
+    if n <= max_queries and (held <= BROADCAST_BYTES or n == 1):
+        return _score_block(pages, asked.toArrow(), asked.schema[query_id], n_pages, k, page_id, query_id)
+    if depth > 8:
+        raise ValueError("query ids must be unique")
+    parts = max(2, math.ceil(2 * max(n / max_queries, held / BROADCAST_BYTES)))
+    block = F.pmod(F.xxhash64(F.lit(depth), F.col(query_id)), F.lit(parts))
     return reduce(
         DataFrame.unionByName,
         [
             _score_blocks(pages, asked.where(block == b), n_pages, k, page_id, query_id, max_queries, depth + 1)
-            for b in range(n)
+            for b in range(parts)
         ],
     )
 
