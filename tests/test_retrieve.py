@@ -135,3 +135,13 @@ def test_fetch_both_ways(spark, monkeypatch):
         monkeypatch.setattr(R, "FETCH_BROADCAST_ROWS", bound)
         got = R.fetch(hits, table, "id").select("query_id", "document").collect()
         assert sorted(map(tuple, got)) == [(1, "a"), (2, "c")]
+
+
+def test_slices_cover_a_batch():
+    import pyarrow as pa
+
+    x = np.arange(5000, dtype="float32").reshape(2500, 2)
+    batch = pa.array(list(x), type=pa.list_(pa.float32()))
+    parts = list(R._slices(batch))
+    assert len(parts) == 3 and np.array_equal(np.concatenate([p for _, p in parts]), x)
+    assert [len(p) for _, p in R._slices(batch.slice(0, 0))] == [0]

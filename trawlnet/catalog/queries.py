@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from trawlnet.catalog.tables import Tables, derived_sql
 from trawlnet.functions import keys, text
 from trawlnet.operators import chat, chunk, embed, ops, retrieve, runs, search, state
-from trawlnet.plans import answer
-from trawlnet.session import cut_lineage, ship_package
+from trawlnet.plans import answer, ingest
+from trawlnet.session import cut_lineage, scratch_path, ship_package
 from trawlnet.sources import collection
+from trawlnet.sources.logs import read_logs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,7 +64,7 @@ def weights_sql(source: str, key: str, column: str = "text") -> str:
     ) where tok <> '' group by all)"""
 
 
-def text_knn_sql(k: int) -> str:
+def text_knn_sql(k: int, on: str = "true") -> str:
     """CTEs from ``q(qid, text)`` and ``x(id, text)`` to ``hits(qid, id, distance, rank)``."""
     return f"""qw as ({weights_sql("q", "qid")}),
 xw as ({weights_sql("x", "id")}),
@@ -73,7 +74,7 @@ xn as (select id, coalesce(sum(w * w), 0) as n2 from x left join xw using (id) g
 hits as (select * from (
   select *, cast(row_number() over (partition by qid order by distance, id) as int) as rank from (
     select qn.qid, xn.id, round(greatest(qn.n2 + xn.n2 - 2 * coalesce(dot, 0), 0), 6) as distance
-    from qn cross join xn left join dots on dots.qid = qn.qid and dots.id = xn.id)
+    from q join x on {on} join qn on qn.qid = q.qid join xn on xn.id = x.id left join dots on dots.qid = qn.qid and dots.id = xn.id)
 ) where rank <= {k})"""
 
 
@@ -348,6 +349,63 @@ def hybrid_context(t: Tables) -> DataFrame:
     return retrieve.with_attachments(hits, attachments)
 
 
+STORED_CHUNKS = f"""select concat('code_', lang) as c, concat(doc_id, ':', start_line) as id, text, start_line, end_line
+  from ({chunks_sql("documents", "doc_id, lang", 50)})"""
+
+
+def _chunk_rows(t: Tables, size: int) -> DataFrame:
+    """Document chunks as collection rows, one collection per language."""
+    chunks = chunk.chunk_lines(t.spread("documents", "doc_id", "lang", "text"), size=size, keep=["doc_id", "lang"])
+    return chunks.select(
+        F.concat(F.lit("code_"), "lang").alias("collection_id"),
+        keys.content_key(F.col("doc_id").cast("string"), F.col("start_line")).alias("id"),
+        F.col("text").alias("document"),
+        F.col("doc_id").cast("string").alias("path"),
+        "start_line",
+        "end_line",
+    )
+
+
+@query(
+    derived_sql("chat_requests")
+    + f""", q as (select concat(conv_id, '-', turn) as qid, message as text,
+  case conv_id % 4 when 0 then 'code_en' when 1 then 'code_fr' when 2 then 'code_de' else 'code_es' end as c from chat_requests),
+x as ({STORED_CHUNKS}),
+{text_knn_sql(5, on="q.c = x.c")}
+select qid as query_id, x.c as collection_id, rank, id, start_line, end_line, distance, x.text as document from hits join x using (id)"""
+)
+def rag_by_collection(t: Tables) -> DataFrame:
+    """Embed, store, and answer queries that each name a collection, from the stored files."""
+    store = collection.open_store(t.spark, scratch_path(t.spark, "collections"))
+    store.insert_missing(ingest.embed_chunks(_chunk_rows(t, 50), text_col="document"))
+    asked = (
+        F.when(F.col("conv_id") % 4 == 0, "code_en")
+        .when(F.col("conv_id") % 4 == 1, "code_fr")
+        .when(F.col("conv_id") % 4 == 2, "code_de")
+        .otherwise("code_es")
+    )
+    queries = t("chat_requests").select(
+        F.concat_ws("-", "conv_id", "turn").alias("query_id"), F.col("message").alias("text"), asked.alias("collection_id")
+    )
+    hits = answer.query_collections(store, queries, 5)
+    return hits.select("query_id", "collection_id", "rank", "id", "start_line", "end_line", "distance", "document")
+
+
+@query(
+    f"""with old as ({STORED_CHUNKS}), new as (select concat('code_', lang) as c, concat(doc_id, ':', start_line) as id, text, start_line, end_line
+  from ({chunks_sql("documents", "doc_id, lang", 10)}))
+select c as collection_id, id, text as document, start_line, end_line from new
+union all select c, id, text, start_line, end_line from old where (c, id) not in (select (c, id) from new)"""
+)
+def collection_store(t: Tables) -> DataFrame:
+    """Two writes to a collection folder, a repeated one and an upsert, then what a reader sees."""
+    store = collection.open_store(t.spark, scratch_path(t.spark, "collections"))
+    store.insert_missing(_chunk_rows(t, 50))
+    store.insert_missing(_chunk_rows(t, 50))
+    store.upsert(_chunk_rows(t, 10))
+    return store.read().select("collection_id", "id", "document", "start_line", "end_line")
+
+
 # --- search ----------------------------------------------------------------------------------
 
 PAYLOADS = derived_sql("search_hits") + """,
@@ -713,6 +771,20 @@ def run_outcomes(t: Tables) -> DataFrame:
     return out.withColumns({"avg_seconds": F.round("avg_seconds", 6), "avg_steps": F.round("avg_steps", 6)})
 
 
+@query(
+    derived_sql("run_logs")
+    + """ select outcome, count(*) as n, round(avg(duration_seconds), 6) as avg_seconds, max(duration_seconds) as max_seconds,
+  round(avg(n_steps), 6) as avg_steps from run_logs where event = 'crew_run_summary' group by outcome"""
+)
+def log_scan(t: Tables) -> DataFrame:
+    """The same rollup from JSON-lines files, one written record per event."""
+    folder = scratch_path(t.spark, "logs")
+    steps = F.array_repeat(F.lit("step"), F.col("n_steps"))
+    t("run_logs").select("event", "outcome", "duration_seconds", steps.alias("steps")).write.json(folder)
+    out = ops.run_outcomes(read_logs(t.spark, folder))
+    return out.withColumns({"avg_seconds": F.round("avg_seconds", 6), "avg_steps": F.round("avg_steps", 6)})
+
+
 @query(
     derived_sql("request_logs")
     + " select request_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as at, event_id, service, event, outcome from request_logs"
