@@ -61,3 +61,10 @@ def test_many_copies_of_one_key(spark):
     copies = rows(spark, *[("a", "hot", f"v{i}") for i in range(500)], ("a", "cold", "v"))
     empty = spark.createDataFrame([], FIELDS)
     assert docs(insert_missing(empty, copies)) == {("a", "hot"): "v0", ("a", "cold"): "v"}
+
+
+def test_unique_keys_skip_the_second_shuffle(spark, plan):
+    old, new = rows(spark, ("a", "1", "old")), rows(spark, ("a", "1", "new"), ("a", "2", "new"))
+    assert docs(insert_missing(old, new, unique=True)) == {("a", "1"): "old", ("a", "2"): "new"}
+    assert docs(upsert(old, new, unique=True)) == {("a", "1"): "new", ("a", "2"): "new"}
+    assert "Aggregate" not in plan(insert_missing(old, new, unique=True))

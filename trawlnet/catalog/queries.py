@@ -377,7 +377,7 @@ select qid as query_id, x.c as collection_id, rank, id, start_line, end_line, di
 def rag_by_collection(t: Tables) -> DataFrame:
     """Embed, store, and answer queries that each name a collection, from the stored files."""
     store = collection.open_store(t.spark, scratch_path(t.spark, "collections"))
-    store.insert_missing(ingest.embed_chunks(_chunk_rows(t, 50), text_col="document"))
+    store.insert_missing(ingest.embed_chunks(_chunk_rows(t, 50), text_col="document"), unique=True)
     asked = (
         F.when(F.col("conv_id") % 4 == 0, "code_en")
         .when(F.col("conv_id") % 4 == 1, "code_fr")

@@ -35,10 +35,16 @@ def embed_chunks(chunks: DataFrame, embedder: str | Embedder | None = None, text
     return check_dimension(chosen.add(chunks, text_col), chosen.dim).withColumn("embedder", F.lit(chosen.name))
 
 
-def store_rows(rows: DataFrame, collection_id: str, store: ParquetStore | ViewStore, mode: str = "insert_missing") -> None:
+def store_rows(
+    rows: DataFrame,
+    collection_id: str,
+    store: ParquetStore | ViewStore,
+    mode: str = "insert_missing",
+    unique: bool = False,
+) -> None:
     if mode not in ("insert_missing", "upsert"):
         raise ValueError(f"unknown write mode {mode!r}")
-    getattr(store, mode)(rows.withColumn("collection_id", F.lit(collection_id)), collection_id)
+    getattr(store, mode)(rows.withColumn("collection_id", F.lit(collection_id)), collection_id, unique)
 
 
 def store_documents(
@@ -64,8 +70,12 @@ def ingest_texts(
     size: int = DEFAULT_CHUNK_LINES,
     ids: str = "ordinal",
     mode: str = "insert_missing",
+    unique_paths: bool = False,
 ) -> None:
-    """Chunk, number, embed and store rows of ``path, text``. Nothing is written when no chunk is left."""
+    """Chunk, number, embed and store rows of ``path, text``. Nothing is written when no chunk is left.
+
+    ``unique_paths`` says that no path comes twice, so ids cannot either.
+    """
     chunks = chunk_lines(texts, size=size)
     if ids == "ordinal":
         # numbering and storing both read the chunks, and must see the same ones even if files change
@@ -73,7 +83,7 @@ def ingest_texts(
     if chunks.isEmpty():
         return
     rows = embed_chunks(with_chunk_ids(chunks, ids), embedder).withColumnRenamed("text", "document")
-    store_rows(rows, collection_id, store, mode)
+    store_rows(rows, collection_id, store, mode, unique_paths)
 
 
 def ingest_project(
@@ -88,4 +98,4 @@ def ingest_project(
     """Index a source tree as ``code_<directory name>`` unless another name is given."""
     root = require_directory(project_path)
     name = collection_id or f"code_{root.rstrip('/').rsplit('/', 1)[-1]}"
-    ingest_texts(scan_tree(spark, root, extensions), name, store, **options)
+    ingest_texts(scan_tree(spark, root, extensions), name, store, unique_paths=True, **options)

@@ -51,21 +51,24 @@ def _is_map(rows: DataFrame, column: str) -> bool:
     return rows.schema[column].dataType.typeName() == "map"
 
 
-def missing_rows(existing: DataFrame, incoming: DataFrame, key: list[str] = KEY) -> DataFrame:
-    """The incoming rows whose key is not stored yet, once each."""
+def missing_rows(existing: DataFrame, incoming: DataFrame, key: list[str] = KEY, unique: bool = False) -> DataFrame:
+    """The incoming rows whose key is not stored yet, once each.
+
+    ``unique`` says that no key comes twice, which saves the shuffle that would make sure.
+    """
     fresh = incoming.join(existing.select(*key), key, "left_anti")
-    return one_per_key(fresh, key).select(*incoming.columns)
+    return fresh if unique else one_per_key(fresh, key).select(*incoming.columns)
 
 
-def insert_missing(existing: DataFrame, incoming: DataFrame, key: list[str] = KEY) -> DataFrame:
+def insert_missing(existing: DataFrame, incoming: DataFrame, key: list[str] = KEY, unique: bool = False) -> DataFrame:
     """Stored rows win; only new keys are added."""
-    return existing.unionByName(missing_rows(existing, incoming, key))
+    return existing.unionByName(missing_rows(existing, incoming, key, unique))
 
 
-def upsert(existing: DataFrame, incoming: DataFrame, key: list[str] = KEY) -> DataFrame:
+def upsert(existing: DataFrame, incoming: DataFrame, key: list[str] = KEY, unique: bool = False) -> DataFrame:
     """Incoming rows win over stored rows with the same key."""
     kept = existing.join(incoming.select(*key), key, "left_anti")
-    return kept.unionByName(one_per_key(incoming, key).select(*incoming.columns))
+    return kept.unionByName(incoming if unique else one_per_key(incoming, key).select(*incoming.columns))
 
 
 class ViewStore:
@@ -80,11 +83,14 @@ class ViewStore:
         rows = self.spark.table(self.view)
         return rows if collection_id is None else rows.where(F.col("collection_id") == collection_id)
 
-    def insert_missing(self, rows: DataFrame, collection_id: str | None = None) -> None:
-        cut_lineage(insert_missing(self.read(), conform(rows))).createOrReplaceTempView(self.view)
+    def insert_missing(self, rows: DataFrame, collection_id: str | None = None, unique: bool = False) -> None:
+        self._replace(insert_missing(self.read(), conform(rows), unique=unique))
+
+    def upsert(self, rows: DataFrame, collection_id: str | None = None, unique: bool = False) -> None:
+        self._replace(upsert(self.read(), conform(rows), unique=unique))
 
-    def upsert(self, rows: DataFrame, collection_id: str | None = None) -> None:
-        cut_lineage(upsert(self.read(), conform(rows))).createOrReplaceTempView(self.view)
+    def _replace(self, rows: DataFrame) -> None:
+        cut_lineage(rows).createOrReplaceTempView(self.view)
 
 
 class ParquetStore:
@@ -107,15 +113,16 @@ class ParquetStore:
             rows = rows.select(*COLLECTION_SCHEMA.names)
         return rows if collection_id is None else rows.where(F.col("collection_id") == collection_id)
 
-    def insert_missing(self, rows: DataFrame, collection_id: str | None = None) -> None:
-        """``collection_id`` says that all rows belong to it, so only its folders are compared with."""
-        self._write(missing_rows(self.read(collection_id), conform(rows)), "add")
+    def insert_missing(self, rows: DataFrame, collection_id: str | None = None, unique: bool = False) -> None:
+        """``collection_id`` says that all rows belong to it, so only its folders are compared with;
+        ``unique`` that no (collection, id) comes twice."""
+        self._write(missing_rows(self.read(collection_id), conform(rows), unique=unique), "add")
 
-    def upsert(self, rows: DataFrame, collection_id: str | None = None) -> None:
+    def upsert(self, rows: DataFrame, collection_id: str | None = None, unique: bool = False) -> None:
         incoming, touched = conform(rows), self.read(collection_id)
         if collection_id is None:
             touched = touched.join(incoming.select("collection_id").distinct(), "collection_id", "left_semi")
-        self._write(upsert(touched, incoming), "set")
+        self._write(upsert(touched, incoming, unique=unique), "set")
 
     def _write(self, rows: DataFrame, kind: str) -> None:
         number = max((n for n, _, _ in self._folders()), default=0) + 1
