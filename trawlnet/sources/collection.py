@@ -54,10 +54,11 @@ def _is_map(rows: DataFrame, column: str) -> bool:
 def missing_rows(existing: DataFrame, incoming: DataFrame, key: list[str] = KEY, unique: bool = False) -> DataFrame:
     """The incoming rows whose key is not stored yet, once each.
 
-    ``unique`` says that no key comes twice, which saves the shuffle that would make sure.
+    Copies of a key are combined before the join, so a hot key reaches it as one row, already
+    placed by key. ``unique`` says that no key comes twice, which saves the combining.
     """
-    fresh = incoming.join(existing.select(*key), key, "left_anti")
-    return fresh if unique else one_per_key(fresh, key).select(*incoming.columns)
+    once = incoming if unique else one_per_key(incoming, key).select(*incoming.columns)
+    return once.join(existing.select(*key), key, "left_anti")
 
 
 def insert_missing(existing: DataFrame, incoming: DataFrame, key: list[str] = KEY, unique: bool = False) -> DataFrame:
