@@ -145,3 +145,12 @@ def test_slices_cover_a_batch():
     parts = list(R._slices(batch))
     assert len(parts) == 3 and np.array_equal(np.concatenate([p for _, p in parts]), x)
     assert [len(p) for _, p in R._slices(batch.slice(0, 0))] == [0]
+
+
+def test_spare_copies():
+    from trawlnet.operators.topk import without_spare_copies
+
+    x = np.array([[1.0, 2], [0, 0], [1, 2], [1, 2], [3, 4]])
+    kept, ids = without_spare_copies(x, np.array([9, 1, 7, 8, 2]), 2)
+    assert sorted(zip(ids.tolist(), map(tuple, kept.tolist()))) == [(1, (0, 0)), (2, (3, 4)), (7, (1, 2)), (8, (1, 2))]
+    assert without_spare_copies(x[:0], np.zeros(0), 2)[0].shape == (0, 2)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from trawlnet.functions.text import first_non_empty
-from trawlnet.operators.topk import RunningTopK, squared_distances
+from trawlnet.operators.topk import RunningTopK, squared_distances, without_spare_copies
 from trawlnet.session import cut_lineage
 
 DEFAULT_K = 5
@@ -27,6 +27,8 @@ BROADCAST_BYTES = 64 << 20
 ITEM_BLOCK = 20_000
 QUERY_BLOCK = 4_096
 MAX_CELLS = 1024
+# From so many queries on, looking for equal vectors in a batch costs less than scoring the copies.
+COPY_CHECK_QUERIES = 64
 # Scope values that are worth an IN filter on the items.
 PRUNED_SCOPES = 1000
 
@@ -126,11 +128,15 @@ def _knn_broadcast(head: pa.Table, query_field, items, k, query_id, item_id, vec
             x, x_ids = matrix(batch.column(vector_col)), plain(batch.column(item_id))
             item_type = batch.schema.field(item_id).type
             if by_scope is None:
+                if len(q) >= COPY_CHECK_QUERIES:
+                    x, x_ids = without_spare_copies(x, x_ids, k)
                 best.offer(lambda part, x=x: squared_distances(q[part], x), len(x), x_ids)
                 continue
             for value, rows in pd.Series(np.arange(len(x))).groupby(plain(batch.column(scope))):
                 if value in by_scope:
                     sub, sub_ids = x[rows.to_numpy()], x_ids[rows.to_numpy()]
+                    if len(by_scope[value]) >= COPY_CHECK_QUERIES:
+                        sub, sub_ids = without_spare_copies(sub, sub_ids, k)
                     best.offer(lambda part, x=sub: squared_distances(q[part], x), len(sub), sub_ids, by_scope[value])
         if best.ids is not None and len(best.rows):
             yield pa.RecordBatch.from_arrays(

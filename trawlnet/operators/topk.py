@@ -41,6 +41,18 @@ def keep_k(rows, cols, values, ids, k):
     return rows[kept], cols[kept], values[kept]
 
 
+def without_spare_copies(x: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that can still be hits: of equal vectors only the k lowest ids, so copies cannot pile up as ties."""
+    if x.size == 0:
+        return x, ids
+    whole_rows = np.ascontiguousarray(x).view(np.dtype((np.void, x.itemsize * x.shape[1]))).ravel()
+    distinct, group = np.unique(whole_rows, return_inverse=True)
+    if len(distinct) == len(x):
+        return x, ids
+    _, kept, _ = keep_k(group, np.arange(len(x)), np.zeros(len(x)), ids, k)
+    return x[kept], ids[kept]
+
+
 class RunningTopK:
     """Keeps the best k per query over any number of batches in O(queries * k) memory.
 
