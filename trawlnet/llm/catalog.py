@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from trawlnet.llm.mixing import Mix, mix_sources
 from trawlnet.llm.near_dup import NearDup, near_duplicates
+from trawlnet.llm.ring import Ring, assign
 from trawlnet.llm.token_counts import Tokenizer, count_tokens
 from trawlnet.session import scratch_path, ship_package
 
@@ -49,6 +52,13 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(docs, tokenizer, cache, limit=512)
 
 
+@query()
+def op3_hash_ring_shards(spark: SparkSession, folder: str) -> DataFrame:
+    placed = assign(table(spark, folder, "documents"), Ring(shards=8, virtual_nodes=128, slack=0.0))
+    law, grown = F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
 NEAR_DUP_SQL = r"""with recursive words as (
   select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
   from documents),
@@ -73,3 +83,10 @@ from sets s left join classes c on c.s = list_sort(s.s) and len(s.s) > 0 left jo
 def op5_minhash_near_dup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return near_duplicates(docs, NearDup(shingle=2, percent=80))
+
+
+@query()
+def op7_temperature_mix(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "source", "text")
+    mixed = mix_sources(docs, Mix(evenness=0.9, most_copies=4.0, block_tokens=1_000_000))
+    return mixed.select("doc_id", "source", "tokens", "copy", "block", "position")
