@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from trawlnet.llm.mixing import Mix, mix_sources
 from trawlnet.llm.near_dup import NearDup, near_duplicates
 from trawlnet.llm.ring import Ring, assign
+from trawlnet.llm.secret_scan import BASE_RULES, count_kind, scan_versions, spans_text
 from trawlnet.llm.token_counts import Tokenizer, count_tokens
+from trawlnet.llm.weak_rules import judge
 from trawlnet.session import scratch_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +61,13 @@ def op3_hash_ring_shards(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
 
 
+@query()
+def op4_weak_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = judge(table(spark, folder, "documents").select("doc_id", "text"))
+    columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior"]
+    return judged.select("doc_id", *columns)
+
+
 NEAR_DUP_SQL = r"""with recursive words as (
   select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
   from documents),
@@ -90,3 +99,18 @@ def op7_temperature_mix(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
     mixed = mix_sources(docs, Mix(evenness=0.9, most_copies=4.0, block_tokens=1_000_000))
     return mixed.select("doc_id", "source", "tokens", "copy", "block", "position")
+
+
+@query()
+def op8_secret_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    ledger = store_path(spark, "spark.trawlnet.secretLedger", "secret-ledger")
+    versions = table(spark, folder, "documents").select("doc_id", "text")
+    found = scan_versions(versions, ledger)
+    base = tuple(r.kind for r in BASE_RULES)
+    findings = F.col("findings")
+    return found.select(
+        "doc_id",
+        *[count_kind(findings, k).alias(f"n_{k}") for k in base],
+        F.sha2(spans_text(findings, base), 256).alias("base_sha256"),
+        spans_text(findings).alias("spans"),
+    )
