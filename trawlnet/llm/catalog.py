@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trawlnet.llm.mixing import Mix, mix_sources
 from trawlnet.llm.near_dup import NearDup, near_duplicates
+from trawlnet.llm.quality_cnn import learn, remainder, score
 from trawlnet.llm.ring import Ring, assign
 from trawlnet.llm.secret_scan import BASE_RULES, count_kind, scan_versions, spans_text
 from trawlnet.llm.token_counts import Tokenizer, count_tokens
@@ -54,6 +55,15 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(docs, tokenizer, cache, limit=512)
 
 
+@query()
+def op2_quality_cnn(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    params = learn(docs, table(spark, folder, "labels").select("doc_id", "quality"))
+    scored = score(docs, params)
+    held_out = F.coalesce(remainder(F.col("doc_id")) == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query()
 def op3_hash_ring_shards(spark: SparkSession, folder: str) -> DataFrame:
     placed = assign(table(spark, folder, "documents"), Ring(shards=8, virtual_nodes=128, slack=0.0))
