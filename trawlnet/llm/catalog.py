@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trawlnet.llm.decontaminate import Contamination, contaminated
 from trawlnet.llm.mixing import Mix, mix_sources
 from trawlnet.llm.near_dup import NearDup, near_duplicates
 from trawlnet.llm.quality_cnn import learn, remainder, score
@@ -124,3 +125,9 @@ def op8_secret_ledger(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(spans_text(findings, base), 256).alias("base_sha256"),
         spans_text(findings).alias("spans"),
     )
+
+
+@query()
+def op10_simhash_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return contaminated(docs, table(spark, folder, "benchmark"), Contamination(shingle=5, percent=80))

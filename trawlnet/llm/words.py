@@ -14,6 +14,9 @@ import pyarrow as pa
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: White space and ASCII punctuation: between words when only letters, digits and other characters count.
+MARKS = SPACE.copy()
+MARKS[[*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = True
 KEEP = np.arange(256, dtype=np.uint8)
 LOWER = KEEP.copy()
 LOWER[ord("A") : ord("Z") + 1] += 32
@@ -60,11 +63,11 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, places - low if len(column) else np.zeros(1, np.int64)
 
 
-def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_spans(raw: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Byte positions of the words of all texts: begins and ends. No word reaches over the end of a text."""
     if not len(raw):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    inside = ~SPACE[raw]
+    inside = ~gaps[raw]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]
