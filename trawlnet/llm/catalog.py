@@ -102,7 +102,7 @@ from sets s left join classes c on c.s = list_sort(s.s) and len(s.s) > 0 left jo
 @query(NEAR_DUP_SQL)
 def op5_minhash_near_dup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return near_duplicates(docs, NearDup(shingle=2, percent=80))
+    return near_duplicates(docs, NearDup(shingle=2, percent=80)).drop("group")
 
 
 @query()

@@ -104,7 +104,7 @@ def mix_sources(
     count = word_tokens(as_text(F.col("text"))) if tokens is None else tokens
     keep = [c for c in docs.columns if c not in made and not c.startswith("_mix_")]
     name = F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("n"))
-    row = F.xxhash64(F.lit(mix.seed), F.col(id_col), *[F.col(c) for c in content if c in docs.columns])
+    row = F.xxhash64(F.lit(mix.seed), F.col(id_col), *[F.col(c) for c in content])
     base = docs.withColumn("_mix_tokens", F.greatest(F.coalesce(count.cast("long"), F.lit(1)), F.lit(1)))
     base = base.withColumn("_mix_source", name).withColumn("_mix_row", row)
     # one narrow pass for the sums: hash, tokens and source of each row

@@ -220,8 +220,11 @@ def _links(classes: DataFrame, sets: DataFrame, spec: NearDup) -> DataFrame:
     return named
 
 
-def near_duplicates(docs: DataFrame, spec: NearDup = NearDup(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
+def near_duplicates(
+    docs: DataFrame, spec: NearDup = NearDup(), id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``, the columns ``carry`` and ``group``, a
+    digest that names the component whatever its ids are; it is null where there are no words.
 
     Texts are lower-cased in A-Z and cut into words; a document's set holds its distinct shingles, or all its words as
     one when there are fewer. Documents with similarity ``percent`` or more are linked, and a component is named by
@@ -231,9 +234,10 @@ def near_duplicates(docs: DataFrame, spec: NearDup = NearDup(), id_col: str = "d
     names its component only if all ids in it are null, and such a row is kept. Rows that repeat an id each give a row;
     those of a component's smallest id are all kept. Other columns are ignored; an empty table gives no rows.
     """
-    texts = docs.select(F.col(id_col).alias("doc_id"), as_text(F.col(text_col)).alias("text"))
-    kind = docs.schema[id_col].dataType.simpleString()
-    signed = written(texts.mapInArrow(_signatures(spec, 1), f"doc_id {kind}, {SIGNATURES}"), "signatures")
+    texts = docs.select(F.col(id_col).alias("doc_id"), *carry, as_text(F.col(text_col)).alias("text"))
+    keys = texts.drop("text").schema
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keys), SIGNATURES])
+    signed = written(texts.mapInArrow(_signatures(spec, len(keys)), schema), "signatures")
     classes = (
         signed.where("set_id is not null")
         .groupBy("set_id")
@@ -245,10 +249,12 @@ def near_duplicates(docs: DataFrame, spec: NearDup = NearDup(), id_col: str = "d
     lowest = lows.groupBy("component").agg(F.min("low").alias("component_id"))
     linked = spread_join(lows.select(F.col("node").alias("set_id"), "component"), lowest, "component", "inner")
     placed = classes.select("set_id", "low").join(linked, "set_id", "left")
-    placed = placed.select("set_id", F.coalesce("component_id", "low").alias("component_id"))
-    out = spread_join(signed.select("doc_id", "n_shingles", "set_id"), placed, "set_id")
+    group = F.coalesce("component", "set_id").alias("group")
+    placed = placed.select("set_id", F.coalesce("component_id", "low").alias("component_id"), group)
+    out = spread_join(signed.select("doc_id", *carry, "n_shingles", "set_id"), placed, "set_id")
     out = out.withColumn("component_id", F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    return out.select("doc_id", *carry, "n_shingles", "component_id", kept, "group")
 
 
 def _needed_sets(texts: DataFrame, classes: DataFrame, spec: NearDup) -> DataFrame:
