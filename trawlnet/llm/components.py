@@ -4,28 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from trawlnet.llm.shared import spread_join, written
+from trawlnet.llm.shared import written
 
 
 def _is_stars(edges: DataFrame) -> bool:
     """Whether every ``a`` has one edge and no ``b`` is an ``a``: then each ``b`` is the lowest node of its component."""
-    starts = edges.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-    ends = edges.select(F.col("b").alias("a")).distinct()
-    return starts.join(ends.withColumn("end", F.lit(True)), "a", "left").where("n > 1 or end").isEmpty()
-
-
-def _lowest(edges: DataFrame) -> DataFrame:
-    """The lowest node that each ``a`` points to, never above itself."""
-    return edges.groupBy("a").agg(F.min("b").alias("low"))
+    starts = edges.select(F.col("a").alias("node"), F.lit(1).alias("start"), F.lit(0).alias("end"))
+    ends = edges.select(F.col("b").alias("node"), F.lit(0).alias("start"), F.lit(1).alias("end"))
+    nodes = starts.union(ends).groupBy("node").agg(F.sum("start").alias("starts"), F.max("end").alias("end"))
+    return nodes.where("starts > 1 or (starts = 1 and end = 1)").isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` for every node of ``links(a, b)``; a component is named by its lowest node.
 
     Repeated links, loops and both directions are fine; a link with a null end is ignored. Each round is a few
-    aggregations and joins on a node, with hubs dealt to many tasks, and is written out; a round brings nodes closer
-    to the lowest one, and the loop ends when only stars are left.
+    aggregations and one join on a node, whose hubs adaptive execution splits, and is written out; a round brings
+    nodes closer to the lowest one, and the loop ends when only stars are left.
     """
     ends = links.where("a is not null and b is not null")
     edges = ends.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
@@ -34,12 +31,11 @@ def components(links: DataFrame) -> DataFrame:
     while not _is_stars(edges):
         # large star: every neighbour above a node moves to the lowest node around it
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        around = _lowest(both).select(F.col("a").alias("b"), F.least("low", "a").alias("low"))
-        large = spread_join(edges, around, "b").select("a", F.col("low").alias("b")).distinct()
-        large = written(large, "large-star")
-        # small star: a node's lower neighbours and the node itself move to the lowest of them
-        lowest = _lowest(large)
-        small = spread_join(large, lowest, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b")
-        edges = written(small.union(lowest.select("a", F.col("low").alias("b"))).distinct(), "small-star")
+        around = both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("b"), F.least("low", "a").alias("low"))
+        large = edges.join(around, "b").select("a", F.col("low").alias("b")).distinct()
+        # small star: a node's lower neighbours, which are few now, and the node itself move to the lowest of them
+        lowest = F.min("b").over(Window.partitionBy("a"))
+        moves = large.withColumn("low", lowest).select(F.explode(F.array("a", "b")).alias("a"), F.col("low").alias("b"))
+        edges = written(moves.where("a <> b").distinct(), "stars")
     named = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return loops.distinct().join(named, "node", "left").select("node", F.coalesce("component", "node").alias("component"))

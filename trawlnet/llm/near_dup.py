@@ -17,47 +17,49 @@ from trawlnet.llm.words import MinHash, buffers, minhash_sets, mix, shingle_sets
 
 #: Rows of ids or digests that may be broadcast: 40 bytes each, so at most about 20 MB.
 BROADCAST_ROWS = 500_000
-#: Rounds that compare with hubs only, before all pairs that are still open are enumerated.
-HUB_ROUNDS = 3
-#: Open pairs per row of the classes that start them, up to which the last round comes at once.
-OPEN_PAIRS = 64
+#: Bits of one verification batch.
+BATCH = 64
 
 
 @dataclass(frozen=True)
 class NearDup:
     """``shingle`` words, ``percent`` Jaccard similarity. A pair at the threshold shares one of ``bands`` bands of
     ``rows`` hashes with probability 1 - (1 - s^rows)^bands: 0.99993 for 24 of 5 at 0.8. Verification compares
-    ``batches`` batches of ``batch`` further hashes and drops a pair once the posterior probability that its
-    similarity reaches the threshold falls below ``miss``."""
+    ``batches`` batches of 64 further hashes, one bit of each, and drops a pair once the posterior probability that
+    its similarity reaches the threshold falls below ``miss``."""
 
     shingle: int = 5
     percent: int = 80
     bands: int = 24
     rows: int = 5
-    batches: int = 4
-    batch: int = 16
+    batches: int = 3
     miss: float = 1e-5
     seed: int = 20_240_601
 
-    def least_matches(self) -> list[int]:
-        """For each batch, the fewest matches so far with which a pair goes on.
+    def most_apart(self) -> list[int]:
+        """For each batch, the most bits that may differ so far for a pair to go on.
 
-        The prior of the similarity is uniform, so after m matches of n the posterior is Beta(m + 1, n - m + 1), and
-        P(S >= t) = P(Binomial(n + 1, t) <= m).
+        One bit of equal hashes is equal, of others by half: bits agree with probability p = (1 + s) / 2. The prior of s
+        is uniform, so after m of n bits agree the posterior of p is Beta(m + 1, n - m + 1) on [1/2, 1], and
+        P(p >= x) is proportional to P(Binomial(n + 1, x) <= m).
         """
-        t, out = self.percent / 100, []
-        for n in (self.batch * (i + 1) for i in range(self.batches)):
-            below, m = 0.0, 0
-            while m <= n:
-                below += comb(n + 1, m) * t**m * (1 - t) ** (n + 1 - m)
-                if below >= self.miss:
-                    break
-                m += 1
-            out.append(m)
+
+        def tail(n: int, m: int, x: float) -> float:
+            return sum(comb(n + 1, i) * x**i * (1 - x) ** (n + 1 - i) for i in range(m + 1))
+
+        out = []
+        for n in (BATCH * (i + 1) for i in range(self.batches)):
+            m = next(m for m in range(n + 1) if tail(n, m, (1 + self.percent / 100) / 2) >= self.miss * tail(n, m, 0.5))
+            out.append(n - m)
         return out
 
+    def likely(self) -> str:
+        """A SQL condition on ``sketch`` and ``other_sketch``, one batch after the other."""
+        apart = [f"bit_count(sketch[{i}] ^ other_sketch[{i}])" for i in range(self.batches)]
+        return " and ".join(f"{' + '.join(apart[: i + 1])} <= {most}" for i, most in enumerate(self.most_apart()))
+
 
-def _set_digest(values: np.ndarray) -> bytes:
+def set_digest(values: np.ndarray) -> bytes:
     """16 bytes that two sets share only if they are equal."""
     with np.errstate(over="ignore"):
         a = np.bitwise_xor.reduce(mix(values + np.uint64(0x632BE59BD9B4E019)))
@@ -65,17 +67,17 @@ def _set_digest(values: np.ndarray) -> bytes:
     return int(a).to_bytes(8, "big") + int(b).to_bytes(8, "big")
 
 
-SIGNATURES = "n_shingles long, set_id binary, bands array<long>, sketch binary"
+SIGNATURES = "n_shingles long, set_id binary, bands array<long>, sketch array<long>"
 
 
 def _signatures(spec: NearDup, keys: int):
     """Arrow batches of key columns and text to the keys, set size, set digest, band keys and verification hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = MinHash(spec.bands * spec.rows + spec.batches * spec.batch, spec.seed)
+        hashes = MinHash(spec.bands * spec.rows + spec.batches * BATCH, spec.seed)
         salt = mix(np.arange(1, spec.bands * spec.rows + 1, dtype=np.uint64)).reshape(spec.bands, spec.rows)
         for batch in batches:
-            for part in _parts(batch, keys):
+            for part in text_parts(batch, keys):
                 raw, offsets = buffers(part.column(keys))
                 words, bounds = texts_words(raw, offsets)
                 sets = list(shingle_sets(words, bounds, spec.shingle))
@@ -87,17 +89,17 @@ def _signatures(spec: NearDup, keys: int):
                     split = spec.bands * spec.rows
                     rows = minima[:, :split].reshape(-1, spec.bands, spec.rows).astype(np.uint64)
                     keyed = mix(np.bitwise_xor.reduce(mix(rows + salt), axis=2) + salt[:, 0]).astype(np.int64)
-                    small = minima[:, split:].astype(np.uint16)
+                    bits = np.packbits(minima[:, split:] & 1, axis=1).view(np.int64)
                     for j, i in enumerate(full):
-                        ids[i], bands[i], sketches[i] = _set_digest(sets[i]), keyed[j], small[j].tobytes()
-                made = [pa.array(sizes), pa.array(ids, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
+                        ids[i], bands[i], sketches[i] = set_digest(sets[i]), keyed[j], bits[j]
+                made = [pa.array(sizes), pa.array(ids, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))]
                 names = [*part.schema.names[:keys], "n_shingles", "set_id", "bands", "sketch"]
                 yield pa.record_batch([*part.columns[:keys], *made], names=names)
 
     return run
 
 
-def _parts(batch: pa.RecordBatch, text: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def text_parts(batch: pa.RecordBatch, text: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``most`` bytes of text, one row at least."""
     _, offsets = buffers(batch.column(text))
     at = 0
@@ -112,13 +114,13 @@ def _sets(shingle: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _parts(batch, 0):
+            for part in text_parts(batch, 0):
                 words, bounds = texts_words(*buffers(part.column(0)))
                 sets = [s for s in shingle_sets(words, bounds, shingle) if len(s)]
                 places = np.cumsum([0] + [len(s) for s in sets])
                 flat = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)
                 made = [
-                    pa.array([_set_digest(s) for s in sets], pa.binary()),
+                    pa.array([set_digest(s) for s in sets], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(flat)),
                 ]
                 yield pa.record_batch(made, names=["set_id", "shingles"])
@@ -126,98 +128,70 @@ def _sets(shingle: int):
     return run
 
 
-def _likely(spec: NearDup):
-    """Arrow batches of pairs with both sketches to the pairs that no batch of hashes rules out."""
-    least = spec.least_matches()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = batch.num_rows
-            a, b = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint16).reshape(n, spec.batches, spec.batch)
-                for c in (2, 3)
-            )
-            alive, matches = np.arange(n), np.zeros(n, dtype=np.int64)
-            for i in range(spec.batches):
-                matches = matches + (a[alive, i] == b[alive, i]).sum(axis=1)
-                on = matches >= least[i]
-                alive, matches = alive[on], matches[on]
-            yield batch.select([0, 1]).take(pa.array(alive))
-
-    return run
-
-
-def _confirm(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, spec: NearDup) -> DataFrame:
-    """The links among ``pairs(a, b)``: pruned by sketches first, the rest compared on full sets."""
-    a_side, b_side = (
-        sketches.select(F.col("set_id").alias(x), F.col("sketch").alias(f"sketch_{x}")) for x in ("a", "b")
-    )
-    likely = spread_join(spread_join(pairs, b_side, "b", "inner"), a_side, "a", "inner")
-    likely = likely.select("a", "b", "sketch_a", "sketch_b").mapInArrow(_likely(spec), "a binary, b binary")
-    likely = written(likely, "likely-pairs")
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` whose full sets are similar enough; ``sets`` has ``set_id, shingles``."""
+    pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "likely-pairs")
     a_set, b_set = (sets.select(F.col("set_id").alias(x), F.col("shingles").alias(f"set_{x}")) for x in ("a", "b"))
-    full = spread_join(spread_join(likely, b_set, "b", "inner"), a_set, "a", "inner")
+    full = pairs.join(b_set, "b").join(a_set, "a")
     both = F.size(F.array_intersect("set_a", "set_b")).cast("long")
     every = F.size("set_a").cast("long") + F.size("set_b") - F.col("both")
-    full = full.withColumn("both", both).where(100 * F.col("both") >= spec.percent * every)
+    full = full.withColumn("both", both).where(100 * F.col("both") >= percent * every)
     return written(full.select("a", "b"), "links")
 
 
+def shared_bands(classes: DataFrame) -> DataFrame:
+    """A row for each class (``set_id, n, bands`` and more) and band that it shares with another class; ``hub`` is the
+    lowest class of that band."""
+    rows = classes.select("set_id", F.posexplode("bands").alias("band", "key"))
+    hubs = rows.groupBy("key").agg(F.min("set_id").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "hub")
+    shared = rows.join(hubs, "key")
+    return written(shared.join(classes, "set_id"), "buckets")
+
+
 def _split_buckets(members: DataFrame, named: DataFrame) -> DataFrame:
-    """Members of the buckets that span several components, with their own component, its hub in the bucket, the
-    bucket's largest component (``main``) and ``open``: the pairs that the bucket's other components would make."""
-    placed = spread_join(members, named.select(F.col("node").alias("set_id"), "component"), "set_id")
+    """Members of the buckets that span several components, with their own ``component`` and the bucket's largest one,
+    ``main``."""
+    placed = members.drop("hub").join(named.select(F.col("node").alias("set_id"), "component"), "set_id", "left")
     placed = written(placed.withColumn("component", F.coalesce("component", "set_id")), "placed")
-    sizes = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"), F.min("set_id").alias("hub"))
-    first = F.struct("n", "component", "hub")
-    main = sizes.groupBy("key").agg(F.max(first).alias("main"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("parts"))
-    main = main.where("parts > 1").select(
-        "key",
-        F.col("main.component").alias("main"),
-        F.col("main.hub").alias("hub"),
-        F.col("all").alias("size"),
-    )
-    return written(spread_join(placed, main, "key", "inner"), "split-buckets")
+    sizes = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts"))
+    main = main.where("parts > 1").select("key", F.col("main.component").alias("main"))
+    return placed.join(main, "key")
+
 
+def _alike(percent: int) -> str:
+    """Sets whose sizes alone rule the similarity out need no comparison: it is at most the ratio of the sizes."""
+    return f"100 * least(n, other_n) >= {percent} * greatest(n, other_n)"
 
-def _links(classes: DataFrame, sets: DataFrame, spec: NearDup) -> DataFrame:
+
+def linked_classes(members: DataFrame, sets: DataFrame, percent: int, likely: str = "true", sketch: tuple[str, ...] = ()) -> DataFrame:
     """``node, component`` of the classes with a link; every link between classes that share a band counts.
 
-    A bucket of n classes would have n * (n - 1) / 2 pairs. Instead each class meets the hub of its bucket first. Once
-    those links are known, pairs inside one component need no comparison. While the pairs still open are many times
-    the rows, further rounds compare with the hub of a bucket's largest component only. The last round enumerates all
-    pairs of one bucket whose ends are in different components, so no link between components is left out; pairs
-    start from classes outside the bucket's largest component.
+    ``members`` come from ``shared_bands``, ``sets`` has their ``set_id, shingles``; ``likely`` is a condition on the
+    columns ``sketch`` and ``other_<sketch>`` that rules pairs out before their sets are compared.
+
+    A bucket of n classes would have n * (n - 1) / 2 pairs. Instead each class meets the hub of its bucket first. With
+    those links known, pairs inside one component need no comparison. In the second round the classes outside a
+    bucket's largest component meet all classes of other components there, so no link between components is left
+    out; pairs are compared inside the join, sketches before sets, and only links leave it.
     """
-    sketches = classes.select("set_id", "sketch")
-    rows = classes.select("set_id", F.explode("bands").alias("key"))
-    hubs = rows.groupBy("key").agg(F.min("set_id").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "hub")
-    members = written(spread_join(rows, hubs, "key", "inner"), "buckets")
-    pairs = members.where("set_id <> hub").select(F.col("hub").alias("a"), F.col("set_id").alias("b")).distinct()
-    members = members.select("key", "set_id")
-    links = _confirm(written(pairs, "pairs"), sketches, sets, spec)
+
+    def other(rows: DataFrame, *more: str) -> DataFrame:
+        own = [F.col(c).alias(f"other_{c}") for c in ("n", *sketch, *more)]
+        return rows.select("key", F.col("set_id").alias("other"), *own)
+
+    met = members.where("set_id <> hub").join(other(members.where("set_id = hub")), "key").where(f"{_alike(percent)} and {likely}")
+    links = verified(met.select(F.col("set_id").alias("a"), F.col("other").alias("b")), sets, percent)
     named = written(components(links), "components")
-    for round_ in range(HUB_ROUNDS + 1):
-        split = _split_buckets(members, named)
-        away = split.where("component <> main")
-        n_open, n_rows = away.agg(F.sum("size"), F.count(F.lit(1))).first()
-        if not n_rows:
-            break
-        last = round_ == HUB_ROUNDS or n_open <= OPEN_PAIRS * max(n_rows, 1_000)
-        if last:
-            # minority rows of a bucket meet all its rows; two minority rows meet once
-            other = split.select("key", F.col("set_id").alias("other"), F.col("component").alias("theirs"), (F.col("component") == F.col("main")).alias("home"))
-            met = away.join(other, "key").where("component <> theirs and (home or set_id < other)")
-        else:
-            met = away.withColumnRenamed("hub", "other")
-        met = met.select(F.least("set_id", "other").alias("a"), F.greatest("set_id", "other").alias("b"))
-        more = _confirm(written(met.distinct(), "pairs"), sketches, sets, spec)
-        if not more.isEmpty():
-            links = links.union(more)
-            named = written(components(links), "components")
-        if last:
-            break
-    return named
+    split = written(_split_buckets(members, named).join(sets, "set_id"), "split-buckets")
+    rest = other(split, "component", "bands", "shingles", "main")
+    # minority rows of a bucket meet all its rows, two minority rows once, and a pair in the first band that it shares
+    once = "component <> other_component and (other_component = main or set_id < other)"
+    first = "not arrays_overlap(slice(bands, 1, band), slice(other_bands, 1, band))"
+    alike = f"{100 + percent} * size(array_intersect(shingles, other_shingles)) >= {percent} * (n + other_n)"
+    met = split.where("component <> main").join(rest, "key").where(" and ".join([once, _alike(percent), first, likely, alike]))
+    more = written(met.select(F.col("set_id").alias("a"), F.col("other").alias("b")), "links")
+    return named if more.isEmpty() else written(components(links.union(more)), "components")
 
 
 def near_duplicates(
@@ -241,13 +215,19 @@ def near_duplicates(
     classes = (
         signed.where("set_id is not null")
         .groupBy("set_id")
-        .agg(F.min("doc_id").alias("low"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"))
+        .agg(
+            F.min("doc_id").alias("low"),
+            F.any_value("n_shingles").alias("n"),
+            F.any_value("bands").alias("bands"),
+            F.any_value("sketch").alias("sketch"),
+        )
     )
     classes = written(classes, "classes")
-    named = _links(classes, _needed_sets(texts, classes, spec), spec)
+    members = shared_bands(classes)
+    named = linked_classes(members, _needed_sets(texts, members, spec), spec.percent, spec.likely(), ("sketch",))
     lows = named.join(classes.select(F.col("set_id").alias("node"), "low"), "node")
     lowest = lows.groupBy("component").agg(F.min("low").alias("component_id"))
-    linked = spread_join(lows.select(F.col("node").alias("set_id"), "component"), lowest, "component", "inner")
+    linked = lows.select(F.col("node").alias("set_id"), "component").join(lowest, "component")
     placed = classes.select("set_id", "low").join(linked, "set_id", "left")
     group = F.coalesce("component", "set_id").alias("group")
     placed = placed.select("set_id", F.coalesce("component_id", "low").alias("component_id"), group)
@@ -257,13 +237,10 @@ def near_duplicates(
     return out.select("doc_id", *carry, "n_shingles", "component_id", kept, "group")
 
 
-def _needed_sets(texts: DataFrame, classes: DataFrame, spec: NearDup) -> DataFrame:
+def _needed_sets(texts: DataFrame, members: DataFrame, spec: NearDup) -> DataFrame:
     """Full shingle sets of the classes that share a band with another one, once each."""
-    keys = classes.select("set_id", "low", F.explode("bands").alias("key"))
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    needed = written(spread_join(keys, shared, "key", "inner").select("set_id", "low").distinct(), "needed")
-    ids = needed.select(F.col("low").alias("doc_id")).distinct()
-    if needed.count() <= BROADCAST_ROWS:
+    ids = written(members.select(F.col("low").alias("doc_id")).distinct(), "needed")
+    if ids.count() <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
     wanted = texts.join(ids, texts["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi").select("text")
     sets = wanted.mapInArrow(_sets(spec.shingle), "set_id binary, shingles array<long>")
