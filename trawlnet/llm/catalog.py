@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trawlnet.llm.decontaminate import Contamination, contaminated
+from trawlnet.llm.licenses import licence_matches
 from trawlnet.llm.mixing import Mix, mix_sources
 from trawlnet.llm.near_dup import NearDup, near_duplicates
+from trawlnet.llm.paragraphs import Repeats, repeated_passages
 from trawlnet.llm.quality_cnn import learn, remainder, score
 from trawlnet.llm.ring import Ring, assign
 from trawlnet.llm.secret_scan import BASE_RULES, count_kind, scan_versions, spans_text
@@ -127,7 +129,17 @@ def op8_secret_ledger(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op9_license_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return licence_matches(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 @query()
 def op10_simhash_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return contaminated(docs, table(spark, folder, "benchmark"), Contamination(shingle=5, percent=80))
+
+
+@query()
+def op6_paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_passages(table(spark, folder, "documents").select("doc_id", "text"), Repeats())

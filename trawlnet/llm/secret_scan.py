@@ -76,7 +76,7 @@ def _ledger(spark, path: str, rules: tuple[Rule, ...]) -> DataFrame | None:
         return None
     stored = spark.read.schema(f"blob binary, version string, spans {SPANS}").parquet(path)
     stored = stored.where(F.col("version").isin([r.version for r in rules]))
-    return stored.groupBy("blob").agg(F.collect_set(F.struct("version", "spans")).alias("entries"))
+    return stored.groupBy("blob").agg(F.collect_set(F.struct("version", "spans")).alias("_entries"))
 
 
 def _spans(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
@@ -129,7 +129,7 @@ def scan_versions(
     if known is None:
         unseen = blobs.withColumn("missing", every)
     else:
-        unseen = blobs.join(known, "blob", "left").select("blob", F.array_except(every, F.coalesce(F.col("entries.version"), F.array())).alias("missing"))
+        unseen = blobs.join(known, "blob", "left").select("blob", F.array_except(every, F.coalesce(F.col("_entries.version"), F.array())).alias("missing"))
     unseen = written(unseen.where(F.size("missing") > 0), "unseen")
     n_unseen = unseen.count()
     if n_unseen:
@@ -149,10 +149,10 @@ def scan_versions(
     if known is None:
         return keyed.select(*keep, F.array().cast("array<struct<kind:string,start:int,end:int>>").alias("findings"))
     # most blobs have no finding: only those with one are joined back
-    known = known.select("blob", F.filter("entries", lambda e: F.size(F.coalesce(e["spans"], F.array().cast(SPANS))) > 0).alias("entries"))
-    known = known.where(F.size("entries") > 0)
+    known = known.select("blob", F.filter("_entries", lambda e: F.size(F.coalesce(e["spans"], F.array().cast(SPANS))) > 0).alias("_entries"))
+    known = known.where(F.size("_entries") > 0)
     out = spread_join(keyed, known, "blob")
-    ordered = F.array_sort(F.concat(*[_of_rule(F.col("entries"), i, r) for i, r in enumerate(rules)]))
+    ordered = F.array_sort(F.concat(*[_of_rule(F.col("_entries"), i, r) for i, r in enumerate(rules)]))
     findings = F.transform(ordered, lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
     empty = F.array().cast("array<struct<kind:string,start:int,end:int>>")
     return out.select(*keep, F.coalesce(findings, empty).alias("findings"))
