@@ -38,7 +38,6 @@ def skewed_vectors(n, seed, dim=6):
 def small_blocks(monkeypatch):
     monkeypatch.setattr(R, "ITEM_BLOCK", 40)
     monkeypatch.setattr(R, "QUERY_BLOCK", 25)
-    monkeypatch.setattr(R, "_SLICE_ROWS", 7)
 
 
 @pytest.mark.parametrize("bound", [R.BROADCAST_ROWS, 10])
@@ -83,21 +82,59 @@ def test_distances_do_not_fall_with_rank(spark, tiny):
     assert all(d == sorted(d) and len(d) == 8 and d[0] == 0.0 for d in by_query.values())
 
 
-@pytest.mark.parametrize("bound", [R.BROADCAST_ROWS, 10])
-def test_plan_limits_groups_before_the_shuffle_and_pairs_nothing(spark, tiny, plan, bound):
+def test_plan_limits_groups_before_the_shuffle_and_pairs_nothing(spark, tiny, plan):
     v = spark.read.parquet(f"{tiny}/embeddings.parquet")
-    text = plan(R.knn(v.withColumnRenamed("vec_id", "query_id"), v.withColumnRenamed("vec_id", "id"), 5, broadcast_rows=bound))
+    text = plan(R.knn(v.withColumnRenamed("vec_id", "query_id"), v.withColumnRenamed("vec_id", "id"), 5))
     assert "WindowGroupLimit" in text and "Partial" in text
     assert "NestedLoopJoin" not in text and "CartesianProduct" not in text
 
 
-def test_pruning_skips_far_cells(spark):
-    rng = np.random.default_rng(8)
-    pivots = rng.normal(size=(20, 3)) * 100
-    sizes, radii = np.full(20, 10), np.full(20, 1.0)
-    df = frame(spark, pivots + 0.1, "query_id").withColumn("bound", F.lit(4.0))
-    cells = R._later_cells(pivots, sizes, radii, 5)
-    assert all(r["n"] == 0 for r in df.select(F.size(cells("embedding", "bound")).alias("n")).collect())
+def test_null_and_nan_elements_are_refused_on_both_sides(spark):
+    good = frame(spark, [[0, 1], [1, 0]], "id")
+    for bad in ([float("nan"), 1.0], [None, 1.0], [float("inf"), 0.0]):
+        odd = spark.createDataFrame([(1, bad)], "id long, embedding array<float>")
+        for bound in (R.BROADCAST_ROWS, 1):
+            with pytest.raises(Exception, match="null, NaN or infinite"):
+                R.knn(good.withColumnRenamed("id", "query_id"), odd, broadcast_rows=bound).collect()
+            with pytest.raises(Exception, match="null, NaN or infinite"):
+                R.knn(odd.withColumnRenamed("id", "query_id"), good, broadcast_rows=bound).collect()
+
+
+def test_far_from_the_origin(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 4)) + 1e7
+    q = x[:40] + rng.normal(scale=0.1, size=(40, 4))
+    columns = "long, embedding array<double>"
+    qs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(q)], f"query_id {columns}")
+    xs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], f"id {columns}")
+    for bound in (R.BROADCAST_ROWS, 10):
+        got = {(r["query_id"], r["id"]) for r in R.knn(qs, xs, 3, broadcast_rows=bound).collect()}
+        assert got == {(i, int(j)) for i, v in enumerate(q) for j in np.argsort(((x - v) ** 2).sum(axis=1))[:3]}
+
+
+def test_k_beyond_the_group_limit(spark):
+    x, q = skewed_vectors(1700, 6, dim=2), skewed_vectors(6, 7, dim=2)
+    got = R.knn(frame(spark, q, "query_id"), frame(spark, x, "id"), 1500, broadcast_rows=2)
+    assert rows(got) == brute_force(q, x, 1500)
+
+
+def test_embedder_that_never_repeats_itself(spark):
+    """Every query is answered, and each is embedded once."""
+    q = frame(spark, skewed_vectors(60, 8), "query_id")
+    q = q.withColumn("embedding", F.transform("embedding", lambda v: (v + F.rand() * 1e-6).cast("float")))
+    for bound in (R.BROADCAST_ROWS, 7):
+        hits = R.knn(q, frame(spark, skewed_vectors(100, 9), "id"), 4, broadcast_rows=bound)
+        assert hits.groupBy("query_id").count().where("count = 4").count() == 60
+
+
+@pytest.mark.parametrize("bound", [R.BROADCAST_ROWS, 3])
+def test_one_query_in_two_scopes_is_ranked_in_each(spark, bound):
+    x = frame(spark, skewed_vectors(90, 10), "id", True)
+    q = frame(spark, skewed_vectors(8, 11), "query_id", True)
+    q = q.union(q.withColumn("scope", (F.col("scope") + 1) % 3))
+    got = R.knn(q, x, 5, scope="scope", broadcast_rows=bound)
+    counts = got.groupBy("query_id", "scope").agg(F.count("*").alias("n"), F.max("rank").alias("last")).collect()
+    assert len(counts) == 16 and all((r["n"], r["last"]) == (5, 5) for r in counts)
 
 
 def test_approximate_recall(spark, tiny, small_blocks):
@@ -137,16 +174,6 @@ def test_fetch_both_ways(spark, monkeypatch):
         assert sorted(map(tuple, got)) == [(1, "a"), (2, "c")]
 
 
-def test_slices_cover_a_batch():
-    import pyarrow as pa
-
-    x = np.arange(5000, dtype="float32").reshape(2500, 2)
-    batch = pa.array(list(x), type=pa.list_(pa.float32()))
-    parts = list(R._slices(batch))
-    assert len(parts) == 3 and np.array_equal(np.concatenate([p for _, p in parts]), x)
-    assert [len(p) for _, p in R._slices(batch.slice(0, 0))] == [0]
-
-
 def test_spare_copies():
     from trawlnet.operators.topk import without_spare_copies
 

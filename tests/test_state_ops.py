@@ -80,8 +80,17 @@ def test_logs(spark, tmp_path):
     assert got == {"success": (1, 2.0, 2.0, 2.0), "failure": (1, 4.0, 4.0, 0.0)}
 
 
+def test_paths_with_one_key_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(S, "job_key", lambda path: F.lit("same"))
+    projects = spark.createDataFrame([(1, "/a"), (2, "/b")], "project_id int, project_path string")
+    jobs = spark.createDataFrame([("/a", 1, 0, 0)], "project_path string, succeeded int, failed int, active int")
+    assert [r["project_path"] for r in S.ingest_todo(projects, jobs).collect()] == ["/b"]
+    assert {r["project_id"]: r["action"] for r in S.ingest_plan(projects, jobs).collect()} == {1: "reuse", 2: "create"}
+    assert [tuple(r) for r in S.key_collisions(projects).collect()] == [("same", 2, "/a")]
+
+
 def test_trace_orders_across_services(spark):
     api = spark.createDataFrame([("r", 1, 10, "api"), ("r", 3, 11, "api"), ("q", 9, 12, "api")], "request_id string, ts int, event_id int, service string")
     runner = spark.createDataFrame([("r", 2, 13, "runner", "x")], "request_id string, ts int, event_id int, service string, event string")
-    rows = O.request_trace(api, runner).collect()
-    assert [(r["request_id"], r["ts"], r["service"]) for r in rows] == [("q", 9, "api"), ("r", 1, "api"), ("r", 2, "runner"), ("r", 3, "api")]
+    rows = sorted((r["request_id"], r["position"], r["ts"], r["service"]) for r in O.request_trace(api, runner).collect())
+    assert rows == [("q", 1, 9, "api"), ("r", 1, 1, "api"), ("r", 2, 2, "runner"), ("r", 3, 3, "api")]

@@ -234,9 +234,12 @@ def hash_embed(t: Tables) -> DataFrame:
 # --- retrieval -------------------------------------------------------------------------------
 
 
-def _doc_chunks(t: Tables) -> DataFrame:
-    """``id, text`` of all document chunks."""
+def _doc_chunks(t: Tables, hits: DataFrame | None = None) -> DataFrame:
+    """``id, text`` of all document chunks, or of those documents only that some hit is in."""
     docs = t.spread("documents", "doc_id", "text")
+    if hits is not None:
+        found = F.substring_index("id", ":", 1).cast(docs.schema["doc_id"].dataType)
+        docs = docs.join(hits.select(found.alias("doc_id")).distinct(), "doc_id", "left_semi")
     chunks = chunk.chunk_lines(docs, keep=["doc_id"])
     return chunks.select(keys.content_key(F.col("doc_id").cast("string"), F.col("start_line")).alias("id"), "text")
 
@@ -272,7 +275,18 @@ def knn_multi(t: Tables) -> DataFrame:
 
 @query(vector_knn_sql(VECTORS, 5, on="q.label = x.label"))
 def knn_by_collection(t: Tables) -> DataFrame:
-    return retrieve.knn(_vectors(t), _items(t), 5, scope="label")
+    return retrieve.knn(_vectors(t), _items(t), 5, scope="label").drop("label")
+
+
+@query(vector_knn_sql(VECTORS, 5))
+def knn_multi_large(t: Tables) -> DataFrame:
+    """The way of a query set above the bound: several blocks."""
+    return retrieve.knn(_vectors(t), _items(t), 5, broadcast_rows=200)
+
+
+@query(vector_knn_sql(VECTORS, 5, on="q.label = x.label"))
+def knn_scoped_large(t: Tables) -> DataFrame:
+    return retrieve.knn(_vectors(t), _items(t), 5, scope="label", broadcast_rows=200).drop("label")
 
 
 @query(
@@ -305,7 +319,8 @@ def rag_search(t: Tables) -> DataFrame:
 
 
 def _with_documents(t: Tables, hits: DataFrame) -> DataFrame:
-    return retrieve.fetch(hits, _doc_chunks(t).withColumnRenamed("text", "document"), "id")
+    hits = cut_lineage(hits)
+    return retrieve.fetch(hits, _doc_chunks(t, hits).withColumnRenamed("text", "document"), "id")
 
 
 @query(
@@ -349,6 +364,44 @@ def hybrid_context(t: Tables) -> DataFrame:
     return retrieve.with_attachments(hits, attachments)
 
 
+INGESTED = f"""with q as (select item_id as qid, text from benchmark),
+c as (select path, start_line, end_line, text, concat('chunk_', row_number() over (order by path, start_line) - 1) as id from (
+  {chunks_sql("(select concat('docs/', doc_id) as path, text from documents)", "path", 50)})),
+x as (select id, text from c),
+{text_knn_sql(5)}
+"""
+
+
+def _ingested(t: Tables):
+    """Documents as one collection with ordinal ids, and the benchmark texts as its queries."""
+    store = collection.open_store(t.spark, scratch_path(t.spark, "ingested"))
+    texts = t.spread("documents", "doc_id", "text").select(F.concat(F.lit("docs/"), "doc_id").alias("path"), "text")
+    ingest.ingest_texts(texts, "code_docs", store, unique_paths=True)
+    return store, t("benchmark").select(F.col("item_id").alias("query_id"), "text")
+
+
+@query(
+    INGESTED
+    + """select qid as query_id, rank, hits.id, path, start_line, end_line, distance, c.text as document from hits join c on c.id = hits.id"""
+)
+def ingest_pipeline(t: Tables) -> DataFrame:
+    """Chunk, number, embed, store, and query what was stored."""
+    store, queries = _ingested(t)
+    hits = answer.query_collection(store, "code_docs", queries, 5)
+    return hits.select("query_id", "rank", "id", "path", "start_line", "end_line", "distance", "document")
+
+
+@query(
+    INGESTED
+    + r"""select q.qid as query_id, any_value(q.text) as text, coalesce(string_agg(c.text, chr(10) || chr(10) || '---' || chr(10) || chr(10) order by rank),
+  'No results found.') as context
+from q left join hits on hits.qid = q.qid left join c on c.id = hits.id group by q.qid"""
+)
+def rag_contexts(t: Tables) -> DataFrame:
+    store, queries = _ingested(t)
+    return answer.rag_contexts(store, "code_docs", queries)
+
+
 STORED_CHUNKS = f"""select concat('code_', lang) as c, concat(doc_id, ':', start_line) as id, text, start_line, end_line
   from ({chunks_sql("documents", "doc_id, lang", 50)})"""
 
@@ -497,14 +550,17 @@ def page_search(t: Tables) -> DataFrame:
     derived_sql("chat_requests")
     + """ select conv_id, turn, message, case when turn % 4 = 0 then concat('/workspace/c', conv_id) end as project_path,
   case when conv_id % 3 = 0 then 'owner/repo' end as pinned_repo,
-  cast(1 + (turn % 4 = 0)::int + (conv_id % 3 = 0)::int as int) as n_keys from chat_requests"""
+  case when conv_id % 5 = 0 then concat('["note ', turn, '"]') end as attachments,
+  cast(1 + (turn % 4 = 0)::int + (conv_id % 3 = 0)::int + (conv_id % 5 = 0)::int as int) as n_keys from chat_requests"""
 )
 def chat_inputs(t: Tables) -> DataFrame:
-    record = t("chat_requests").select("conv_id", "turn", chat.inputs_record(("project_path", "pinned_repo")).alias("record"))
+    note = F.when(F.col("conv_id") % 5 == 0, F.array(F.concat_ws(" ", F.lit("note"), "turn")))
+    requests = t("chat_requests").withColumn("attachments", note)
+    record = requests.select("conv_id", "turn", chat.inputs_record().alias("record"))
     return record.select(
         "conv_id",
         "turn",
-        *[F.get_json_object("record", f"$.{k}").alias(k) for k in ("message", "project_path", "pinned_repo")],
+        *[F.get_json_object("record", f"$.{k}").alias(k) for k in ("message", "project_path", "pinned_repo", "attachments")],
         F.size(F.json_object_keys("record")).alias("n_keys"),
     )
 
@@ -787,12 +843,13 @@ def log_scan(t: Tables) -> DataFrame:
 
 @query(
     derived_sql("request_logs")
-    + " select request_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as at, event_id, service, event, outcome from request_logs"
+    + """ select request_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as at, event_id, service, event, outcome,
+  row_number() over (partition by request_id order by ts, event_id) as position from request_logs"""
 )
 def request_trace(t: Tables) -> DataFrame:
     logs = t("request_logs")
     api, runner = (logs.where(F.col("service") == s) for s in ("api", "runner"))
     trace = ops.request_trace(api, runner)
     return trace.select(
-        "request_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"), "event_id", "service", "event", "outcome"
+        "request_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"), "event_id", "service", "event", "outcome", "position"
     )

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trawlnet.functions.keys import with_ordinal
+
 # Fixed values.
 CHECKS = ("runner", "store", "llm")
 MAX_PROBES = 3
@@ -75,10 +77,13 @@ def run_outcomes(logs: DataFrame, event: str = RUN_EVENT) -> DataFrame:
 
 
 def request_trace(*logs: DataFrame, key: str = "request_id", tie: str = "event_id") -> DataFrame:
-    """Records of all services per request in time order.
+    """Records of all services with their ``position`` from 1 in the time order of their request.
 
-    One range sort on (request, time): a request with any number of records spreads over
-    partitions and is never gathered into a list.
+    One range sort on (request, time) numbers all records: a request with any number of records spreads over
+    partitions and is never gathered. Positions count from the lowest number of the request.
     """
     both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), logs)
-    return both.orderBy(key, "ts", tie)
+    placed = with_ordinal(both, [key, "ts", tie], "_at")
+    first = placed.groupBy(key).agg(F.min("_at").alias("_first"))
+    same = placed[key].eqNullSafe(first[key])
+    return placed.join(first, same).drop(first[key]).withColumn("position", F.col("_at") - F.col("_first") + 1).drop("_at", "_first")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -16,17 +17,17 @@ from trawlnet.functions.text import first_non_empty
 from trawlnet.operators.topk import RunningTopK, squared_distances, without_spare_copies
 from trawlnet.session import cut_lineage
 
+# Hits by default, what separates documents, and the sentence for none.
 DEFAULT_K = 5
 SEPARATOR = "\n\n---\n\n"
 NO_RESULTS = "No results found."
 
-# A query set is shipped to every task only below both of these.
+# Queries are sent to the items in blocks below both of these.
 BROADCAST_ROWS = 8192
 BROADCAST_BYTES = 64 << 20
 # Rows of either side in one cell block of the partitioned join.
 ITEM_BLOCK = 20_000
 QUERY_BLOCK = 4_096
-MAX_CELLS = 1024
 # From so many queries on, looking for equal vectors in a batch costs less than scoring the copies.
 COPY_CHECK_QUERIES = 64
 # Scope values that are worth an IN filter on the items.
@@ -34,7 +35,7 @@ PRUNED_SCOPES = 1000
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """A list column as a float64 matrix; unequal row sizes are an error."""
+    """A list column as a float64 matrix; unequal row sizes and null, NaN or infinite elements are an error."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     flat = column.flatten().to_numpy(zero_copy_only=False).astype("float64")
@@ -42,6 +43,8 @@ def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     width = len(flat) // n if n else 0
     if n and (column.value_lengths().to_numpy() != width).any():
         raise ValueError("vectors of different sizes cannot be compared")
+    if not np.isfinite(flat).all():  # a null element reads as NaN
+        raise ValueError("vectors with null, NaN or infinite elements cannot be compared")
     return flat.reshape(n, width)
 
 
@@ -62,26 +65,31 @@ def knn(
     scope: str | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """The ``k`` nearest items of every query: ``query_id, item_id, distance, rank``.
+    """The ``k`` nearest items of every query: ``query_id, item_id, distance, rank``, and ``scope`` where it is given.
 
     Exact for any input size. ``distance`` is squared L2 to 6 decimals, and equal distances rank by
-    item id. With ``scope``, a query only meets items with the same value there.
-    A query set of proven small size travels to the items, which then never move; a larger one
-    is joined cell by cell with triangle-inequality pruning (``knn_partitioned``).
+    item id. With ``scope``, a query only meets items with the same value there, and a query id
+    that asks several scopes is ranked in each. Null vectors are skipped; null, NaN or infinite
+    elements are an error on either side.
+    The queries are materialised once, since an embedder need not repeat itself, and travel to
+    the items in blocks of bounded size; the items never move.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
-    queries = _narrow(queries, query_id, vector_col, scope)
+    queries = cut_lineage(_narrow(queries, query_id, vector_col, scope))
     items = _narrow(items, item_id, vector_col, scope)
-    head = queries.limit(broadcast_rows + 1).toArrow()
-    if head.num_rows <= broadcast_rows and head.nbytes <= BROADCAST_BYTES:
-        hits = _knn_broadcast(head, queries.schema[query_id], items, k, query_id, item_id, vector_col, scope)
-        return rank_hits(hits, k, query_id, item_id)
-
-    def join(q: DataFrame, x: DataFrame) -> DataFrame:
-        return knn_partitioned(q, x, k, query_id, item_id, vector_col, scope)
-
-    return once_per_vector(queries, items, k, query_id, item_id, vector_col, scope, join)
+    field = queries.schema[query_id]
+    size = F.sum(F.size(vector_col).cast("long") * 8 + F.octet_length(F.col(query_id).cast("string")) + 64)
+    n_rows, n_bytes = queries.agg(F.count(F.lit(1)), size).first()
+    blocks = max(1, math.ceil(n_rows / broadcast_rows), math.ceil((n_bytes or 0) / BROADCAST_BYTES))
+    if blocks > 1:
+        items = cut_lineage(items)
+    answers = []
+    for block in range(blocks):
+        own = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64(query_id, *([scope] if scope else [])), F.lit(blocks)) == block)
+        hits = rank_hits(_knn_broadcast(own.toArrow(), field, items, k, query_id, item_id, vector_col, scope), k, query_id, item_id, scope=scope)
+        answers.append(hits if blocks == 1 else cut_lineage(hits))
+    return reduce(DataFrame.unionByName, answers)
 
 
 def _narrow(df: DataFrame, key: str, vector_col: str, scope: str | None) -> DataFrame:
@@ -89,16 +97,17 @@ def _narrow(df: DataFrame, key: str, vector_col: str, scope: str | None) -> Data
     return df.select(*columns).where(F.col(vector_col).isNotNull())
 
 
-def rank_hits(hits: DataFrame, k: int, query_id: str, item_id: str, cost: str = "distance") -> DataFrame:
-    """Merge partial top-k lists. Spark keeps k per query in each partition before the shuffle."""
-    order = Window.partitionBy(query_id).orderBy(cost, item_id)
+def rank_hits(hits: DataFrame, k: int, query_id: str, item_id: str, cost: str = "distance", scope: str | None = None) -> DataFrame:
+    """Merge partial top-k lists, one per query and task. Spark also keeps k per query in each partition up to k = 1000."""
+    order = Window.partitionBy(query_id, *([scope] if scope else [])).orderBy(cost, item_id)
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _hit_schema(items: DataFrame, query_field: StructField, item_id: str) -> StructType:
+def _hit_schema(items: DataFrame, query_field: StructField, item_id: str, scope: str | None = None) -> StructType:
     return StructType(
         [
             StructField(query_field.name, query_field.dataType),
+            *([StructField(scope, items.schema[scope].dataType)] if scope else []),
             StructField(item_id, items.schema[item_id].dataType),
             StructField("distance", DoubleType()),
         ]
@@ -107,19 +116,22 @@ def _hit_schema(items: DataFrame, query_field: StructField, item_id: str) -> Str
 
 def _knn_broadcast(head: pa.Table, query_field, items, k, query_id, item_id, vector_col, scope) -> DataFrame:
     """Items stay where they are: every task scores its batches and emits at most k rows per query."""
-    schema = _hit_schema(items, query_field, item_id)
+    schema = _hit_schema(items, query_field, item_id, scope)
     ids = head[query_id].combine_chunks()
+    asked = head[scope].combine_chunks() if scope else None
     vectors = matrix(head[vector_col])
+    # distances do not change when both sides move; near the origin their sums cancel less
+    centre = vectors.mean(axis=0) if len(vectors) else np.zeros(0)
     members: dict | None = None
     if scope:
         values = pd.Series(plain(head[scope]))
         members = {value: np.asarray(rows) for value, rows in values.groupby(values).indices.items()}
         if len(members) <= PRUNED_SCOPES:  # lets a table partitioned by the scope skip whole folders
             items = items.where(F.col(scope).isin(values.dropna().unique().tolist()))
-    shared = items.sparkSession.sparkContext.broadcast((ids, vectors, members))
+    shared = items.sparkSession.sparkContext.broadcast((ids, vectors - centre, members, centre, asked))
 
     def score(batches):
-        q_ids, q, by_scope = shared.value
+        q_ids, q, by_scope, middle, q_scopes = shared.value
         best = RunningTopK(len(q_ids), k)
         item_type = None
         for batch in batches:
@@ -127,6 +139,9 @@ def _knn_broadcast(head: pa.Table, query_field, items, k, query_id, item_id, vec
                 continue
             x, x_ids = matrix(batch.column(vector_col)), plain(batch.column(item_id))
             item_type = batch.schema.field(item_id).type
+            if not len(q):
+                continue
+            x = x - middle
             if by_scope is None:
                 if len(q) >= COPY_CHECK_QUERIES:
                     x, x_ids = without_spare_copies(x, x_ids, k)
@@ -137,162 +152,36 @@ def _knn_broadcast(head: pa.Table, query_field, items, k, query_id, item_id, vec
                     sub, sub_ids = x[rows.to_numpy()], x_ids[rows.to_numpy()]
                     if len(by_scope[value]) >= COPY_CHECK_QUERIES:
                         sub, sub_ids = without_spare_copies(sub, sub_ids, k)
-                    best.offer(lambda part, x=sub: squared_distances(q[part], x), len(sub), sub_ids, by_scope[value])
+                    best.gather(lambda part, x=sub: squared_distances(q[part], x), len(sub), sub_ids, by_scope[value])
+            best.merge()
         if best.ids is not None and len(best.rows):
+            rows = pa.array(best.rows)
+            scopes = [q_scopes.take(rows)] if q_scopes is not None else []
             yield pa.RecordBatch.from_arrays(
-                [q_ids.take(pa.array(best.rows)), pa.array(best.ids, type=item_type), pa.array(best.costs)],
-                names=schema.names,
+                [q_ids.take(rows), *scopes, pa.array(best.ids, type=item_type), pa.array(best.costs)], names=schema.names
             )
 
     return items.mapInArrow(score, schema)
 
 
-def once_per_vector(queries, items, k, query_id, item_id, vector_col, scope, join) -> DataFrame:
+def once_per_vector(queries, items, k, query_id, item_id, vector_col, join) -> DataFrame:
     """Run ``join`` on distinct vectors, then hand each answer to all queries with that vector.
 
-    Copies of one text have one vector, and any number of copies may exist. Of items with equal
-    vectors only the k lowest ids can be hits, and Spark drops the others before the shuffle;
-    queries with equal vectors share one answer. The result is the same as without this step.
+    Of items with equal vectors only the k lowest ids can be hits; queries with equal vectors share
+    one answer, found by the id of the one that asks for all of them.
     """
-    same = [vector_col] + ([scope] if scope else [])
-    lowest = Window.partitionBy(*same).orderBy(item_id)
+    lowest = Window.partitionBy(vector_col).orderBy(item_id)
     items = items.withColumn("_copy", F.row_number().over(lowest)).where(F.col("_copy") <= k).drop("_copy")
-    askers = queries.groupBy(*same).agg(F.min(query_id).alias(query_id))
     # both are read several times by the join, and may hold vectors that were costly to make
-    askers, items = cut_lineage(askers), cut_lineage(items)
+    queries, items = cut_lineage(queries), cut_lineage(items)
+    askers = cut_lineage(queries.groupBy(vector_col).agg(F.min(query_id).alias(query_id)))
+    placed = queries.join(askers.withColumnRenamed(query_id, "_asker"), vector_col).select(query_id, "_asker")
     hits = rank_hits(join(askers, items), k, query_id, item_id)
-    lists = hits.groupBy(query_id).agg(F.collect_list(F.struct(item_id, "distance", "rank")).alias("_hits"))  # k each
-    answers = askers.join(lists, query_id).drop(query_id)
-    return queries.join(answers, same).select(query_id, F.inline("_hits"))
-
-
-# --- partitioned exact join ------------------------------------------------------------------
-
-
-def knn_partitioned(queries, items, k, query_id, item_id, vector_col, scope=None) -> DataFrame:
-    """Exact top-k join for query sets too large to ship, without comparing all pairs.
-
-    Items go to the cell of their nearest pivot. Round one searches the nearest cells that hold
-    k items, which bounds each query's k-th distance; round two visits only cells that the
-    triangle inequality cannot rule out. Only per-cell sizes and radii reach the driver.
-    """
-    pivots = _pivots(items, vector_col)
-    if not len(pivots):
-        return items.sparkSession.createDataFrame([], _hit_schema(items, queries.schema[query_id], item_id))
-    cell = _nearest_pivot(pivots)
-    placed = cut_lineage(items.withColumn("_c", cell(F.col(vector_col))).select("*", "_c.cell", "_c.radius").drop("_c"))
-    stats = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("radius").alias("r")).collect()
-    sizes = np.zeros(len(pivots), dtype=np.int64)
-    radii = np.full(len(pivots), -np.inf)
-    for s in stats:  # one row per pivot: at most MAX_CELLS
-        sizes[s["cell"]], radii[s["cell"]] = s["n"], s["r"]
-
-    join = dict(k=k, query_id=query_id, item_id=item_id, vector_col=vector_col, scope=scope)
-    first = queries.withColumn("cell", F.explode(_first_cells(pivots, sizes, k)(F.col(vector_col))))
-    near = cut_lineage(rank_hits(block_join(first, placed, sizes, **join), k, query_id, item_id))
-    bounds = near.groupBy(query_id).agg(
-        F.when(F.count("*") >= k, F.max("distance")).otherwise(F.lit(float("inf"))).alias("_bound")
-    )
-    rest = (
-        queries.join(bounds, query_id, "left")
-        .withColumn("_bound", F.coalesce("_bound", F.lit(float("inf"))))
-        .withColumn("cell", F.explode(_later_cells(pivots, sizes, radii, k)(F.col(vector_col), F.col("_bound"))))
-        .drop("_bound")
-    )
-    far = block_join(rest, placed, sizes, **join)
-    return near.drop("rank").unionByName(far)
-
-
-def _pivots(items: DataFrame, vector_col: str) -> np.ndarray:
-    n = items.count()
-    wanted = int(min(MAX_CELLS, max(1, math.isqrt(n))))
-    fraction = min(1.0, 4.0 * wanted / max(n, 1))
-    sample = items.select(vector_col).sample(fraction, seed=7).limit(wanted).toArrow()
-    if sample.num_rows == 0:
-        sample = items.select(vector_col).limit(1).toArrow()
-    return np.unique(matrix(sample[vector_col]), axis=0)
-
-
-def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    d = (x * x).sum(axis=1)[:, None] + (pivots * pivots).sum(axis=1)[None, :] - 2.0 * (x @ pivots.T)
-    return np.sqrt(np.maximum(d, 0.0))
-
-
-_SLICE_ROWS = 1024
-
-
-def _slices(batch: pa.Array):
-    """A vector batch in pieces, so that a piece-by-pivot matrix stays at a few megabytes."""
-    x = matrix(batch)
-    for start in range(0, max(1, len(x)), _SLICE_ROWS):
-        yield slice(start, start + _SLICE_ROWS), x[start : start + _SLICE_ROWS]
-
-
-def _nearest_pivot(pivots: np.ndarray):
-    @F.arrow_udf("cell int, radius double")
-    def nearest(batch: pa.Array) -> pa.Array:
-        cells, radii = [], []
-        for _, x in _slices(batch):
-            d = _distances(x, pivots) if len(x) else np.zeros((0, len(pivots)))
-            cells.append(d.argmin(axis=1).astype("int32"))
-            radii.append(d.min(axis=1))
-        return pa.StructArray.from_arrays(
-            [pa.array(np.concatenate(cells)), pa.array(np.concatenate(radii))], names=["cell", "radius"]
-        )
-
-    return nearest.asNondeterministic()
-
-
-def _home_cells(d: np.ndarray, sizes: np.ndarray, k: int) -> np.ndarray:
-    """Mask of the fewest nearest cells that together hold k items."""
-    order = np.argsort(d, axis=1, kind="stable")
-    held = np.cumsum(sizes[order], axis=1)
-    taken = (held - sizes[order]) < k
-    mask = np.zeros_like(taken)
-    np.put_along_axis(mask, order, taken, axis=1)
-    return mask & (sizes > 0)[None, :]
-
-
-def _cell_lists(masks: list[np.ndarray]) -> pa.Array:
-    counts = np.concatenate([m.sum(axis=1) for m in masks])
-    cells = np.concatenate([np.nonzero(m)[1] for m in masks]).astype("int32")
-    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype("int32")), pa.array(cells))
-
-
-def _first_cells(pivots, sizes, k):
-    @F.arrow_udf("array<int>")
-    def cells(batch: pa.Array) -> pa.Array:
-        masks = [np.zeros((0, 1), bool)]
-        masks += [_home_cells(_distances(x, pivots), sizes, k) for _, x in _slices(batch) if len(x)]
-        return _cell_lists(masks)
-
-    return cells.asNondeterministic()
-
-
-def _later_cells(pivots, sizes, radii, k):
-    between = _distances(pivots, pivots)
-
-    @F.arrow_udf("array<int>")
-    def cells(batch: pa.Array, bound: pa.Array) -> pa.Array:
-        bounds = bound.to_numpy(zero_copy_only=False)
-        masks = [np.zeros((0, 1), bool)]
-        for rows, x in _slices(batch):
-            if not len(x):
-                continue
-            d = _distances(x, pivots)
-            gap = between[d.argmin(axis=1)]
-            # an item is nearer to its own pivot than to the query's home pivot: a half-space bound
-            plane = np.divide(d**2 - d.min(axis=1)[:, None] ** 2, 2 * gap, out=np.zeros_like(d), where=gap > 0)
-            lower = np.maximum(np.maximum(d - radii[None, :], plane), 0.0)
-            # distances are compared after rounding, so leave room for a tie at the k-th place
-            reachable = lower**2 <= bounds[rows][:, None] + 1e-5
-            masks.append(reachable & (sizes > 0)[None, :] & ~_home_cells(d, sizes, k))
-        return _cell_lists(masks)
-
-    return cells.asNondeterministic()
+    lists = hits.groupBy(F.col(query_id).alias("_asker")).agg(F.collect_list(F.struct(item_id, "distance", "rank")).alias("_hits"))  # k each
+    return placed.join(lists, "_asker").select(query_id, F.inline("_hits"))
 
 
-def block_join(visits, placed, sizes, *, k, query_id, item_id, vector_col, scope=None) -> DataFrame:
+def block_join(visits, placed, sizes, *, k, query_id, item_id, vector_col) -> DataFrame:
     """Top-k of each visiting query within its cell, as (cell, item part, query part) blocks.
 
     Parts are sized from the counts of both sides, so a cell holding a third of all rows becomes
@@ -308,7 +197,6 @@ def block_join(visits, placed, sizes, *, k, query_id, item_id, vector_col, scope
     q = visits.join(parts, "cell").select(
         query_id,
         F.col(vector_col).alias("_qv"),
-        *([scope] if scope else []),
         "cell",
         F.pmod(F.xxhash64(query_id), F.col("_nq").cast("long")).alias("_qp"),
         F.explode(F.sequence(F.lit(0), F.col("_ni") - 1)).alias("_ip"),
@@ -316,7 +204,6 @@ def block_join(visits, placed, sizes, *, k, query_id, item_id, vector_col, scope
     x = placed.join(parts, "cell").select(
         item_id,
         F.col(vector_col).alias("_xv"),
-        *([scope] if scope else []),
         "cell",
         F.pmod(F.xxhash64(item_id), F.col("_ni")).cast("int").alias("_ip"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("_nq").cast("long") - 1)).alias("_qp"),
@@ -333,7 +220,7 @@ def block_join(visits, placed, sizes, *, k, query_id, item_id, vector_col, scope
             ids = pa.array(top.ids, type=ids.type)
         return pa.Table.from_arrays([q_ids.take(pa.array(top.rows)), ids, pa.array(top.costs)], names=schema.names)
 
-    keys = ([scope] if scope else []) + ["cell", "_ip", "_qp"]
+    keys = ["cell", "_ip", "_qp"]
     return q.groupBy(*keys).cogroup(x.groupBy(*keys)).applyInArrow(best_of_block, schema)
 
 
@@ -387,7 +274,7 @@ def knn_approximate(
         return hits.dropDuplicates([query_id, item_id])
 
     narrow = (_narrow(queries, query_id, vector_col, None), _narrow(items, item_id, vector_col, None))
-    return once_per_vector(*narrow, k, query_id, item_id, vector_col, None, join)
+    return once_per_vector(*narrow, k, query_id, item_id, vector_col, join)
 
 
 def recall(found: DataFrame, truth: DataFrame, query_id: str = "query_id", item_id: str = "id") -> DataFrame:

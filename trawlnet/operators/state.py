@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from trawlnet.functions.keys import job_key
 
 # Fixed values.
-STATUSES = ("idle", "indexing", "ready", "failed")
 
 
 def job_status(has_job: Column, succeeded: Column, failed: Column) -> Column:
@@ -22,14 +21,13 @@ def job_status(has_job: Column, succeeded: Column, failed: Column) -> Column:
 
 
 def with_jobs(projects: DataFrame, jobs: DataFrame) -> DataFrame:
-    """Projects with the counts of their job, looked up by job key."""
-    # a job key is 32 bits of the path's hash, so paths that collide share one job
-    keyed = jobs.groupBy(job_key(F.col("project_path")).alias("job_id")).agg(
+    """Projects with the counts of their job, looked up by path: its key has 32 bits only, which paths may share."""
+    by_path = jobs.groupBy("project_path").agg(
         *[F.max(c).alias(c) for c in ("succeeded", "failed", "active")], F.lit(True).alias("_job")
     )
     return (
         projects.withColumn("job_id", job_key(F.col("project_path")))
-        .join(keyed, "job_id", "left")
+        .join(by_path, "project_path", "left")
         .withColumn("has_job", F.coalesce("_job", F.lit(False)))
         .drop("_job")
     )
@@ -53,7 +51,14 @@ def ingest_plan(projects: DataFrame, jobs: DataFrame) -> DataFrame:
 def ingest_todo(projects: DataFrame, jobs: DataFrame) -> DataFrame:
     """Paths without a job, once each, with the key their job will get."""
     keyed = projects.select("project_path").distinct().withColumn("job_id", job_key(F.col("project_path")))
-    return keyed.join(jobs.select(job_key(F.col("project_path")).alias("job_id")), "job_id", "left_anti")
+    return keyed.join(jobs.select("project_path"), "project_path", "left_anti")
+
+
+def key_collisions(paths: DataFrame) -> DataFrame:
+    """Job keys that several paths share, with the number of paths and the lowest of them."""
+    keyed = paths.select("project_path").distinct().withColumn("job_id", job_key(F.col("project_path")))
+    shared = keyed.groupBy("job_id").agg(F.count(F.lit(1)).alias("n_paths"), F.min("project_path").alias("first_path"))
+    return shared.where("n_paths > 1")
 
 
 def refresh_status(rows: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ def pick(
     """
     if costs.shape[1] > k and not np.isfinite(cut).all():
         cut = np.minimum(cut, _rounded(np.partition(costs, k - 1, axis=1)[:, k - 1], floor))
-    flat = np.flatnonzero(costs <= (cut + _ROUNDING_ROOM)[:, None])
+    flat = np.flatnonzero(costs <= (cut + np.maximum(_ROUNDING_ROOM, 1e-12 * np.abs(np.where(np.isfinite(cut), cut, 0))))[:, None])
     values = _rounded(costs.ravel()[flat], floor)
     rows, cols = np.divmod(flat, costs.shape[1])
     kept = (values <= cut[rows]) & np.isfinite(values)
@@ -65,18 +65,26 @@ class RunningTopK:
         self.ids = None
         self.costs = np.zeros(0)
         self.cut = np.full(n_queries, np.inf)
+        self.found: list[tuple] = []
 
     def offer(self, score_block, n_items: int, ids: np.ndarray, members: np.ndarray | None = None) -> None:
         """``score_block(query_positions)`` gives costs of those queries against the batch."""
+        self.gather(score_block, n_items, ids, members)
+        self.merge()
+
+    def gather(self, score_block, n_items: int, ids: np.ndarray, members: np.ndarray | None = None) -> None:
+        """Like ``offer``, but what is found waits for one ``merge``, so that many small batches cost one."""
         members = np.arange(len(self.cut)) if members is None else members
         step = max(1, _BLOCK_CELLS // max(1, n_items))
-        found = []
         for start in range(0, len(members), step):
             part = members[start : start + step]
             rows, cols, values = pick(score_block(part), ids, self.k, self.cut[part], self.floor)
-            found.append((part[rows], ids[cols], values))
-        if not found:
+            self.found.append((part[rows], ids[cols], values))
+
+    def merge(self) -> None:
+        if not self.found:
             return
+        found, self.found = self.found, []
         rows = np.concatenate([self.rows] + [f[0] for f in found])
         new_ids = np.concatenate(([] if self.ids is None else [self.ids]) + [f[1] for f in found])
         costs = np.concatenate([self.costs] + [f[2] for f in found])

@@ -65,8 +65,7 @@ def query_collections(
     rows = store.read().join(queries.select("collection_id").distinct(), "collection_id", "left_semi")
     check_embedder(rows, resolve(embedder).name)
     hits = search_chunks(queries, rows, k, query_id=query_id, embedder=embedder, scope="collection_id")
-    placed = hits.join(queries.select(query_id, "collection_id"), query_id)
-    return fetch(placed, rows.drop("embedding", "embedder"), ["collection_id", "id"]).select(
+    return fetch(hits, rows.drop("embedding", "embedder"), ["collection_id", "id"]).select(
         query_id, "collection_id", *HIT_COLUMNS
     )
 
