@@ -24,7 +24,7 @@ def odd_rows():
         (20, base, "s0"), (21, base, "s0"), (22, base.upper(), None), (23, base + " tail", "s1"),
         (30, None, "s0"), (31, "", "s1"), (32, " \t\n ", "s2"), (33, "one", None),
         (40, prose(7, 80), "s0"), (40, prose(7, 80), "s0"), (41, prose(8, 70), "s1"), (41, prose(9, 70), "s1"),
-        (None, prose(10, 50), "s2"), (None, None, None), (50, prose(11, 30_000), "s2"),
+        (None, prose(10, 50), "s2"), (None, None, None), (50, prose(11, 3_000), "s2"),
     ]
     return rows
 

@@ -45,28 +45,40 @@ def _fingerprints(shingles: np.ndarray, weights: np.ndarray, begins: np.ndarray,
     return np.packbits(sums[begins + sizes] - sums[begins] > 0, axis=1)
 
 
+def run_sums(values: np.ndarray, k: int) -> np.ndarray:
+    """Sums of every run of ``k`` values."""
+    sums = np.concatenate([[0], np.cumsum(values)])
+    return sums[k:] - sums[:-k]
+
+
+def bag(shingles: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct shingles with their counts and weights."""
+    keys, first, counts = np.unique(shingles, return_index=True, return_counts=True)
+    return keys, counts, weights[first]
+
+
 @dataclass
 class Index:
-    """Benchmark items ready to be searched: shingle weights, fingerprints by size, and the Hamming block tables."""
+    """Benchmark items ready to be searched: shingle bags, fingerprints by size, and the Hamming block tables.
+
+    A shingle weighs as many bytes as its words have, so its weight does not depend on the other items."""
 
     spec: Contamination
     ids: list
     items: list[np.ndarray]  # word hashes of each item
+    lengths: list[np.ndarray]  # and the bytes of each word
     table: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
 
     def __post_init__(self):
         self.k = np.array([min(self.spec.shingle, len(w)) for w in self.items])
         self.n = np.array([len(w) for w in self.items])
         sets = [shingle_hashes(w, k) for w, k in zip(self.items, self.k.tolist(), strict=True)]
+        weights = [run_sums(n, k) for n, k in zip(self.lengths, self.k.tolist(), strict=True)]
         distinct = [np.unique(s) for s in sets]
-        self.known, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *distinct]), return_counts=True)
-        # a shingle that many items share says less; unknown ones weigh as those of one item
-        scaled = np.round(1024 * np.log1p(len(self.items) / np.append(counts, 1)))
-        self.weight, self.plain = scaled[:-1].astype(np.int64), int(scaled[-1])
-        self.bags = [self.bag(s) for s in sets]
+        self.bags = [bag(s, w) for s, w in zip(sets, weights, strict=True)]
         self.prints = np.zeros((len(sets), BLOCKS), np.uint8)
-        for i, s in enumerate(sets):
-            self.prints[i] = _fingerprints(s, self.weights(s), np.zeros(1, int), np.array([len(s)]))[0]
+        for i, (s, w) in enumerate(zip(sets, weights, strict=True)):
+            self.prints[i] = _fingerprints(s, w, np.zeros(1, int), np.array([len(s)]))[0]
         # for each shingle length: its shingles, behind a bit table, and the item sizes that contain each
         self.sizes = {k: np.unique(self.n[self.k == k]) for k in sorted(set(self.k.tolist()))}
         for k in self.sizes:
@@ -82,14 +94,6 @@ class Index:
             own = np.flatnonzero(self.n == n)
             self.blocks[n] = [[own[near[value, self.prints[own, b]]] for value in range(256)] for b in range(BLOCKS)]
 
-    def weights(self, shingles: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.known, shingles), len(self.known) - 1)
-        return np.where(self.known[at] == shingles, self.weight[at], self.plain)
-
-    def bag(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        keys, counts = np.unique(shingles, return_counts=True)
-        return keys, counts, self.weights(keys)
-
     def members(self, shingles: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Places of shingles that some item has, and their rows in the table."""
         keys = self.table[k][0]
@@ -98,16 +102,16 @@ class Index:
         true = keys[at] == shingles[maybe]
         return maybe[true], at[true]
 
-    def similarity(self, shingles: np.ndarray, item: int) -> tuple[int, int]:
+    def similarity(self, shingles: np.ndarray, weights: np.ndarray, item: int) -> tuple[int, int]:
         """Weighted intersection and union of a window and an item, both as bags."""
-        keys, counts, weights = self.bag(shingles)
-        own, own_counts, own_weights = self.bags[item]
+        keys, counts, own_weights = bag(shingles, weights)
+        own, own_counts, item_weights = self.bags[item]
         _, a, b = np.intersect1d(keys, own, assume_unique=True, return_indices=True)
-        both = int((np.minimum(counts[a], own_counts[b]) * weights[a]).sum())
-        return both, int((counts * weights).sum() + (own_counts * own_weights).sum()) - both
+        both = int((np.minimum(counts[a], own_counts[b]) * own_weights[a]).sum())
+        return both, int((counts * own_weights).sum() + (own_counts * item_weights).sum()) - both
 
-    def search(self, words: np.ndarray, shingles: np.ndarray, k: int, hits: np.ndarray, rows: np.ndarray) -> list[tuple]:
-        """``(similarity, first word, words, item)`` of the matches in one text.
+    def search(self, words: int, shingles: np.ndarray, weights: np.ndarray, k: int, hits: np.ndarray, rows: np.ndarray) -> list[tuple]:
+        """``(similarity, first word, words, item)`` of the matches in one text of ``words`` words.
 
         Windows have an item's size in words, or the text's if that is less. A window without a shingle of any item of
         its size has similarity 0, so only the others get a fingerprint.
@@ -117,30 +121,31 @@ class Index:
         at = np.repeat(hits, spread)
         size = sizes[np.repeat(starts[rows], spread) + _counting(spread)]
         first = np.maximum(at - (size - k), 0)
-        last = np.minimum(at, np.maximum(len(words) - size, 0))
+        last = np.minimum(at, np.maximum(words - size, 0))
         spread = np.maximum(last - first + 1, 0)
         begin = np.repeat(first, spread) + _counting(spread)
         windows = np.unique(np.stack([np.repeat(size, spread), begin], axis=1), axis=0)
         out = []
         for low in range(0, len(windows), WINDOWS):
             n, begin = windows[low : low + WINDOWS].T
-            runs = np.minimum(n, len(words)) - k + 1
+            runs = np.minimum(n, words) - k + 1
             # only the stretch of shingles that these windows cover
             need = np.zeros(len(shingles) + 1, dtype=np.int64)
             np.add.at(need, begin, 1)
             np.add.at(need, begin + runs, -1)
             used = np.flatnonzero(np.cumsum(need[:-1]) > 0)
             short = np.searchsorted(used, begin)
-            prints = _fingerprints(shingles[used], self.weights(shingles[used]), short, runs)
+            prints = _fingerprints(shingles[used], weights[used], short, runs)
             for w in range(len(n)):
                 found = np.unique(np.concatenate([self.blocks[int(n[w])][b][v] for b, v in enumerate(prints[w])]))
                 if not len(found):
                     continue
                 distance = _DISTANCE[prints[w], self.prints[found]].sum(axis=1, dtype=np.int64)
                 for item in found[(distance <= self.spec.radius) & (self.k[found] == k)].tolist():
-                    both, every = self.similarity(shingles[begin[w] : begin[w] + runs[w]], item)
+                    own = slice(begin[w], begin[w] + runs[w])
+                    both, every = self.similarity(shingles[own], weights[own], item)
                     if 100 * both >= self.spec.percent * every:
-                        out.append((both / every, int(begin[w]), int(min(n[w], len(words))), item))
+                        out.append((both / every, int(begin[w]), int(min(n[w], words)), item))
         return out
 
 
@@ -171,16 +176,16 @@ def _searcher(index: Index):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, found = [], []
-            words, bounds, _, _ = _words(batch.column(1))
+            words, bounds, begins, ends = _words(batch.column(1))
             for k in index.sizes:
-                shingles = shingle_hashes(words, k)
+                shingles, weights = shingle_hashes(words, k), run_sums(ends - begins, k)
                 places, keys = index.members(shingles, k)
                 texts = np.searchsorted(bounds, places, side="right") - 1
                 inside = places + k <= bounds[texts + 1]
                 places, keys, texts = places[inside], keys[inside], texts[inside]
                 for text, low, high in _runs(texts):
                     a, b = bounds[text], bounds[text + 1]
-                    hits = index.search(words[a:b], shingles[a : b - k + 1], k, places[low:high] - a, keys[low:high])
+                    hits = index.search(int(b - a), shingles[a : b - k + 1], weights[a : b - k + 1], k, places[low:high] - a, keys[low:high])
                     for hit in _apart(hits):
                         rows.append(text)
                         found.append(hit)
@@ -206,10 +211,10 @@ def build_index(rows: list[tuple], spec: Contamination) -> Index | None:
     """An index over ``(item_id, text)``; texts that normalise alike are one item, named by the lowest id."""
     kept: dict[bytes, tuple] = {}
     for item_id, text in sorted(rows):
-        words, *_ = _words(pa.array([text], pa.large_string()))
+        words, _, begins, ends = _words(pa.array([text], pa.large_string()))
         if len(words):
-            kept.setdefault(words.tobytes(), (item_id, words))
-    return Index(spec, [i for i, _ in kept.values()], [w for _, w in kept.values()]) if kept else None
+            kept.setdefault(words.tobytes(), (item_id, words, ends - begins))
+    return Index(spec, *map(list, zip(*kept.values(), strict=True))) if kept else None
 
 
 def contaminated(
@@ -236,8 +241,9 @@ def contaminated(
     schema = f"doc_id {kind}, item_id long, first_word long, n_words long, similarity double"
     out = texts.select("doc_id").where(F.lit(False)).select("doc_id", *[F.lit(None).cast(t).alias(c) for c, t in (("item_id", "long"), ("first_word", "long"), ("n_words", "long"), ("similarity", "double"))])
     for block in range(blocks):
-        # equal texts are in one block: their hash chooses it
-        own = items.where(F.pmod(F.xxhash64(F.lower("text")), F.lit(blocks)) == block).collect()
+        # items that normalise alike are in one block: the hash of their words chooses it
+        plain = F.regexp_replace(F.lower("text"), "[\\x00-/:-@\\[-`{-\\x7f]+", "")
+        own = items.where(F.pmod(F.xxhash64(plain), F.lit(blocks)) == block).collect()
         index = build_index([(r["item_id"], r["text"]) for r in own], spec)
         if index is not None:
             found = texts.mapInArrow(_searcher(index), schema)
