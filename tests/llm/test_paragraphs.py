@@ -15,9 +15,9 @@ def passage(seed, sentences=6, n=10):
 
 def brute(rows, spec=Repeats()):
     """The result from all pairs of paragraphs, computed plainly."""
-    places = []
-    for d, t in dict.fromkeys(rows):
-        t, at = t or "", 0
+    places, times = [], Counter(rows)
+    for d, t in times:
+        raw, t, at = t, t or "", 0
         words = [(m.start(), m.end()) for m in re.finditer(r"[^\x20\x09-\x0D]+", t)]
         first = 0
         for i, (_, end) in enumerate(words):
@@ -27,7 +27,7 @@ def brute(rows, spec=Repeats()):
                 if i + 1 - first >= spec.shingle:
                     own = ["".join(c.lower() if "A" <= c <= "Z" else c for c in t[a:b]) for a, b in words[first : i + 1]]
                     grams = frozenset(tuple(own[j : j + spec.shingle]) for j in range(len(own) - spec.shingle + 1))
-                    places.append(((d is None, d if d is not None else 0, t), at, words[first][0], end, i + 1 - first, grams))
+                    places.append(((d is None, d if d is not None else 0, t), at, words[first][0], end, i + 1 - first, grams, (d, raw)))
                     at += 1
                 first = i + 1
     classes = list({p[5] for p in places})
@@ -49,7 +49,9 @@ def brute(rows, spec=Repeats()):
                 if a is not b and 100 * len(a & b) >= spec.percent * len(a | b):
                     linked |= {a, b}
                     root[find(a)] = find(b)
-    found = Counter(p[5] for p in places)
+    found = Counter()
+    for p in places:
+        found[p[5]] += times[p[6]]
     kept = [p for p in places if found[p[5]] > 1 or p[5] in linked]
     texts = defaultdict(list)
     for p in kept:

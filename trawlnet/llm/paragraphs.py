@@ -170,8 +170,8 @@ def repeated_passages(docs: DataFrame, spec: Repeats = Repeats(), id_col: str =
     the piece. Common single sentences are left alone, for they make no run of ``least_words`` words.
 
     Equal paragraphs are one class with a count from the start; only classes that are repeated or share a band take
-    part in joins. Null and empty texts have no paragraphs; null ids come last; rows that repeat id and text count as
-    one document in the result; other columns are ignored; an empty table gives no rows.
+    part in joins. Null and empty texts have no paragraphs; null ids come last; rows that repeat id and text are
+    given once, though their paragraphs count as repeated; other columns are ignored; an empty table gives no rows.
     """
     text = as_text(F.col(text_col)).alias("text")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(as_text(F.col(text_col))).alias("text_hash"), text)

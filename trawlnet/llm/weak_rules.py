@@ -36,15 +36,15 @@ class Rule:
 #: Votes on shares of words, characters and lines; a share of nothing is null and gives no vote.
 RULES = (
     Rule("length", "n_words < 50", "n_words between 80 and 100000"),
-    Rule("word_length", "word_chars / n_words not between 2.5 and 14", "word_chars / n_words between 3 and 10"),
-    Rule("symbols", "n_symbols / n_words > 0.1", "n_symbols / n_words < 0.01"),
-    Rule("symbol_chars", "n_symbols / word_chars > 0.02", "n_symbols / word_chars < 0.002"),
-    Rule("letters", "n_letters / word_chars < 0.8", "n_letters / word_chars > 0.9"),
-    Rule("lines", "n_dup_lines / n_lines > 0.5", "n_dup_lines = 0 and n_lines > 1"),
-    Rule("phrases", "n_repeat_words / n_words > 0.3", "n_repeat_words / n_words < 0.1"),
-    Rule("variety", "n_distinct_words / n_words < 0.2", "n_distinct_words / n_words > 0.35"),
-    Rule("capitals", "n_capitals / word_chars > 0.3", "n_capitals / word_chars < 0.12"),
-    Rule("sentences", "n_stops / n_words < 0.01 and n_words >= 50", "n_stops / n_words between 0.02 and 0.4"),
+    Rule("word_length", "try_divide(word_chars, n_words) not between 2.5 and 14", "try_divide(word_chars, n_words) between 3 and 10"),
+    Rule("symbols", "try_divide(n_symbols, n_words) > 0.1", "try_divide(n_symbols, n_words) < 0.01"),
+    Rule("symbol_chars", "try_divide(n_symbols, word_chars) > 0.02", "try_divide(n_symbols, word_chars) < 0.002"),
+    Rule("letters", "try_divide(n_letters, word_chars) < 0.8", "try_divide(n_letters, word_chars) > 0.9"),
+    Rule("lines", "try_divide(n_dup_lines, n_lines) > 0.5", "n_dup_lines = 0 and n_lines > 1"),
+    Rule("phrases", "try_divide(n_repeat_words, n_words) > 0.3", "try_divide(n_repeat_words, n_words) < 0.1"),
+    Rule("variety", "try_divide(n_distinct_words, n_words) < 0.2", "try_divide(n_distinct_words, n_words) > 0.35"),
+    Rule("capitals", "try_divide(n_capitals, word_chars) > 0.3", "try_divide(n_capitals, word_chars) < 0.12"),
+    Rule("sentences", "try_divide(n_stops, n_words) < 0.01 and n_words >= 50", "try_divide(n_stops, n_words) between 0.02 and 0.4"),
 )
 
 
