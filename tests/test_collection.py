@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from trawlnet.sources.collection import ParquetStore, insert_missing, upsert
 
 FIELDS = "collection_id string, id string, document string"
@@ -57,6 +59,34 @@ def test_unfinished_write_is_ignored(spark, tmp_path):
     assert docs(store.read()) == {("a", "1"): "whole"}
 
 
+def test_the_newest_version_wins_in_either_mode(spark, tmp_path):
+    versions = spark.createDataFrame([("a", "1", "zz", 3), ("a", "1", "aa", 1), ("a", "2", "x", 1)], FIELDS + ", v int")
+    for mode in ("insert_missing", "upsert"):
+        store = ParquetStore(spark, str(tmp_path / mode))
+        getattr(store, mode)(versions, newest_by="v")
+        assert docs(store.read()) == {("a", "1"): "zz", ("a", "2"): "x"}
+
+
+def test_a_read_opens_its_own_collection_only_and_nothing_new_writes_nothing(spark, tmp_path):
+    store = ParquetStore(spark, str(tmp_path / "s"))
+    batch = rows(spark, *[(f"c{i}", "1", "x") for i in range(6)], ("o/d d", "1", "y"))
+    store.insert_missing(batch)
+    assert len(store._live_paths()) == 7 and len(store._live_paths("c3")) == len(store._live_paths("o/d d")) == 1
+    assert store._live_paths("none") == [] and store.read("none").count() == 0
+    store.insert_missing(batch)
+    assert len(os.listdir(tmp_path / "s")) == 1
+
+
+def test_vectors_of_other_or_unnamed_embedders_are_refused(spark):
+    from trawlnet.sources.collection import check_embedder
+
+    for name in ("other", None):
+        held = spark.createDataFrame([("mine",), (name,)], "embedder string")
+        with pytest.raises(ValueError):
+            check_embedder(held, "mine")
+    check_embedder(held.where("embedder = 'mine'"), "mine")
+
+
 def test_many_copies_of_one_key(spark):
     copies = rows(spark, *[("a", "hot", f"v{i}") for i in range(500)], ("a", "cold", "v"))
     empty = spark.createDataFrame([], FIELDS)

@@ -211,6 +211,18 @@ def collection_upsert(t: Tables) -> DataFrame:
     return collection.upsert(_stored(t, 50, "old"), _stored(t, 10, "new"))
 
 
+@query(
+    f"""with v as (select *, 1 as version from ({_stored_sql(50, "old")}) union all select *, 2 from ({_stored_sql(10, "new")}))
+select collection_id, id, arg_max(document, version) as document from v group by collection_id, id"""
+)
+def collection_versions(t: Tables) -> DataFrame:
+    """Two versions of an id in one write: the newer one is stored."""
+    store = collection.open_store(t.spark, scratch_path(t.spark, "versions"))
+    old, new = _stored(t, 50, "old").withColumn("version", F.lit(1)), _stored(t, 10, "new").withColumn("version", F.lit(2))
+    store.upsert(new.unionByName(old).drop("batch"), newest_by="version")
+    return store.read().select("collection_id", "id", "document")
+
+
 # --- embedding -------------------------------------------------------------------------------
 
 

@@ -12,7 +12,7 @@ from trawlnet.functions.keys import chunk_id, content_key, with_ordinal
 from trawlnet.operators.chunk import DEFAULT_CHUNK_LINES, chunk_lines
 from trawlnet.operators.embed import Embedder, check_dimension, resolve
 from trawlnet.session import cut_lineage
-from trawlnet.sources.collection import ParquetStore, ViewStore
+from trawlnet.sources.collection import ParquetStore, ViewStore, check_embedder
 from trawlnet.sources.tree import EXTENSIONS, require_directory, scan_tree
 
 
@@ -41,9 +41,13 @@ def store_rows(
     store: ParquetStore | ViewStore,
     mode: str = "insert_missing",
     unique: bool = False,
+    embedder: str | None = None,
 ) -> None:
+    """``embedder`` names what made the vectors; a collection that holds another's is refused."""
     if mode not in ("insert_missing", "upsert"):
         raise ValueError(f"unknown write mode {mode!r}")
+    if embedder is not None:
+        check_embedder(store.read(collection_id), embedder)
     getattr(store, mode)(rows.withColumn("collection_id", F.lit(collection_id)), collection_id, unique)
 
 
@@ -58,7 +62,7 @@ def store_documents(
 ) -> None:
     """Number, embed and store ready-made texts: ``document``, any order columns, optional ``metadata``."""
     rows = embed_chunks(with_chunk_ids(documents, order_by=order_by), embedder, "document")
-    store_rows(rows, collection_id, store, mode)
+    store_rows(rows, collection_id, store, mode, embedder=resolve(embedder).name)
 
 
 def ingest_texts(
@@ -83,7 +87,7 @@ def ingest_texts(
     if chunks.isEmpty():
         return
     rows = embed_chunks(with_chunk_ids(chunks, ids), embedder).withColumnRenamed("text", "document")
-    store_rows(rows, collection_id, store, mode, unique_paths)
+    store_rows(rows, collection_id, store, mode, unique_paths, resolve(embedder).name)
 
 
 def ingest_project(

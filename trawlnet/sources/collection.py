@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType, IntegerType, MapType, StringType, StructField, StructType
@@ -72,6 +74,11 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: list[str] = KEY, uniqu
     return kept.unionByName(incoming if unique else one_per_key(incoming, key).select(*incoming.columns))
 
 
+def _newest(rows: DataFrame, newest_by: str | None, unique: bool) -> tuple[DataFrame, bool]:
+    """Of several rows of one key the one with the highest ``newest_by``; then no key comes twice."""
+    return (one_per_key(rows, KEY, newest_by), True) if newest_by else (rows, unique)
+
+
 class ViewStore:
     """Collections in this session only, behind a temp view of materialised rows."""
 
@@ -84,10 +91,12 @@ class ViewStore:
         rows = self.spark.table(self.view)
         return rows if collection_id is None else rows.where(F.col("collection_id") == collection_id)
 
-    def insert_missing(self, rows: DataFrame, collection_id: str | None = None, unique: bool = False) -> None:
+    def insert_missing(self, rows: DataFrame, collection_id: str | None = None, unique: bool = False, newest_by: str | None = None) -> None:
+        rows, unique = _newest(rows, newest_by, unique)
         self._replace(insert_missing(self.read(), conform(rows), unique=unique))
 
-    def upsert(self, rows: DataFrame, collection_id: str | None = None, unique: bool = False) -> None:
+    def upsert(self, rows: DataFrame, collection_id: str | None = None, unique: bool = False, newest_by: str | None = None) -> None:
+        rows, unique = _newest(rows, newest_by, unique)
         self._replace(upsert(self.read(), conform(rows), unique=unique))
 
     def _replace(self, rows: DataFrame) -> None:
@@ -106,21 +115,23 @@ class ParquetStore:
         self.spark, self.root = spark, root.rstrip("/")
 
     def read(self, collection_id: str | None = None) -> DataFrame:
-        paths = self._live_paths()
+        paths = self._live_paths(collection_id)
         if not paths:
-            rows = self.spark.createDataFrame([], COLLECTION_SCHEMA)
-        else:
-            rows = self.spark.read.schema(COLLECTION_SCHEMA).option("basePath", self.root).parquet(*paths)
-            rows = rows.select(*COLLECTION_SCHEMA.names)
-        return rows if collection_id is None else rows.where(F.col("collection_id") == collection_id)
+            return self.spark.createDataFrame([], COLLECTION_SCHEMA)
+        rows = self.spark.read.schema(COLLECTION_SCHEMA).option("basePath", self.root).parquet(*paths)
+        return rows.select(*COLLECTION_SCHEMA.names)
 
-    def insert_missing(self, rows: DataFrame, collection_id: str | None = None, unique: bool = False) -> None:
+    def insert_missing(self, rows: DataFrame, collection_id: str | None = None, unique: bool = False, newest_by: str | None = None) -> None:
         """``collection_id`` says that all rows belong to it, so only its folders are compared with;
-        ``unique`` that no (collection, id) comes twice."""
+        ``unique`` that no (collection, id) comes twice; ``newest_by`` names the column whose highest value wins
+        where one does."""
+        rows, unique = _newest(rows, newest_by, unique)
         self._write(missing_rows(self.read(collection_id), conform(rows), unique=unique), "add")
 
-    def upsert(self, rows: DataFrame, collection_id: str | None = None, unique: bool = False) -> None:
-        incoming, touched = conform(rows), self.read(collection_id)
+    def upsert(self, rows: DataFrame, collection_id: str | None = None, unique: bool = False, newest_by: str | None = None) -> None:
+        rows, unique = _newest(rows, newest_by, unique)
+        # read for its keys, its collections and its rows: made once
+        incoming, touched = cut_lineage(conform(rows)), self.read(collection_id)
         if collection_id is None:
             touched = touched.join(incoming.select("collection_id").distinct(), "collection_id", "left_semi")
         self._write(upsert(touched, incoming, unique=unique), "set")
@@ -129,7 +140,10 @@ class ParquetStore:
         number = max((n for n, _, _ in self._folders()), default=0) + 1
         # AQE splits a large collection over tasks and packs small ones together, so files are neither
         # one per task and collection nor one per collection
-        rows.hint("rebalance", "collection_id").write.partitionBy("collection_id").parquet(f"{self.root}/batch={number:06d}-{kind}")
+        folder = f"{self.root}/batch={number:06d}-{kind}"
+        rows.hint("rebalance", "collection_id").write.partitionBy("collection_id").parquet(folder)
+        if not any(name.startswith("collection_id=") for name, _ in self._children(folder)):
+            self._delete(folder)  # nothing was new
 
     def _folders(self) -> list[tuple[int, str, str]]:
         """(number, kind, path) of every write in order, finished or not."""
@@ -140,7 +154,8 @@ class ParquetStore:
                 found.append((int(number), kind, path))
         return sorted(found)
 
-    def _live_paths(self) -> list[str]:
+    def _live_paths(self, collection_id: str | None = None) -> list[str]:
+        """Folders that count, of one collection only if it is named."""
         live: dict[str, list[str]] = {}
         for _, kind, folder in self._folders():
             children = self._children(folder)
@@ -149,6 +164,8 @@ class ParquetStore:
             for name, path in children:
                 if not name.startswith("collection_id="):
                     continue
+                if collection_id is not None and unquote(name.removeprefix("collection_id=")) != collection_id:
+                    continue
                 if kind == "set":
                     live[name] = [path]
                 else:
@@ -163,6 +180,10 @@ class ParquetStore:
             return []
         return [(s.getPath().getName(), s.getPath().toString()) for s in fs.listStatus(target)]
 
+    def _delete(self, path: str) -> None:
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+
 
 def open_store(spark: SparkSession, path: str | None = None) -> ParquetStore | ViewStore:
     """A given path keeps the collections in Parquet; without one they last as long as the session."""
@@ -170,7 +191,7 @@ def open_store(spark: SparkSession, path: str | None = None) -> ParquetStore | V
 
 
 def check_embedder(rows: DataFrame, name: str) -> None:
-    """Refuse to compare vectors of different embedders. Reads one column and stops at a first mismatch."""
-    other = rows.where(F.col("embedder") != name).select("embedder").limit(1).collect()
+    """Refuse to mix vectors of different embedders, unnamed ones too. Reads one column, up to a first mismatch."""
+    other = rows.where(~F.col("embedder").eqNullSafe(F.lit(name))).select("embedder").limit(1).collect()
     if other:
-        raise ValueError(f"collection was embedded with {other[0]['embedder']!r}, query uses {name!r}")
+        raise ValueError(f"collection was embedded with {other[0]['embedder']!r}, not with {name!r}")
