@@ -17,6 +17,8 @@ from trawlnet.llm.words import MinHash, buffers, minhash_sets, mix, shingle_sets
 
 #: Rows of ids or digests that may be broadcast: 40 bytes each, so at most about 20 MB.
 BROADCAST_ROWS = 500_000
+#: Keys of bands that are broadcast, 8 bytes each.
+BROADCAST_KEYS = 2_000_000
 #: Bits of one verification batch.
 BATCH = 64
 
@@ -140,18 +142,24 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def shared_bands(classes: DataFrame) -> DataFrame:
-    """A row for each class (``set_id, n, bands`` and more) and band that it shares with another class; ``hub`` is the
-    lowest class of that band."""
-    rows = classes.select("set_id", F.posexplode("bands").alias("band", "key"))
-    hubs = rows.groupBy("key").agg(F.min("set_id").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "hub")
-    shared = rows.join(hubs, "key")
-    return written(shared.join(classes, "set_id"), "buckets")
+    """A row for each class (``set_id, n, bands`` and more) and band that it shares with another class.
+
+    Most keys of bands occur once. The keys are counted alone; those found twice are sent to the classes while their
+    number is within bounds, so that the classes need no shuffle, and joined to narrow rows beyond.
+    """
+    keys = classes.select(F.explode("bands").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    keys = written(keys.where("n > 1").select("key"), "shared-keys")
+    if keys.count() <= BROADCAST_KEYS:
+        rows = classes.select("*", F.posexplode("bands").alias("band", "key")).join(F.broadcast(keys), "key", "left_semi")
+    else:
+        rows = classes.select("set_id", F.posexplode("bands").alias("band", "key")).join(keys, "key").join(classes, "set_id")
+    return written(rows, "buckets")
 
 
 def _split_buckets(members: DataFrame, named: DataFrame) -> DataFrame:
     """Members of the buckets that span several components, with their own ``component`` and the bucket's largest one,
     ``main``."""
-    placed = members.drop("hub").join(named.select(F.col("node").alias("set_id"), "component"), "set_id", "left")
+    placed = members.join(named.select(F.col("node").alias("set_id"), "component"), "set_id", "left")
     placed = written(placed.withColumn("component", F.coalesce("component", "set_id")), "placed")
     sizes = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts"))
@@ -176,15 +184,14 @@ def linked_classes(members: DataFrame, sets: DataFrame, percent: int, likely: st
     out; pairs are compared inside the join, sketches before sets, and only links leave it.
     """
 
-    def other(rows: DataFrame, *more: str) -> DataFrame:
-        own = [F.col(c).alias(f"other_{c}") for c in ("n", *sketch, *more)]
-        return rows.select("key", F.col("set_id").alias("other"), *own)
-
-    met = members.where("set_id <> hub").join(other(members.where("set_id = hub")), "key").where(f"{_alike(percent)} and {likely}")
+    hub = F.min(F.struct(F.col("set_id").alias("other"), *[F.col(c).alias(f"other_{c}") for c in ("n", *sketch)]))
+    hubs = members.groupBy("key").agg(hub.alias("hub")).select("key", "hub.*")
+    met = members.join(hubs, "key").where(f"set_id <> other and {_alike(percent)} and {likely}")
     links = verified(met.select(F.col("set_id").alias("a"), F.col("other").alias("b")), sets, percent)
     named = written(components(links), "components")
     split = written(_split_buckets(members, named).join(sets, "set_id"), "split-buckets")
-    rest = other(split, "component", "bands", "shingles", "main")
+    theirs = [F.col(c).alias(f"other_{c}") for c in ("n", *sketch, "component", "bands", "shingles")]
+    rest = split.select("key", F.col("set_id").alias("other"), *theirs)
     # minority rows of a bucket meet all its rows, two minority rows once, and a pair in the first band that it shares
     once = "component <> other_component and (other_component = main or set_id < other)"
     first = "not arrays_overlap(slice(bands, 1, band), slice(other_bands, 1, band))"

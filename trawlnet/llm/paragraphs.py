@@ -186,7 +186,9 @@ def repeated_passages(docs: DataFrame, spec: Repeats = Repeats(), id_col: str =
     sets = written(sets.groupBy("set_id").agg(F.any_value("shingles").alias("shingles")), "sets")
     named = linked_classes(members, sets, spec.percent)
 
-    repeated = classes.select("set_id", "found").join(named.withColumnRenamed("node", "set_id"), "set_id", "left")
+    named = named.withColumnRenamed("node", "set_id")
+    named = F.broadcast(named) if named.count() <= BROADCAST_ROWS else named
+    repeated = classes.select("set_id", "found").join(named, "set_id", "left")
     repeated = repeated.where("found > 1 or component is not null").select("set_id", F.coalesce("component", "set_id").alias("component"))
     repeated = written(repeated, "repeated")
     if repeated.count() <= BROADCAST_ROWS:
