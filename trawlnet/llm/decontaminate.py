@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trawlnet.llm.near_dup import text_parts
 from trawlnet.llm.shared import as_text
 from trawlnet.llm.words import KEEP, MARKS, buffers, mix, shingle_hashes, word_hashes, word_spans
 
@@ -175,32 +176,39 @@ def _searcher(index: Index):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, found = [], []
-            words, bounds, begins, ends = _words(batch.column(1))
-            for k in index.sizes:
-                shingles, weights = shingle_hashes(words, k), run_sums(ends - begins, k)
-                places, keys = index.members(shingles, k)
-                texts = np.searchsorted(bounds, places, side="right") - 1
-                inside = places + k <= bounds[texts + 1]
-                places, keys, texts = places[inside], keys[inside], texts[inside]
-                for text, low, high in _runs(texts):
-                    a, b = bounds[text], bounds[text + 1]
-                    hits = index.search(int(b - a), shingles[a : b - k + 1], weights[a : b - k + 1], k, places[low:high] - a, keys[low:high])
-                    for hit in _apart(hits):
-                        rows.append(text)
-                        found.append(hit)
-            made = [
-                batch.column(0).take(pa.array(rows, pa.int64())),
-                pa.array([index.ids[h[3]] for h in found], pa.int64()),
-                pa.array([h[1] for h in found], pa.int64()),
-                pa.array([h[2] for h in found], pa.int64()),
-                pa.array([h[0] for h in found], pa.float64()),
-            ]
-            yield pa.record_batch(made, names=["doc_id", "item_id", "first_word", "n_words", "similarity"])
+            for part in text_parts(batch, 1):
+                rows, found = _hits(index, part.column(1))
+                made = [
+                    part.column(0).take(pa.array(rows, pa.int64())),
+                    pa.array([index.ids[h[3]] for h in found], pa.int64()),
+                    pa.array([h[1] for h in found], pa.int64()),
+                    pa.array([h[2] for h in found], pa.int64()),
+                    pa.array([h[0] for h in found], pa.float64()),
+                ]
+                yield pa.record_batch(made, names=["doc_id", "item_id", "first_word", "n_words", "similarity"])
 
     return run
 
 
+def _hits(index: Index, texts: pa.Array) -> tuple[list[int], list[tuple]]:
+    """The matches of some texts: the row of each, and what ``Index.search`` says."""
+    rows, found = [], []
+    words, bounds, begins, ends = _words(texts)
+    for k in index.sizes:
+        shingles, weights = shingle_hashes(words, k), run_sums(ends - begins, k)
+        places, keys = index.members(shingles, k)
+        owners = np.searchsorted(bounds, places, side="right") - 1
+        inside = places + k <= bounds[owners + 1]
+        places, keys, owners = places[inside], keys[inside], owners[inside]
+        for text, low, high in _runs(owners):
+            a, b = bounds[text], bounds[text + 1]
+            own = slice(a, b - k + 1)
+            for hit in _apart(index.search(int(b - a), shingles[own], weights[own], k, places[low:high] - a, keys[low:high])):
+                rows.append(text)
+                found.append(hit)
+    return rows, found
+
+
 def _runs(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
     edges = np.flatnonzero(np.diff(values, prepend=-1, append=-1))
     for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
