@@ -4,8 +4,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from trawlnet.catalog.queries import ORACLES, QUERIES
 
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
 TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations", "events")
 
 
@@ -46,3 +46,7 @@ def test_entry(spark):
     df = entry_points.entry(spark)
     assert df.columns == ["query_id", "rank", "id", "distance"]
     assert df.count() == 200
+
+
+def test_every_query_of_this_catalog_is_registered():
+    assert QUERIES.keys() <= entry_points.queries().keys() and ORACLES.keys() <= entry_points.oracle_sql().keys()
