@@ -204,9 +204,11 @@ def repeated_passages(docs: DataFrame, spec: Repeats = Repeats(), id_col: str =
     found = written(found.withColumn("pair", pair), "repeated-places")
     pairs = found.where("pair is not null").groupBy("pair").count().where("count > 1").select("pair", F.lit(True).alias("joined"))
     firsts = found.groupBy("component").agg(F.min(F.struct("doc", "at")).alias("first"))
-    found = found.join(pairs, "pair", "left").join(firsts, "component")
+    # rows without a pair, a fifth of them or more, would meet in one task: each is joined by its own place instead
+    found = found.withColumn("by", F.coalesce("pair", F.xxhash64("doc_id", "text_hash", "at")))
+    found = found.join(pairs.withColumnRenamed("pair", "by"), "by", "left").join(firsts, "component")
     removed = (F.col("first.doc") != F.col("doc")) | (F.col("first.at") != F.col("at"))
-    found = found.withColumn("removed", removed).withColumn("break", F.when(F.col("joined"), 0).otherwise(1))
+    found = found.withColumn("removed", removed).withColumn("break", F.when(F.col("joined") & F.col("pair").isNotNull(), 0).otherwise(1))
     found = found.withColumn("run", F.sum("break").over(one)).withColumn("run_words", F.sum("words").over(Window.partitionBy("doc_id", "text_hash", "run")))
     pieces = found.where(F.col("run_words") >= spec.least_words).groupBy("doc_id", "text_hash", "run", "removed")
     pieces = pieces.agg(
