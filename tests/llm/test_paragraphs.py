@@ -115,5 +115,16 @@ def test_given_table_equals_brute_force(documents):
     assert {d for d, *_ in got} == {d for d, *_ in want}
 
 
+def test_one_occurrence_of_each_paragraph_survives_cutting(spark):
+    line, inner = sentence(5, 12), passage(7, 2, 20)
+    rows = [(1, f"{line}\n{line}\n{line}")] + [(i, f"{line}\n{inner}\n{line}") for i in (2, 3, 4)]
+    left = {d: t for d, t in rows}
+    for r in sorted(repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect(), key=lambda r: -r["start"]):
+        if r["removed"]:
+            left[r["doc_id"]] = left[r["doc_id"]][: r["start"]] + left[r["doc_id"]][r["end"] :]
+    assert inner in left[2] and not any(inner in left[i] for i in (3, 4))
+    assert any(line in t for t in left.values())
+
+
 def test_empty_table(empty):
     assert repeated_passages(empty).count() == 0

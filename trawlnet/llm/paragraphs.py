@@ -166,7 +166,7 @@ def repeated_passages(docs: DataFrame, spec: Repeats = Repeats(), id_col: str =
     Paragraphs with similar shingle sets are one component. Neighbouring paragraphs are in one passage if both are
     repeated and the pair of their components is found at least twice; shorter paragraphs between them are skipped.
     In each component the first paragraph, by id and place, stays; ``removed`` tells the pieces of passages that go
-    from those that stay. ``start`` and ``end`` count characters, the end exclusive; ``component`` is the lowest of
+    from those that stay; a piece ends where the two meet. ``start`` and ``end`` count characters, the end exclusive; ``component`` is the lowest of
     the piece. Common single sentences are left alone, for they make no run of ``least_words`` words.
 
     Equal paragraphs are one class with a count from the start; only classes that are repeated or share a band take
@@ -210,7 +210,10 @@ def repeated_passages(docs: DataFrame, spec: Repeats = Repeats(), id_col: str =
     removed = (F.col("first.doc") != F.col("doc")) | (F.col("first.at") != F.col("at"))
     found = found.withColumn("removed", removed).withColumn("break", F.when(F.col("joined") & F.col("pair").isNotNull(), 0).otherwise(1))
     found = found.withColumn("run", F.sum("break").over(one)).withColumn("run_words", F.sum("words").over(Window.partitionBy("doc_id", "text_hash", "run")))
-    pieces = found.where(F.col("run_words") >= spec.least_words).groupBy("doc_id", "text_hash", "run", "removed")
+    # a run turns where paragraphs that stay and that go meet, so no removed piece covers one that stays
+    same = (F.lag("run").over(one) == F.col("run")) & (F.lag("removed").over(one) == F.col("removed"))
+    found = found.withColumn("piece", F.sum(F.when(same, 0).otherwise(1)).over(one))
+    pieces = found.where(F.col("run_words") >= spec.least_words).groupBy("doc_id", "text_hash", "piece", "removed")
     pieces = pieces.agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("n_words"), F.hex(F.min("component")).alias("component")
     )
