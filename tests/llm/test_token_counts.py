@@ -21,6 +21,12 @@ def test_fast_encoder_counts_as_the_library_does(tokenizer, documents, odd_rows)
     assert tokenizer.counter()(texts) == want
 
 
+def test_texts_that_the_fast_encoder_refuses_are_counted_by_the_library(tokenizer):
+    library = Library.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["before", " " * 2_000_000, "a" + "\n" * 1_500_000 + "b <|endoftext|>", "after"]
+    assert tokenizer.counter()(texts) == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "piece_bpe_32k.model", "byte_bpe_50k.tiktoken"])
 def test_other_files_use_their_library(name):
     count = Tokenizer(public_tokenizers.path(name)).counter()

@@ -68,18 +68,33 @@ def _json_counter(data: bytes) -> Callable[[list[str]], list[int]]:
     """The library itself, or for a plain byte-level vocabulary the same merges in a faster encoder."""
     spec = json.loads(data)
     if not _plain_byte_level(spec):
-        from tokenizers import Tokenizer as Library
-
-        library = Library.from_str(data.decode())
-        library.no_truncation()
-        library.no_padding()
-        return lambda texts: [len(e) for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+        return _library_counter(data)
     import tiktoken
 
     byte, special = _byte_of(), {t["content"]: t["id"] for t in spec.get("added_tokens", ())}
     ranks = {bytes(byte[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
     encoding = tiktoken.Encoding("json", pat_str=WORD_PATTERN, mergeable_ranks=ranks, special_tokens=special)
-    return lambda texts: [len(encoding.encode(t, allowed_special="all")) for t in texts]
+    library: list[Callable[[list[str]], list[int]]] = []
+
+    def count(text: str) -> int:
+        try:
+            return len(encoding.encode(text, allowed_special="all"))
+        except ValueError:
+            # the faster encoder's pattern gives up on runs of some hundred thousand spaces
+            if not library:
+                library.append(_library_counter(data))
+            return library[0]([text])[0]
+
+    return lambda texts: [count(t) for t in texts]
+
+
+def _library_counter(data: bytes) -> Callable[[list[str]], list[int]]:
+    from tokenizers import Tokenizer as Library
+
+    library = Library.from_str(data.decode())
+    library.no_truncation()
+    library.no_padding()
+    return lambda texts: [len(e) for e in library.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 def _piece_counter(data: bytes) -> Callable[[list[str]], list[int]]:
