@@ -11,10 +11,11 @@ from trawlnet.llm.decontaminate import Contamination, contaminated
 from trawlnet.llm.licenses import licence_matches
 from trawlnet.llm.mixing import Mix, mix_sources
 from trawlnet.llm.near_dup import NearDup, near_duplicates
-from trawlnet.llm.paragraphs import Repeats, repeated_passages
+from trawlnet.llm.paragraphs import Repeats
 from trawlnet.llm.quality_cnn import learn, remainder, score
 from trawlnet.llm.ring import Ring, assign
 from trawlnet.llm.secret_scan import BASE_RULES, count_kind, scan_versions, spans_text
+from trawlnet.llm.stretches import all_passages
 from trawlnet.llm.token_counts import Tokenizer, count_tokens
 from trawlnet.llm.weak_rules import judge
 from trawlnet.session import scratch_path, ship_package
@@ -142,4 +143,4 @@ def op10_simhash_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op6_paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return repeated_passages(table(spark, folder, "documents").select("doc_id", "text"), Repeats())
+    return all_passages(table(spark, folder, "documents").select("doc_id", "text"), Repeats())

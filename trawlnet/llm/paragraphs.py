@@ -160,7 +160,9 @@ def _places(spec: Repeats):
     return run
 
 
-def repeated_passages(docs: DataFrame, spec: Repeats = Repeats(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_passages(
+    docs: DataFrame, spec: Repeats = Repeats(), id_col: str = "doc_id", text_col: str = "text", with_hash: bool = False
+) -> DataFrame:
     """``doc_id, start, end, n_words, component, removed``: every passage that is found again, in this or another text.
 
     Paragraphs with similar shingle sets are one component. Neighbouring paragraphs are in one passage if both are
@@ -217,4 +219,4 @@ def repeated_passages(docs: DataFrame, spec: Repeats = Repeats(), id_col: str =
     pieces = pieces.agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("n_words"), F.hex(F.min("component")).alias("component")
     )
-    return pieces.select("doc_id", "start", "end", "n_words", "component", "removed")
+    return pieces.select("doc_id", *["text_hash"] * with_hash, "start", "end", "n_words", "component", "removed")
