@@ -62,6 +62,23 @@ def test_given_notices_are_all_found(spark, documents):
     assert {r["doc_id"] for r in found(spark, rows)} == want
 
 
+def test_versions_and_variants_are_told_apart(spark):
+    notice = "This work is licensed under the GNU {}General Public License, version {}."
+    want = {1: "GPL-2.0", 2: "LGPL-3.0", 3: "AGPL-3.0", 4: "LGPL-2.1", 5: "CC-BY-NC-ND-4.0"}
+    texts = [notice.format("", 2), notice.format("Lesser ", 3), notice.format("Affero ", 3), notice.format("Lesser ", "2.1"), "Licensed under CC BY-NC-ND 4.0."]
+    rows = [(i + 1, f"{prose(i, 10)} {t} {prose(i + 9, 10)}") for i, t in enumerate(texts)] + [(9, notice.format("", 7))]
+    assert {r["doc_id"]: r["licence"] for r in found(spark, rows)} == want
+
+
+def test_whole_texts_are_measured_whole(spark):
+    whole = {n: t for n, t in TEMPLATES if len(t.split()) > 100}
+    assert whole.keys() >= {"MIT", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "CC0-1.0", "Zlib", "BSL-1.0"}
+    words = whole["GPL-3.0"].split()
+    rows = [(1, f"{prose(1, 30)} {' '.join(w for i, w in enumerate(words) if i % 20)} {prose(2, 30)}")]
+    got = found(spark, rows)
+    assert [r["licence"] for r in got] == ["GPL-3.0"] and 0.9 < got[0]["coverage"] < 1
+
+
 def test_odd_cases(odd, empty):
     assert licence_matches(odd).count() == 0 and licence_matches(empty).count() == 0
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +17,18 @@ from trawlnet.llm.near_dup import text_parts
 from trawlnet.llm.shared import as_text
 from trawlnet.llm.words import KEEP, MARKS, buffers, shingle_hashes, word_hashes, word_spans
 
+#: The GNU licences but GPL-3.0, whose notices stand by themselves, and the Creative Commons ones.
+GNU = (("GPL", "", "2.0"), ("LGPL", "Lesser ", "2.1"), ("LGPL", "Lesser ", "3.0"), ("LGPL", "Library ", "2.0"), ("AGPL", "Affero ", "3.0"), ("GPL", "", "1.0"))
+CC = {
+    "BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+#: Words that tell licences and versions apart; a version's closing zero is often left out.
+DECIDING = "mit apache gnu mozilla eclipse boost cc cc0 creative lesser affero nc nd sa noncommercial noderivatives noderivs sharealike".split() + [str(n) for n in range(1, 10)] + ["v1", "v2", "v3"]
+#: Templates of more words are whole texts: the words shared decide, and alignments take the fullest diagonals only.
+NOTICE_WORDS = 100
 #: Public licence notices and paragraphs, by SPDX name.
-TEMPLATES = (
+NOTICES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at'),
     ("Apache-2.0", 'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.'),
@@ -35,9 +47,27 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    *((f"{short}-{v}", f"This work is licensed under the GNU {name}General Public License, version {v.removesuffix('.0')}.") for short, name, v in GNU),
+    *((f"{short}-{v}", f"This program is free software: you can redistribute it and/or modify it under the terms of the GNU {name}General Public License as published by the Free Software Foundation, either version {v.removesuffix('.0')} of the License, or (at your option) any later version.") for short, name, v in GNU if (short, v) != ("GPL", "2.0")),
+    ("MPL-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1"),
+    ("EPL-1.0", "All rights reserved. This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License v. 2.0"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("CC0-1.0", "This work is licensed under CC0 1.0 Universal."),
+    *((f"CC-{kind}-{v}", f"Licensed under CC {kind} {v}.") for v in ("4.0", "3.0") for kind in CC if (kind, v) not in (("BY", "4.0"), ("BY-SA", "4.0"), ("BY-NC", "4.0"))),
+    *((f"CC-{kind}-{v}", f"This work is licensed under a Creative Commons {name} {v} {place} License.") for v, place in (("4.0", "International"), ("3.0", "Unported")) for kind, name in CC.items() if (kind, v) != ("BY", "4.0")),
 )
 
 
+def _whole() -> tuple[tuple[str, str], ...]:
+    """The whole licence texts of ``license_texts``, from their first word to their last."""
+    files = sorted((f for f in resources.files(__package__).joinpath("license_texts").iterdir() if f.name.endswith(".txt")), key=lambda f: f.name)
+    return tuple((f.name.removesuffix(".txt"), f.read_text(encoding="utf-8").strip(string.whitespace + string.punctuation)) for f in files)
+
+
+TEMPLATES = NOTICES + _whole()
+
+
 @dataclass(frozen=True)
 class Licences:
     """Fingerprints are the lowest of ``window`` neighbouring hashes of ``gram`` words, so any ``gram`` + ``window`` - 1
@@ -70,6 +100,7 @@ class TemplateIndex:
 
     def __init__(self, templates: Sequence[tuple[str, str]], spec: Licences):
         self.spec, self.names, self.words = spec, [], []
+        self.deciding = np.unique(_words(pa.array(DECIDING, pa.large_string()))[0])
         keys, owners, places = [], [], []
         for name, text in templates:
             words = _words(pc.utf8_lower(pa.array([text], pa.large_string())))[0]
@@ -88,6 +119,7 @@ class TemplateIndex:
         order = np.argsort(np.array(keys, dtype=np.uint64), kind="stable")
         self.keys = np.array(keys, dtype=np.uint64)[order]
         self.owners, self.places = np.array(owners, dtype=np.int64)[order], np.array(places, dtype=np.int64)[order]
+        self.counts = [np.unique(w, return_counts=True) for w in self.words]
         self.bits = np.bincount((self.keys & np.uint64(0xFFFF)).astype(np.int64), minlength=1 << 16) > 0
 
     def hits(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -104,11 +136,13 @@ class TemplateIndex:
         for template in np.unique(owners).tolist():
             own = self.words[template]
             band = max(self.spec.band, len(own) // 8)
-            shifts = np.unique(at[owners == template] - places[owners == template])
-            for group in np.split(shifts, np.flatnonzero(np.diff(shifts) > band) + 1):
+            if len(own) > NOTICE_WORDS and not self._enough(template, words):
+                continue
+            shifts = np.sort(at[owners == template] - places[owners == template])
+            for group in _diagonals(shifts, band, len(own)):
                 # hits that drift apart keep the band around their middle
                 matched, first, end = align(own, words, int(group[len(group) // 2]), band + int(group[-1] - group[0]))
-                if matched >= self.spec.least * len(own):
+                if matched >= self.spec.least * len(own) and self._decided(own, words[first:end]):
                     found.append((2 * matched / (len(own) + end - first), matched, template, first, end))
         out: list[tuple] = []
         for hit in sorted(found, key=lambda h: (-h[0] * h[1], h[2], h[3])):
@@ -117,6 +151,39 @@ class TemplateIndex:
         return sorted(out, key=lambda h: h[3])
 
 
+    def _enough(self, template: int, words: np.ndarray) -> bool:
+        """Whether a text has so many of a template's words, in any order, that it may be matched."""
+        vocabulary, counts = self.counts[template]
+        at = np.minimum(np.searchsorted(vocabulary, words), len(vocabulary) - 1)
+        have = np.bincount(at[vocabulary[at] == words], minlength=len(vocabulary))
+        return np.minimum(have, counts).sum() >= self.spec.least * counts.sum()
+
+    def _decided(self, own: np.ndarray, span: np.ndarray) -> bool:
+        """Whether a notice that names a version or variant and the text found agree in all words that decide it."""
+        want = np.sort(own[np.isin(own, self.deciding)])
+        return len(own) > NOTICE_WORDS or not len(want) or np.array_equal(want, np.sort(span[np.isin(span, self.deciding)]))
+
+
+def _diagonals(shifts: np.ndarray, band: int, n: int) -> list[np.ndarray]:
+    """Groups of sorted shifts to align: those within a band of their neighbours, or of a whole text the fullest bands.
+
+    Bands of a whole text with fewer hits than one for every 100 words are stray phrases.
+    """
+    if n <= NOTICE_WORDS:
+        shifts = np.unique(shifts)
+        return np.split(shifts, np.flatnonzero(np.diff(shifts) > band) + 1)
+    out = []
+    while len(shifts):
+        to = np.searchsorted(shifts, shifts + band, side="right")
+        a = int(np.argmax(to - np.arange(len(shifts))))
+        if to[a] - a < max(2, n // 100):
+            break
+        middle = shifts[a : to[a]][(to[a] - a) // 2]
+        out.append(np.array([middle]))
+        shifts = shifts[np.abs(shifts - middle) > band]
+    return out
+
+
 def align(template: np.ndarray, words: np.ndarray, shift: int, band: int) -> tuple[int, int, int]:
     """The longest common subsequence near one diagonal: its length, and the words from its first to past its last.
 
