@@ -126,5 +126,10 @@ def test_one_occurrence_of_each_paragraph_survives_cutting(spark):
     assert any(line in t for t in left.values())
 
 
+def test_bands_miss_few_pairs_at_the_threshold():
+    spec = Repeats()
+    assert (1 - spec.percent / 100) ** spec.bands < 1e-4
+
+
 def test_empty_table(empty):
     assert repeated_passages(empty).count() == 0

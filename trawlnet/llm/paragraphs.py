@@ -23,12 +23,12 @@ BROADCAST_ROWS = 1_000_000
 class Repeats:
     """Paragraphs end at line ends and sentence ends, so that a passage inside a longer line is found; those with
     ``shingle`` words or more count. Similar from ``percent`` Jaccard on. With ``bands`` bands of one hash a pair at 0.8
-    collides with probability 1 - 0.2^bands, 0.9984 for 4; five-word shingles hardly meet by chance, so bands of one
+    collides with probability 1 - 0.2^bands, 0.99994 for 6; five-word shingles hardly meet by chance, so bands of one
     hash are narrow enough. A passage is a run of repeated paragraphs of ``least_words`` words or more."""
 
     shingle: int = 5
     percent: int = 80
-    bands: int = 4
+    bands: int = 6
     least_words: int = 30
     seed: int = 77
 
