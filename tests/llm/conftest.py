@@ -42,4 +42,4 @@ def empty(spark):
 
 @pytest.fixture(scope="session")
 def documents(spark, tiny):
-    return spark.read.parquet(f"{tiny}/documents.parquet").cache()
+    return spark.read.parquet(f"{tiny}/documents.parquet")
