@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trawlnet.llm.decontaminate import Contamination, contaminated
 from trawlnet.llm.licenses import licence_matches
+from trawlnet.llm.manifest import Manifest, checked, manifest
 from trawlnet.llm.mixing import Mix, mix_sources
 from trawlnet.llm.near_dup import NearDup, near_duplicates
 from trawlnet.llm.paragraphs import Repeats
@@ -144,3 +145,63 @@ def op10_simhash_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op6_paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return all_passages(table(spark, folder, "documents").select("doc_id", "text"), Repeats())
+
+
+def merkle_sql(levels: int = 7, top_levels: int = 5, arity: int = 16) -> str:
+    """The digest trees level by level, for up to ``arity ** levels`` rows of a source and ``arity ** top_levels`` sources."""
+
+    def grown(of: str, name: str, keys: str, depth: int) -> list[str]:
+        """Level tables ``<name>0..depth`` of nodes and, for all but the last, their siblings to the left and right."""
+        out = []
+        for i in range(depth):
+            last = f"{name}{i}" if i else of
+            run = f"partition by {keys}, p // {arity} order by p rows between"
+            out.append(
+                f"{name}s{i} as (select *, coalesce(string_agg(h, '') over ({run} unbounded preceding and 1 preceding), '') as l, "
+                f"coalesce(string_agg(h, '') over ({run} 1 following and unbounded following), '') as r from {last})"
+            )
+            parent = f"case when any_value(n) = 1 then any_value(h) else sha256(string_agg(h, '' order by p)) end as h"
+            out.append(f"{name}{i + 1} as (select {keys}, p // {arity} as p, (any_value(n) + {arity - 1}) // {arity} as n, {parent} from {last} group by {keys}, p // {arity})")
+        return out
+
+    def field(c: str) -> str:
+        return f"case when {c} is null then '-' else strlen(cast({c} as varchar)) || ':' || cast({c} as varchar) end"
+
+    def joins(name: str, start: str, place: str, depth: int) -> str:
+        return " ".join(f"join {name}s{i} {name}t{i} on {start.format(t=f'{name}t{i}')} and {name}t{i}.p = {place} // {arity**i}" for i in range(depth))
+
+    byte = "list_reduce(list_concat([xor(a, b)], range(8)), lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)"
+    digits = "list_transform(string_split(cast(doc_id as varchar), ''), lambda x: ascii(x))"
+    crc = f"xor(list_reduce(list_concat([4294967295], {digits}), lambda a, b: {byte}), 4294967295)"
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    row = " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    fold, steps = "d.bad", [f"bt{i}" for i in range(levels)] + [f"tt{i}" for i in range(top_levels)]
+    for t in steps:
+        fold = f"case when {t}.n > 1 then sha256({t}.l || {fold} || {t}.r) else {fold} end"
+    proof = " || ".join(f"case when {t}.n > 1 then {t}.l || {t}.r else '' end" for t in steps)
+    return f"""with rows as (
+  select doc_id, source, sha256({row} || {field('text')}) as leaf,
+    sha256({row} || {field(f'(case when {crc} % 5 = 0 then {lowered} else text end)')}) as bad from documents),
+placed as (
+  select *, leaf as h, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as p, count(*) over (partition by source) as n,
+    dense_rank() over (order by source nulls first) - 1 as g from rows),
+{', '.join(grown('placed', 'b', 'g', levels))},
+sub as (select 0 as z, g as p, h, count(*) over () as n from b{levels}),
+{', '.join(grown('sub', 't', 'z', top_levels))},
+folds as (
+  select d.doc_id, d.leaf, sub.h as subroot, t{top_levels}.h as root, sha256({proof}) as proof_sha256, {fold} as folded_root
+  from placed d join sub on sub.p = d.g {joins('b', '{t}.g = d.g', 'd.p', levels)} {joins('t', '{t}.z = 0', 'd.g', top_levels)} cross join t{top_levels})
+select *, folded_root = root as verified from folds"""
+
+
+@query(merkle_sql())
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    decimal = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+    def tampered(text):
+        upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+        return F.when(decimal % 5 == 0, F.translate(text, upper, lower)).otherwise(text)
+
+    rows = manifest(table(spark, folder, "documents"), Manifest(arity=16), tampered)
+    columns = ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+    return checked(rows).select(*columns)
