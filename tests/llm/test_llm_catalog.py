@@ -18,6 +18,7 @@ CONTRACTS = {
     "op8": ("doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string", True),
     "op9": ("doc_id bigint", False),
     "op10": ("doc_id bigint", False),
+    "op13": ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint", False),
     "op11": ("doc_id bigint, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean", True),
 }
 

@@ -12,6 +12,7 @@ from trawlnet.llm.licenses import licence_matches
 from trawlnet.llm.manifest import Manifest, checked, manifest
 from trawlnet.llm.mixing import Mix, mix_sources
 from trawlnet.llm.near_dup import NearDup, near_duplicates
+from trawlnet.llm.packing import Packing, pack
 from trawlnet.llm.paragraphs import Repeats
 from trawlnet.llm.quality_cnn import learn, remainder, score
 from trawlnet.llm.ring import Ring, assign
@@ -205,3 +206,11 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     rows = manifest(table(spark, folder, "documents"), Manifest(arity=16), tampered)
     columns = ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
     return checked(rows).select(*columns)
+
+
+@query()
+def op13_differencing_packs(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    tokenizer = Tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    return pack(table(spark, folder, "documents").select("doc_id", "text"), tokenizer, Packing(capacity=2048, end_id=1))
