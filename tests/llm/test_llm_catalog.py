@@ -19,6 +19,10 @@ CONTRACTS = {
     "op9": ("doc_id bigint", False),
     "op10": ("doc_id bigint", False),
     "op13": ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint", False),
+    "op12": (
+        "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string",
+        True,
+    ),
     "op11": ("doc_id bigint, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean", True),
 }
 

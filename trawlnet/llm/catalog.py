@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trawlnet.llm.alignment import Alignment, align
 from trawlnet.llm.decontaminate import Contamination, contaminated
 from trawlnet.llm.licenses import licence_matches
 from trawlnet.llm.manifest import Manifest, checked, manifest
@@ -214,3 +215,12 @@ def op13_differencing_packs(spark: SparkSession, folder: str) -> DataFrame:
 
     tokenizer = Tokenizer(public_tokenizers.path("word_bpe_49k.json"))
     return pack(table(spark, folder, "documents").select("doc_id", "text"), tokenizer, Packing(capacity=2048, end_id=1))
+
+
+@query()
+def op12_arrow_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    a, b = (Tokenizer(public_tokenizers.path(name)) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    rows = align(table(spark, folder, "documents").select("doc_id", "text"), a, b, Alignment(groups="sha256"))
+    return rows.withColumnRenamed("groups", "groups_sha256")

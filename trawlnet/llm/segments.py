@@ -34,6 +34,8 @@ def large(column: pa.Array) -> pa.Array:
 
 def contents(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of large strings and the n + 1 places where they begin and end."""
+    if not len(texts):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = texts.buffers()
     places = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
     raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
