@@ -1,7 +1,9 @@
 import re
+import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.conftest import prose
@@ -20,14 +22,15 @@ def bag(ws, k):
 def brute(docs, items, k=5, percent=80):
     """(doc_id, item_id) of every item with a similar window, all windows compared."""
     kept = {}
-    for i, t in sorted((i, t) for i, t in items if i is not None and words(t)):
-        kept.setdefault(tuple(words(t)), i)
+    for i, t in items:
+        if words(t):
+            kept.setdefault(tuple(words(t)), set()).add(i)
     weigh = lambda s: sum(len(w.encode()) for w in s)
     out = set()
     for d, t in docs:
         ws = words(t)
         grams = {n: set(bag(ws, n)) for n in range(1, k + 1)}
-        for item, i in kept.items():
+        for item, ids in kept.items():
             kk = min(k, len(item))
             own = bag(item, kk)
             if grams[kk].isdisjoint(own):
@@ -38,7 +41,7 @@ def brute(docs, items, k=5, percent=80):
                 both = sum(min(c, seen[s]) * weigh(s) for s, c in own.items())
                 every = sum(c * weigh(s) for s, c in own.items()) + sum(c * weigh(s) for s, c in seen.items()) - both
                 if 100 * both >= percent * every:
-                    out.add((d, i))
+                    out |= {(d, i) for i in ids}
                     break
     return out
 
@@ -85,8 +88,33 @@ def test_blocks_find_every_fingerprint_within_the_radius():
     for i in range(60):
         bits = np.unpackbits(index.prints[i])
         bits[rng.choice(128, spec.radius, replace=False)] ^= 1
-        near = np.packbits(bits)
-        assert any(i in index.blocks[30][b][v] for b, v in enumerate(near))
+        rows, found = index.near(np.packbits(bits)[None, :], 30)
+        assert i in found and not rows.any()
+
+
+def test_every_id_of_an_item_has_its_row(spark, items):
+    docs = spark.createDataFrame([(1, prose(900, 40)), (2, prose(5, 20))], "doc_id long, text string")
+    got = contaminated(docs, spark.createDataFrame([*items, (21, prose(900, 40))], "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["item_id"] or -1) for r in got) == [(1, 20), (1, 21), (1, 22), (2, -1)]
+
+
+def test_a_long_item_in_a_longer_text(spark):
+    item = prose(77, 4_000)
+    text = " ".join([prose(78, 4_000), item, prose(79, 4_000)])
+    index = build_index([(5, item), (6, prose(80, 4_000))], Contamination())
+    start = time.process_time()
+    rows, found = decontaminate._hits(index, pa.array([text]))
+    took = time.process_time() - start
+    (hit,) = found
+    assert hit[1:] == (4_000, 4_000, 0) and hit[0] == 1.0 and rows == [0]
+    assert took < 20  # a quadratic search took minutes
+
+
+def test_a_repetitive_text_and_item():
+    item = " ".join(["again and again it says the same"] * 30)
+    index = build_index([(1, item)], Contamination())
+    rows, found = decontaminate._hits(index, pa.array([item, item + " " + item, "again and again it says the same"]))
+    assert [(r, h[1], h[0]) for r, h in zip(rows, found, strict=True)] == [(0, 0, 1.0), (1, 0, 1.0), (1, 210, 1.0)]
 
 
 def test_benchmark_of_the_given_tables(spark, tiny, documents):
