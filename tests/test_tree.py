@@ -5,8 +5,9 @@ import pytest
 from trawlnet.operators.embed import function_embedder
 from trawlnet.plans.answer import query_collection, query_collections, rag_contexts
 from trawlnet.plans.ingest import ingest_project, store_documents
+from trawlnet.session import cut_lineage
 from trawlnet.sources.collection import ParquetStore, ViewStore, open_store
-from trawlnet.sources.tree import scan_file, scan_tree
+from trawlnet.sources.tree import TreeReader, list_tree, read_files, scan_file, scan_tree, write_tree
 
 READ = ["a.py", "sub/C.PY", "a..py", "__init__.py", "_priv/e.py", ".b.py", ".hid/d.py", "empty.py"]
 SKIPPED = [".py", "..py", "a", "a.", "a.py.txt", "x.tsx"]
@@ -35,6 +36,49 @@ def test_scan_reads_exactly_the_wanted_files(spark, tree):
     assert rows["sub/C.PY"] == "first sub/C.PY\nsecond\n"
 
 
+def test_an_arrow_file_system_gives_the_same(spark, tree):
+    os.remove(os.fsencode(tree) + b"/n\xff.js")
+    os.remove(tree / "link_dir")  # Arrow follows links to directories, which stores do not have
+    plain = {(r["path"], r["text"]) for r in scan_tree(spark, str(tree)).collect()}
+    remote = {(r["path"].removeprefix("file://"), r["text"]) for r in scan_tree(spark, f"file://{tree}", arrow=True).collect()}
+    assert remote == plain and len(plain) == len(READ) + 2
+
+
+@pytest.mark.parametrize("arrow", [False, True])
+def test_write_then_scan(spark, tmp_path, arrow):
+    files = spark.createDataFrame([(f"d{i % 3}/_x/{i}.md", bytearray(b"t%d" % i)) for i in range(40)], "name string, content binary")
+    root = f"file://{tmp_path}/w"
+    assert write_tree(files, root, arrow) == 40
+    got = {r["path"].rsplit("/w/", 1)[1]: r["text"] for r in scan_tree(spark, root, arrow=arrow).collect()}
+    assert got == {f"d{i % 3}/_x/{i}.md": f"t{i}" for i in range(40)}
+
+
+def test_planning_shares_out_directories_and_listing_is_one_job(spark, tmp_path):
+    for i in range(30):
+        deep = tmp_path / "p" / f"a{i}" / "b" / "c" / "d" / "e"
+        deep.mkdir(parents=True)
+        (deep / "f.py").write_text("x")
+        (tmp_path / "p" / f"a{i}" / "g.py").write_text("y")
+    reader = TreeReader({"root": str(tmp_path / "p"), "shares": "8"})
+    shares = reader.partitions()
+    assert len(shares) == 8 and sum(len(s.whole) for s in shares) == 30 and sum(len(s.upper) for s in shares) == 1
+    names = [b for s in shares for batch in reader.read(s) for b in batch.column("raw").to_pylist()]
+    assert len(names) == len(set(names)) == 60
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("listing", "listing")
+    assert len(list_tree(spark, str(tmp_path / "p")).collect()) == 60
+    assert len(tracker.getJobIdsForGroup("listing")) == 1
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_files_that_vanish_give_no_row(spark, tree):
+    listed = cut_lineage(list_tree(spark, str(tree)))
+    os.remove(tree / "a.py")
+    os.remove(tree / "sub" / "C.PY")
+    names = {os.path.relpath(r["path"], tree) for r in read_files(listed, str(tree)).collect()}
+    assert "a.py" not in names and "link.py" not in names and "a..py" in names
+
+
 def test_scan_of_a_missing_path_is_empty_but_a_job_fails(spark, tmp_path):
     assert scan_tree(spark, str(tmp_path / "none")).count() == 0
     assert scan_file(spark, str(tmp_path / "none.py")).count() == 0

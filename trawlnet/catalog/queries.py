@@ -14,6 +14,7 @@ from trawlnet.plans import answer, ingest
 from trawlnet.session import cut_lineage, scratch_path, ship_package
 from trawlnet.sources import collection
 from trawlnet.sources.logs import read_logs
+from trawlnet.sources.tree import scan_tree, write_tree
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -98,6 +99,56 @@ DOC_CHUNKS = f"""select concat(doc_id, ':', start_line) as id, text from ({chunk
 # --- chunking --------------------------------------------------------------------------------
 
 
+# Where each document lies in a tree with hidden, private and deep folders; one in five has another extension.
+TREE_PATH = """case doc_id % 5 when 0 then concat('_doc_', doc_id, '.py') when 1 then concat('.hidden', doc_id % 3, '/doc_', doc_id, '.md')
+  when 2 then concat('deep/', doc_id % 7, '/a/_b/c/doc_', doc_id, '.TS') when 3 then concat('src', doc_id % 11, '/doc_', doc_id, '.txt')
+  else concat('src', doc_id % 11, '/', doc_id, '..js') end"""
+
+
+def _tree(t: Tables) -> str:
+    """The documents as files of a new tree in the shared folder."""
+    root = scratch_path(t.spark, "tree") + "/docs"
+    write_tree(t.spread("documents", "doc_id", "text").selectExpr(f"{TREE_PATH} as name", "cast(coalesce(text, '') as binary) as content"), root)
+    return root
+
+
+def _below(path: str, root: str) -> Column:
+    """A path without its root."""
+    return F.expr(f"substring_index({path}, '/{root.rsplit('/', 2)[-2]}/docs/', -1)")
+
+
+@query(f"select {TREE_PATH} as path, coalesce(text, '') as text from documents where doc_id % 5 <> 3")
+def tree_scan(t: Tables) -> DataFrame:
+    root = _tree(t)
+    return scan_tree(t.spark, root).select(_below("path", root).alias("path"), "text")
+
+
+@query(
+    f"""select path, start_line, end_line, text as document, concat('chunk_', row_number() over (order by path, start_line) - 1) as id,
+  'code_docs' as collection_id from ({chunks_sql(f"(select {TREE_PATH} as path, text from documents where doc_id % 5 <> 3)", "path", 50)})"""
+)
+def ingest_tree(t: Tables) -> DataFrame:
+    """A tree becomes the collection that its directory names."""
+    root, store = _tree(t), collection.open_store(t.spark, scratch_path(t.spark, "tree-store"))
+    ingest.ingest_project(t.spark, root, store)
+    rows = store.read("code_docs")
+    return rows.select(_below("path", root).alias("path"), "start_line", "end_line", "document", "id", "collection_id")
+
+
+@query(
+    """select doc_id, case doc_id % 4 when 0 then text when 1 then concat(text, chr(65533), 'x') when 2 then concat(chr(65533), 'x', text)
+  else concat(text, chr(65533), ' ', chr(65533), chr(65533)) end as text from documents"""
+)
+def decode_text(t: Tables) -> DataFrame:
+    """Bytes that are no UTF-8, alone or as cut characters, before and behind whole texts."""
+    whole = F.col("text").cast("binary")
+    damage = {1: (b"", b"\xffx"), 2: (b"\xe2\x82x", b""), 3: (b"", b"\xf0\x9f\x98 \xc0\xaf")}
+    content = whole
+    for kind, (before, after) in damage.items():
+        content = F.when(F.col("doc_id") % 4 == kind, F.concat(F.lit(before), whole, F.lit(after))).otherwise(content)
+    return t("documents").select("doc_id", text.decode_utf8(content).alias("text"))
+
+
 @query(r"""select page_id, url from pages
 where regexp_matches(regexp_extract(url, '^[a-z]+://[^/]*/([^?#]*)', 1), '(?is)^(.*/)?\.*[^./][^/]*\.(html|py|md|ts|js)$')""")
 def ext_filter(t: Tables) -> DataFrame:
