@@ -64,6 +64,43 @@ def test_fewer_items_than_k_and_none_at_all(spark, bound):
     assert rows(R.knn(q, x.limit(0), 5, broadcast_rows=bound)) == []
 
 
+@pytest.mark.parametrize("scope", [None, "scope"])
+@pytest.mark.parametrize("grid_bytes", [400, 4_000, 64 << 20])
+def test_grids_of_any_size_give_the_same(spark, monkeypatch, scope, grid_bytes):
+    monkeypatch.setattr(R, "GRID_BYTES", grid_bytes)
+    monkeypatch.setattr(R, "_CELL_ITEMS", 7)
+    x, q = skewed_vectors(150, 5), skewed_vectors(61, 6)
+    got = R.knn(frame(spark, q, "query_id", scope), frame(spark, x, "id", scope), 4, scope=scope, broadcast_rows=6)
+    assert rows(got) == brute_force(q, x, 4, same_scope=bool(scope))
+
+
+def test_ten_query_blocks_scan_the_items_once(spark, tmp_path):
+    x, q = skewed_vectors(120, 7), skewed_vectors(100, 8)
+    frame(spark, x, "id").write.parquet(str(tmp_path / "items"))
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    stored = spark.read.parquet(str(tmp_path / "items"))
+    items = stored.mapInArrow(count, stored.schema)
+    hits = R.knn(frame(spark, q, "query_id"), items, 3, broadcast_rows=10)
+    assert seen.value == 0  # nothing is read, cut or counted beforehand
+    assert rows(hits) == brute_force(q, x, 3)
+    assert seen.value == 120
+
+
+def test_scopes_that_no_query_asks_are_not_shuffled(spark, tmp_path, plan):
+    x, q = skewed_vectors(90, 9), skewed_vectors(60, 10)
+    frame(spark, x, "id", True).write.partitionBy("scope").parquet(str(tmp_path / "items"))
+    asked = frame(spark, q, "query_id", True).where("scope = 1")
+    hits = R.knn(asked, spark.read.parquet(str(tmp_path / "items")), 3, scope="scope", broadcast_rows=5)
+    assert rows(hits) == [r for r in brute_force(q, x, 3, same_scope=True) if r[0] % 3 == 1]
+    assert "PartitionFilters: []" not in plan(hits)
+
+
 def test_bad_arguments(spark):
     x = frame(spark, [[0, 1]], "id")
     with pytest.raises(ValueError):

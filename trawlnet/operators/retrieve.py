@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -22,14 +21,21 @@ DEFAULT_K = 5
 SEPARATOR = "\n\n---\n\n"
 NO_RESULTS = "No results found."
 
-# Queries are sent to the items in blocks below both of these.
+# Queries below both of these are sent to the items; more of them meet the items in a grid of blocks.
 BROADCAST_ROWS = 8192
 BROADCAST_BYTES = 64 << 20
+# Vectors of either side in one block of the grid, and the estimate of a table's size beyond which it is counted.
+GRID_BYTES = 64 << 20
+UNKNOWN_BYTES = 1 << 50
+# Scopes with their block counts that are broadcast, a few dozen bytes each.
+BROADCAST_SCOPES = 200_000
 # Rows of either side in one cell block of the partitioned join.
 ITEM_BLOCK = 20_000
 QUERY_BLOCK = 4_096
 # From so many queries on, looking for equal vectors in a batch costs less than scoring the copies.
 COPY_CHECK_QUERIES = 64
+# Items of a cell scored at once.
+_CELL_ITEMS = 20_000
 # Scope values that are worth an IN filter on the items.
 PRUNED_SCOPES = 1000
 
@@ -71,25 +77,89 @@ def knn(
     item id. With ``scope``, a query only meets items with the same value there, and a query id
     that asks several scopes is ranked in each. Null vectors are skipped; null, NaN or infinite
     elements are an error on either side.
-    The queries are materialised once, since an embedder need not repeat itself, and travel to
-    the items in blocks of bounded size; the items never move.
+    The queries are materialised once, since an embedder need not repeat itself. Few enough of them travel to the
+    items, which never move; more of them meet the items in one job, block by block (``_knn_grid``).
     """
     if k < 1:
         raise ValueError("k must be at least 1")
     queries = cut_lineage(_narrow(queries, query_id, vector_col, scope))
     items = _narrow(items, item_id, vector_col, scope)
-    field = queries.schema[query_id]
     size = F.sum(F.size(vector_col).cast("long") * 8 + F.octet_length(F.col(query_id).cast("string")) + 64)
     n_rows, n_bytes = queries.agg(F.count(F.lit(1)), size).first()
-    blocks = max(1, math.ceil(n_rows / broadcast_rows), math.ceil((n_bytes or 0) / BROADCAST_BYTES))
-    if blocks > 1:
-        items = cut_lineage(items)
-    answers = []
-    for block in range(blocks):
-        own = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64(query_id, *([scope] if scope else [])), F.lit(blocks)) == block)
-        hits = rank_hits(_knn_broadcast(own.toArrow(), field, items, k, query_id, item_id, vector_col, scope), k, query_id, item_id, scope=scope)
-        answers.append(hits if blocks == 1 else cut_lineage(hits))
-    return reduce(DataFrame.unionByName, answers)
+    if n_rows <= broadcast_rows and (n_bytes or 0) <= BROADCAST_BYTES:
+        field = queries.schema[query_id]
+        hits = _knn_broadcast(queries.toArrow(), field, items, k, query_id, item_id, vector_col, scope)
+    else:
+        hits = _knn_grid(queries, n_rows, n_bytes, items, k, query_id, item_id, vector_col, scope, broadcast_rows)
+    return rank_hits(hits, k, query_id, item_id, scope=scope)
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    """What the optimizer expects of a table's size, from the sizes of its files; very large where it cannot know."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def _knn_grid(queries, n_rows, n_bytes, items, k, query_id, item_id, vector_col, scope, broadcast_rows) -> DataFrame:
+    """Both sides in a grid of (item part, query block) cells, each of bounded size, in one job.
+
+    An item is copied once per query block, a query once per item part, and a cell keeps the k best of each of its
+    queries. Without a scope the number of parts follows from the size that the optimizer expects, so the items are
+    scanned once. With one, every scope is a grid of its own, sized by its rows: items meet the queries of their own
+    scope only, and those of a scope that no query asks are left out before anything is shuffled.
+    """
+    width = max(1, n_bytes // n_rows)
+    q_rows = max(1, min(broadcast_rows, GRID_BYTES // width))
+    x_rows = max(1, GRID_BYTES // width)
+    centre = [r["m"] for r in queries.select(F.posexplode(vector_col).alias("i", "x")).groupBy("i").agg(F.avg("x").alias("m")).orderBy("i").collect()]
+    block = F.xxhash64(query_id)
+    part = F.xxhash64(item_id, vector_col)
+    if scope:
+        asked = queries.groupBy(scope).agg(F.ceil(F.count(F.lit(1)) / q_rows).alias("_nq"))
+        asked = cut_lineage(asked)
+        n_scopes = asked.count()
+        if n_scopes <= PRUNED_SCOPES:  # lets a table partitioned by the scope skip whole folders
+            items = items.where(F.col(scope).isin([r[scope] for r in asked.collect() if r[scope] is not None]))
+        held = items.groupBy(scope).agg(F.ceil(F.count(F.lit(1)) / x_rows).alias("_ni"))
+        parts = cut_lineage(asked.join(held, scope))
+        parts = F.broadcast(parts) if n_scopes <= BROADCAST_SCOPES else parts
+        queries, items = queries.join(parts, scope), items.join(parts, scope)
+    else:
+        expected = _estimated_bytes(items)
+        n_parts = math.ceil(expected / GRID_BYTES) if expected < UNKNOWN_BYTES else math.ceil(items.count() / x_rows)
+        counts = {"_nq": F.lit(math.ceil(n_rows / q_rows)), "_ni": F.lit(max(1, n_parts))}
+        queries, items = queries.withColumns(counts), items.withColumns(counts)
+    keys = [*([scope] if scope else []), "_ip", "_qb"]
+
+    def numbers(n: str):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n).cast("long") - 1))
+
+    own = [scope] if scope else []
+    q = queries.select(query_id, F.col(vector_col).alias("_qv"), *own, F.pmod(block, F.col("_nq").cast("long")).alias("_qb"), numbers("_ni").alias("_ip"))
+    x = items.select(item_id, F.col(vector_col).alias("_xv"), *own, F.pmod(part, F.col("_ni").cast("long")).alias("_ip"), numbers("_nq").alias("_qb"))
+    schema = _hit_schema(items, queries.schema[query_id], item_id, scope)
+
+    def best_of_cell(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return schema_of(left, right).empty_table()
+        middle = np.asarray(centre)
+        qm, xm, x_ids = matrix(left["_qv"]) - middle, matrix(right["_xv"]) - middle, plain(right[item_id])
+        if len(qm) >= COPY_CHECK_QUERIES:
+            xm, x_ids = without_spare_copies(xm, x_ids, k)
+        top = RunningTopK(len(qm), k)
+        step = max(1, _CELL_ITEMS)
+        for low in range(0, len(xm), step):
+            some = xm[low : low + step]
+            top.offer(lambda rows, some=some: squared_distances(qm[rows], some), len(some), x_ids[low : low + step])
+        rows = pa.array(top.rows)
+        scopes = [left[scope].combine_chunks().take(rows)] if scope else []
+        made = [left[query_id].combine_chunks().take(rows), *scopes, pa.array(top.ids, type=right.schema.field(item_id).type), pa.array(top.costs)]
+        return pa.Table.from_arrays(made, names=schema.names)
+
+    def schema_of(left: pa.Table, right: pa.Table) -> pa.Schema:
+        fields = [left.schema.field(query_id), *([left.schema.field(scope)] if scope else []), right.schema.field(item_id)]
+        return pa.schema([*fields, pa.field("distance", pa.float64())])
+
+    return q.groupBy(*keys).cogroup(x.groupBy(*keys)).applyInArrow(best_of_cell, schema)
 
 
 def _narrow(df: DataFrame, key: str, vector_col: str, scope: str | None) -> DataFrame:
