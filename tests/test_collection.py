@@ -2,7 +2,7 @@ import os
 
 import pytest
 
-from trawlnet.sources.collection import ParquetStore, insert_missing, upsert
+from trawlnet.sources.collection import ParquetStore, check_record, insert_missing, upsert
 
 FIELDS = "collection_id string, id string, document string"
 
@@ -42,23 +42,59 @@ def test_store_round_trip(spark, tmp_path):
     assert docs(store.read()) == {
         ("a", "1"): "x", ("a", "2"): "new", ("a", "3"): "new", ("a", "4"): "late", ("b/c d", "1"): "y",
     }
-    # an upsert rewrites the collections it touches and no other
-    rewritten = [d for d in os.listdir(tmp_path / "s") if d.endswith("-set")]
-    assert len(rewritten) == 1
-    assert [d for d in os.listdir(tmp_path / "s" / rewritten[0]) if "=" in d] == ["collection_id=a"]
-
-
-def test_unfinished_write_is_ignored(spark, tmp_path):
+    # an upsert writes its own rows and no other
+    written = [d for d in os.listdir(tmp_path / "s") if d.endswith("-put")]
+    assert len(written) == 1
+    assert spark.read.parquet(str(tmp_path / "s" / written[0])).count() == 2
+    store.upsert(rows(spark, ("a", "2", "newer")))
+    assert docs(store.read("a")) == {("a", "1"): "x", ("a", "2"): "newer", ("a", "3"): "new", ("a", "4"): "late"}
+    before = sorted(map(tuple, store.read().drop("metadata").collect()))
+    store.compact()
+    assert sorted(map(tuple, store.read().drop("metadata").collect())) == before
+    assert [k for _, k in store.record("a").folders] == ["all"]
+    store.upsert(rows(spark, ("a", "2", "last")))
+    assert docs(store.read())[("a", "2")] == "last" and store.read().count() == 5
+
+
+def test_unfinished_write_is_ignored(spark, tmp_path, monkeypatch):
     store = ParquetStore(spark, str(tmp_path / "s"))
     store.insert_missing(rows(spark, ("a", "1", "x")))
+    monkeypatch.setattr(store, "_note", lambda *_: None)  # lost between its rows and its record
     store.upsert(rows(spark, ("a", "1", "half")))
-    folder = next(d for d in (tmp_path / "s").iterdir() if d.name.endswith("-set"))
-    (folder / "_SUCCESS").unlink()
+    monkeypatch.undo()
     assert docs(store.read()) == {("a", "1"): "x"}
     store.upsert(rows(spark, ("a", "1", "whole")))
     assert docs(store.read()) == {("a", "1"): "whole"}
 
 
+VECTORS = FIELDS + ", embedder string, embedding array<float>"
+
+
+def test_a_collection_keeps_its_embedder_and_dimension(spark, tmp_path):
+    store = ParquetStore(spark, str(tmp_path / "s"))
+
+    def write(*data, mode="insert_missing"):
+        getattr(store, mode)(spark.createDataFrame(list(data), VECTORS))
+
+    write(("a", "1", "x", "e", [1.0, 2.0]), ("b", "1", "x", "f", [1.0]))
+    record = store.record("a")
+    assert (record.embedder, record.dimension) == ("e", 2) and store.record("none") is None
+    nan, inf = float("nan"), float("inf")
+    for bad in ([1.0], [1.0, nan], [1.0, inf], [1.0, None], None):
+        for mode in ("insert_missing", "upsert"):
+            with pytest.raises(Exception):
+                write(("a", "2", "y", "e", bad), mode=mode)
+    with pytest.raises(Exception, match="embedded with e"):
+        write(("a", "2", "y", "f", [1.0, 2.0]))
+    with pytest.raises(Exception):
+        write(("c", "1", "y", "e", [1.0]), ("c", "2", "y", "e", [1.0, 2.0]))
+    assert docs(store.read()) == {("a", "1"): "x", ("b", "1"): "x"} and store.record("c") is None
+    check_record(record, "e", 2)
+    for name, dimension in (("f", 2), ("e", 3)):
+        with pytest.raises(ValueError):
+            check_record(record, name, dimension)
+
+
 def test_the_newest_version_wins_in_either_mode(spark, tmp_path):
     versions = spark.createDataFrame([("a", "1", "zz", 3), ("a", "1", "aa", 1), ("a", "2", "x", 1)], FIELDS + ", v int")
     for mode in ("insert_missing", "upsert"):
@@ -71,10 +107,12 @@ def test_a_read_opens_its_own_collection_only_and_nothing_new_writes_nothing(spa
     store = ParquetStore(spark, str(tmp_path / "s"))
     batch = rows(spark, *[(f"c{i}", "1", "x") for i in range(6)], ("o/d d", "1", "y"))
     store.insert_missing(batch)
-    assert len(store._live_paths()) == 7 and len(store._live_paths("c3")) == len(store._live_paths("o/d d")) == 1
-    assert store._live_paths("none") == [] and store.read("none").count() == 0
+    assert len(store.read().inputFiles()) == 7 and len(store.read("c3").inputFiles()) == len(store.read("o/d d").inputFiles()) == 1
+    assert store.read("none").count() == 0
+    some = store.read_many(spark.createDataFrame([("c1",), ("o/d d",), ("none",)], "collection_id string"))
+    assert len(some.inputFiles()) == 2 and docs(some) == {("c1", "1"): "x", ("o/d d", "1"): "y"}
     store.insert_missing(batch)
-    assert len(os.listdir(tmp_path / "s")) == 1
+    assert len([d for d in os.listdir(tmp_path / "s") if d.startswith("batch=")]) == 1
 
 
 def test_vectors_of_other_or_unnamed_embedders_are_refused(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from trawlnet.operators.chat import task_prompts
 from trawlnet.operators.embed import Embedder, resolve
 from trawlnet.operators.retrieve import DEFAULT_K, context_per_query, fetch, knn
-from trawlnet.sources.collection import ParquetStore, ViewStore, check_embedder
+from trawlnet.sources.collection import ParquetStore, ViewStore, check_embedder, check_record
 
 
 def search_chunks(
@@ -46,8 +46,8 @@ def query_collection(
     embedder: str | Embedder | None = None,
 ) -> DataFrame:
     """``query_id`` and ``HIT_COLUMNS`` of every query's best chunks within one collection."""
+    check_record(store.record(collection_id), resolve(embedder).name, resolve(embedder).dim)
     rows = store.read(collection_id)
-    check_embedder(rows, resolve(embedder).name)
     hits = search_chunks(queries, rows, k, query_id=query_id, embedder=embedder)
     # the top-k runs on ids and vectors; documents are fetched for the winners only
     return fetch(hits, rows.drop("embedding", "embedder", "collection_id"), "id").select(query_id, *HIT_COLUMNS)
@@ -62,8 +62,9 @@ def query_collections(
     embedder: str | Embedder | None = None,
 ) -> DataFrame:
     """Like ``query_collection`` for queries that each name their own ``collection_id``, in one job."""
-    rows = store.read().join(queries.select("collection_id").distinct(), "collection_id", "left_semi")
-    check_embedder(rows, resolve(embedder).name)
+    asked = queries.select("collection_id").distinct()
+    check_embedder(store.records(asked), resolve(embedder).name)
+    rows = store.read_many(asked)
     hits = search_chunks(queries, rows, k, query_id=query_id, embedder=embedder, scope="collection_id")
     return fetch(hits, rows.drop("embedding", "embedder"), ["collection_id", "id"]).select(
         query_id, "collection_id", *HIT_COLUMNS

@@ -12,7 +12,7 @@ from trawlnet.functions.keys import chunk_id, content_key, with_ordinal
 from trawlnet.operators.chunk import DEFAULT_CHUNK_LINES, chunk_lines
 from trawlnet.operators.embed import Embedder, check_dimension, resolve
 from trawlnet.session import cut_lineage
-from trawlnet.sources.collection import ParquetStore, ViewStore, check_embedder
+from trawlnet.sources.collection import ParquetStore, ViewStore, check_record
 from trawlnet.sources.tree import EXTENSIONS, require_directory, scan_tree
 
 
@@ -47,7 +47,7 @@ def store_rows(
     if mode not in ("insert_missing", "upsert"):
         raise ValueError(f"unknown write mode {mode!r}")
     if embedder is not None:
-        check_embedder(store.read(collection_id), embedder)
+        check_record(store.record(collection_id), embedder)
     getattr(store, mode)(rows.withColumn("collection_id", F.lit(collection_id)), collection_id, unique)
 
 
