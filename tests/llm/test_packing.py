@@ -18,6 +18,10 @@ ODD = [
 ]
 
 
+RUNS = "end. (x) Word&&& a_b A-B ... x!? [y] {z} #tag @me don't. it's! a<b <| |> <|endoftext|>. x1. 1.5, `q` ^~ = ==> X.Y 'a' ß. Éa! a<|endoftext|>"
+ODD.append(RUNS)
+
+
 def ids_of(texts):
     library = Library.from_file(PATH)
     return [library.encode(t or "", add_special_tokens=False).ids for t in texts]

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from array import array
 from collections.abc import Callable, Iterator
 
@@ -26,6 +27,9 @@ KNOWN_CHARS, KNOWN = 48, 300_000
 WORD_END_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 BLANK = "▁"
 
+#: ASCII letters and then signs, without the apostrophe and the bracket that begin other rules.
+_RUNS = re.compile(r"([A-Za-z]*)([!-&(-/:;=-@\[-`{-~]*)")
+
 #: First bytes of characters outside ASCII that may be white space; a cut is not made before those.
 _MAYBE_BLANK = np.zeros(256, dtype=bool)
 _MAYBE_BLANK[[*range(0x09, 0x0E), 0x20, 0xC2, 0xE1, 0xE2, 0xE3]] = True
@@ -124,8 +128,37 @@ class WordEnds:
     default. Texts are cut at ASCII white space where the file's rules are known to drop it, else encoded whole."""
 
     def __init__(self, data: bytes):
-        self.encode = Remembered(json_encoder(data))
-        self.cut = self._drops_blanks(json.loads(data))
+        spec = json.loads(data)
+        self.cut = self._drops_blanks(spec)
+        self.library = json_encoder(data)
+        self.encode = Remembered(self._by_runs if self.cut else self.library)
+        if self.cut:
+            # a run of letters or of signs is one word to the split, so without it and in lower case the ids are the same
+            self.mark = spec["added_tokens"][0]
+            steps = [s for s in spec["pre_tokenizer"]["pretokenizers"] if s["type"] == "ByteLevel"]
+            self.runs = json_library(json.dumps(spec | {"normalizer": None, "pre_tokenizer": steps[0]}).encode())
+
+    def _by_runs(self, texts: list[str]) -> list[list[int]]:
+        """Words of ASCII letters and then signs go through the merges alone, in one call, a mark standing between them;
+        all others through the whole library."""
+        out: list = [None] * len(texts)
+        rest, own, words = [], [], []
+        for i, text in enumerate(texts):
+            runs = _RUNS.fullmatch(text)
+            if runs:
+                own.append(i)
+                words += [r.lower() for r in runs.groups() if r]
+                words.append(self.mark["content"])
+            else:
+                rest.append(i)
+        if words:
+            ids = np.array(self.runs.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)[0].ids, np.int32)
+            ends = np.flatnonzero(ids == self.mark["id"])
+            for i, low, high in zip(own, [0, *(ends[:-1] + 1).tolist()], ends.tolist(), strict=True):
+                out[i] = ids[low:high].tolist()
+        for i, ids in zip(rest, self.library([texts[i] for i in rest]) if rest else (), strict=True):
+            out[i] = ids
+        return out
 
     @staticmethod
     def _drops_blanks(spec: dict) -> bool:
@@ -135,7 +168,8 @@ class WordEnds:
         drops = split.get("pattern") == {"Regex": WORD_END_SPLIT} and split.get("behavior") == "Removed" and split.get("invert")
         marks = spec.get("added_tokens", ())
         plain = not any(t["lstrip"] or t["rstrip"] or t["single_word"] or len(t["content"].split()) != 1 for t in marks)
-        return bool(steps and known and drops and plain and not spec.get("truncation") and not spec.get("padding"))
+        bytes_only = [s.get("use_regex", True) for s in (spec.get("pre_tokenizer") or {}).get("pretokenizers", []) if s["type"] == "ByteLevel"] == [False]
+        return bool(steps and known and drops and plain and marks and bytes_only and not spec.get("truncation") and not spec.get("padding"))
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order and how many each has."""
