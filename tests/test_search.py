@@ -1,5 +1,6 @@
 import json
 import math
+import random
 import re
 from collections import Counter
 
@@ -92,6 +93,46 @@ def test_page_search_matches_brute_force(spark, tiny, max_queries, monkeypatch):
     ]
 
 
+def test_pages_are_cut_into_words_once_for_any_number_of_queries(spark):
+    seen = spark.sparkContext.accumulator(0)
+    rng = random.Random(3)
+    # "the" is on nearly all pages, and many times on a few
+    texts = [" ".join(rng.choice("abcdefghijkl") * 2 for _ in range(20)) + " the" * (rng.randrange(9) if i % 7 else 0) for i in range(120)]
+    pages = spark.createDataFrame(list(enumerate(texts)), "page_id long, html string").repartition(3)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    index = S.index_pages(pages.mapInArrow(count, pages.schema).repartition(4))
+    indexed = seen.value
+    queries = [(i, " ".join(rng.choice("abcdefghijklmn") * 2 for _ in range(3)) + " the") for i in range(60)] + [(7, "aa bb"), (100, "the"), (None, "cc")]
+    df = spark.createDataFrame(queries, "query_id long, text string")
+    got = S.search_index(index, df, 3).collect()
+    merged = {}
+    for q, t in queries:
+        merged[q] = merged.get(q, "") + " " + t
+    wanted = brute_force(list(enumerate(texts)), [(-1 if q is None else q, t) for q, t in merged.items()], 3)
+    assert sorted((-1 if r["query_id"] is None else r["query_id"], r["rank"], r["page_id"], round(r["score"], 5)) for r in got) == [
+        (q, rank, p, round(s, 5)) for q, rank, p, s in wanted
+    ]
+    S.search_index(index, df, 2).collect()
+    assert seen.value == indexed
+    for bound in (3, 8192):  # both ways take rows of one id as one query
+        both = S.search_pages(pages, df, 3, max_queries=bound).collect()
+        assert sorted((r["query_id"] or -1, r["rank"], r["page_id"]) for r in both) == sorted((r["query_id"] or -1, r["rank"], r["page_id"]) for r in got)
+
+
+def test_frequent_words_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(S, "SLICE_ROWS", 10)
+    pages = spark.createDataFrame([(i, f"common w{i % 5} " + "common " * (i % 3) + ("" if i else "x")) for i in range(49)] + [(99, "other")], "page_id long, html string")
+    queries = spark.createDataFrame([(1, "common w1"), (2, "common"), (3, "other x")], "query_id long, text string")
+    got = S.search_index(S.index_pages(pages), queries, 4).collect()
+    wanted = brute_force([(r[0], r[1]) for r in pages.collect()], [tuple(r) for r in queries.collect()], 4)
+    assert sorted((r["query_id"], r["rank"], r["page_id"], round(r["score"], 5)) for r in got) == [(q, n, p, round(s, 5)) for q, n, p, s in wanted]
+
+
 def test_page_search_moves_no_pages(spark, tiny, plan):
     pages = spark.read.parquet(f"{tiny}/pages.parquet")
     queries = spark.read.parquet(f"{tiny}/benchmark.parquet").select(F.col("item_id").alias("query_id"), "text")

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import math
-from functools import reduce
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
 from trawlnet.functions.text import TITLE, first_non_empty
 from trawlnet.functions.words import coded_words, drop_tags
@@ -88,40 +88,117 @@ def search_pages(
     """The k pages with the highest TF-IDF score per query: ``query_id, page_id, score, rank``.
 
     The score is the sum over the query's distinct words of ``tf * ln(pages / df)`` to 6 decimals;
-    ties go to the lower page id and pages scoring zero are no hits. Pages never move: a query
-    block of proven small size goes to them, and a larger query set runs as several such blocks.
+    ties go to the lower page id and pages scoring zero are no hits. Rows that share a query id are one query with the
+    words of all. Few queries go to the pages, which never move; more of them are answered from an index of the pages,
+    so texts are cut into words once for any number of queries.
     """
-    texts = pages.select(page_id, F.col(html).alias("_html"))
     asked = queries.select(query_id, F.col(query_text).alias("_asked"))
-    blocks = _score_blocks(texts, asked, pages.count(), k, page_id, query_id, max_queries)
-    return rank_hits(blocks, k, query_id, page_id, cost="_cost").select(
-        query_id, page_id, (-F.col("_cost")).alias("score"), "rank"
-    )
+    size = asked.agg(F.count("*").alias("n"), F.sum(F.octet_length("_asked")).alias("held")).first()
+    if size["n"] > max_queries or (size["held"] or 0) > BROADCAST_BYTES:
+        index = index_pages(pages, page_id=page_id, html=html)
+        return search_index(index, queries, k, query_id=query_id, query_text=query_text)
+    texts = pages.select(page_id, F.col(html).alias("_html"))
+    hits = _score_block(texts, asked.toArrow(), asked.schema[query_id], pages.count(), k, page_id, query_id)
+    return rank_hits(hits, k, query_id, page_id, cost="_cost").select(query_id, page_id, (-F.col("_cost")).alias("score"), "rank")
 
 
-def _score_blocks(pages, asked, n_pages, k, page_id, query_id, max_queries, depth=0) -> DataFrame:
-    """Score one block of queries, or split it by id until every part is small enough to ship."""
-    size = asked.agg(F.count("*").alias("n"), F.sum(F.octet_length("_asked")).alias("held")).first()
-    n, held = size["n"], size["held"] or 0
-    if n <= max_queries and (held <= BROADCAST_BYTES or n == 1):
-        return _score_block(pages, asked.toArrow(), asked.schema[query_id], n_pages, k, page_id, query_id)
-    if depth > 8:
-        raise ValueError("query ids must be unique")
-    parts = max(2, math.ceil(2 * max(n / max_queries, held / BROADCAST_BYTES)))
-    block = F.pmod(F.xxhash64(F.lit(depth), F.col(query_id)), F.lit(parts))
-    return reduce(
-        DataFrame.unionByName,
-        [
-            _score_blocks(pages, asked.where(block == b), n_pages, k, page_id, query_id, max_queries, depth + 1)
-            for b in range(parts)
-        ],
+@dataclass(frozen=True)
+class PageIndex:
+    """An inverted index: ``postings(word, <page id>, tf)``, ``words(word, df, most)`` with the greatest tf of each
+    word, and the number of pages."""
+
+    postings: DataFrame
+    words: DataFrame
+    n_pages: int
+    page_id: str
+
+
+def index_pages(pages: DataFrame, *, page_id: str = "page_id", html: str = "html", path: str | None = None) -> PageIndex:
+    """Cut every page into words once. ``path`` keeps the postings as a Parquet table; else they are checkpointed."""
+    made = pages.select(page_id, F.col(html).alias("_html")).mapInArrow(
+        _post(page_id), StructType([StructField("word", StringType()), pages.schema[page_id], StructField("tf", IntegerType())])
     )
+    if path is None:
+        postings = cut_lineage(made)
+    else:
+        made.write.parquet(path)
+        postings = pages.sparkSession.read.schema(made.schema).parquet(path)
+    words = cut_lineage(postings.groupBy("word").agg(F.count(F.lit(1)).alias("df"), F.max("tf").alias("most")))
+    return PageIndex(postings, words, pages.count(), page_id)
+
+
+def _post(page_id: str):
+    def run(batches):
+        for batch in batches:
+            row, code, words = coded_words(drop_tags(batch.column("_html")))
+            pairs, tf = np.unique(row * max(1, len(words)) + code, return_counts=True)
+            row, code = np.divmod(pairs, max(1, len(words)))
+            made = [pa.array(words, pa.string()).take(pa.array(code)), batch.column(page_id).take(pa.array(row)), pa.array(tf.astype("int32"))]
+            yield pa.RecordBatch.from_arrays(made, names=["word", page_id, "tf"])
+
+    return run
+
+
+def _words_of(query_id: str):
+    def run(batches):
+        for batch in batches:
+            row, code, words = coded_words(batch.column("_asked"))
+            made = [batch.column(query_id).take(pa.array(row)), pa.array(words, pa.string()).take(pa.array(code))]
+            yield pa.RecordBatch.from_arrays(made, names=[query_id, "word"])
+
+    return run
+
+
+# A word on more pages than this is dealt to so many tasks; sums may differ by so much from their bounds.
+SLICE_ROWS, SLICES = 50_000, 32
+_ROOM = 1e-6
+
+
+def search_index(index: PageIndex, queries: DataFrame, k: int = 5, *, query_id: str = "query_id", query_text: str = "text") -> DataFrame:
+    """``query_id, page_id, score, rank`` as ``search_pages`` gives them, from the postings of the words asked.
+
+    Each word's score is bounded by its greatest tf. The k-th best page by single words is a floor for each query;
+    words that together stay below it cannot lift a page into the best k on their own, so their postings, which are the
+    long ones, are read only for pages that a query's other words have found. Frequent words are dealt to several tasks.
+    """
+    page_id, field = index.page_id, queries.schema[query_id]
+    texts = queries.select(query_id, F.coalesce(query_text, F.lit("")).alias("_asked"))
+    asked = texts.mapInArrow(_words_of(query_id), StructType([field, StructField("word", StringType())])).distinct()
+    known = index.words.where(F.col("df") < index.n_pages)
+    asked = asked.join(known, "word").withColumn("idf", F.log(F.lit(float(index.n_pages)) / F.col("df")))
+    asked = cut_lineage(asked.withColumn("bound", F.col("most") * F.col("idf")))
+    slices = F.when(F.col("df") > SLICE_ROWS, SLICES).otherwise(1)
+    slot = F.pmod(F.xxhash64(page_id), slices).cast("int").alias("slot")
+    own = index.postings.join(asked.select("word", "df").distinct(), "word")
+    own = cut_lineage(own.select("word", page_id, "tf", slot))
+
+    best = Window.partitionBy("word").orderBy(F.desc("tf"), page_id)
+    heads = own.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k)
+    single = asked.join(heads, "word").groupBy(query_id, page_id).agg(F.max(F.col("tf") * F.col("idf")).alias("gain"))
+    last = Window.partitionBy(query_id).orderBy(F.desc("gain"), page_id)
+    floors = single.withColumn("n", F.row_number().over(last)).where(F.col("n") == k).select(F.col(query_id).alias("_q"), F.col("gain").alias("floor"))
+    rising = Window.partitionBy(query_id).orderBy("bound", "word").rowsBetween(Window.unboundedPreceding, 0)
+    bounded = asked.join(floors, asked[query_id].eqNullSafe(floors["_q"]), "left").drop("_q").withColumn("floor", F.coalesce("floor", F.lit(0.0)))
+    bounded = cut_lineage(bounded.withColumn("leads", F.sum("bound").over(rising) >= F.col("floor") - _ROOM))
+
+    leading = bounded.where("leads").select(query_id, "word", "idf", F.explode(F.sequence(F.lit(0), slices - 1)).alias("slot"))
+    found = leading.join(own, ["word", "slot"]).groupBy(query_id, page_id).agg(F.sum(F.col("tf") * F.col("idf")).alias("part"))
+    rest = bounded.groupBy(F.col(query_id).alias("_q")).agg(F.max("floor").alias("floor"), F.sum(F.when(~F.col("leads"), F.col("bound")).otherwise(0.0)).alias("more"))
+    found = found.join(rest, found[query_id].eqNullSafe(rest["_q"])).where(F.col("part") + F.col("more") >= F.col("floor") - _ROOM)
+    found = cut_lineage(found.select(query_id, page_id, "part"))
+    others = bounded.where("not leads").select(F.col(query_id).alias("_q"), "word", "idf")
+    more = found.join(others, found[query_id].eqNullSafe(others["_q"])).join(own.drop("slot"), ["word", page_id])
+    gains = found.unionByName(more.select(query_id, page_id, (F.col("tf") * F.col("idf")).alias("part")))
+    scored = gains.groupBy(query_id, page_id).agg(F.round(F.sum("part"), DECIMALS).alias("score")).where("score > 0")
+    return rank_hits(scored.withColumn("_cost", -F.col("score")), k, query_id, page_id, cost="_cost").select(query_id, page_id, "score", "rank")
 
 
 def _score_block(pages, head: pa.Table, query_field, n_pages, k, page_id, query_id) -> DataFrame:
     spark = pages.sparkSession
-    ids = head[query_id].combine_chunks()
+    coded = head[query_id].combine_chunks().dictionary_encode(null_encoding="encode")
+    ids = coded.dictionary
     owner, word_of, vocabulary = coded_words(head["_asked"].combine_chunks())
+    owner = coded.indices.to_numpy()[owner]
     word_of, owner = np.unique(np.stack([word_of, owner]), axis=1).astype(np.int64)  # each word counts once per query
     postings = owner  # queries of word w sit at starts[w]:starts[w + 1]
     starts = np.r_[0, np.cumsum(np.bincount(word_of, minlength=len(vocabulary)))]
