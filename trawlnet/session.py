@@ -47,7 +47,7 @@ def ship_package(spark: SparkSession) -> None:
     package = Path(__file__).resolve().parent
     archive = Path(tempfile.mkdtemp(prefix="trawlnet-code-")) / f"{package.name}.zip"
     with zipfile.ZipFile(archive, "w") as z:
-        for source in sorted([*package.rglob("*.py"), *package.rglob("license_texts/*.txt")]):
+        for source in sorted([*package.rglob("*.py"), *package.rglob("*.txt")]):
             z.write(source, source.relative_to(package.parent).as_posix())
     sc.addPyFile(str(archive))
     _SHIPPED.add(sc.applicationId)
