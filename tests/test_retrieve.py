@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -218,3 +220,36 @@ def test_spare_copies():
     kept, ids = without_spare_copies(x, np.array([9, 1, 7, 8, 2]), 2)
     assert sorted(zip(ids.tolist(), map(tuple, kept.tolist()))) == [(1, (0, 0)), (2, (3, 4)), (7, (1, 2)), (8, (1, 2))]
     assert without_spare_copies(x[:0], np.zeros(0), 2)[0].shape == (0, 2)
+
+
+def test_float32_tiles_give_the_exact_rows():
+    """Near ties, copies, far offsets and lengths beyond float32 rank as in float64, also over several tiles."""
+    from trawlnet.operators.topk import NearestVectors
+
+    rng = np.random.default_rng(12)
+    base = rng.normal(size=(5, 7))
+    x = np.concatenate([base[rng.integers(0, 5, 3000)] + rng.normal(scale=1e-4, size=(3000, 7)), rng.normal(size=(500, 7)), base])
+    q = np.concatenate([x[:600], rng.normal(size=(100, 7))])
+    for unit in (1.0, 1e15, 1e25):
+        top = NearestVectors(q * unit, 4)
+        for low in range(0, len(x), 1500):
+            top.offer(x[low : low + 1500] * unit, np.arange(low, min(low + 1500, len(x))))
+        rows, found, costs = top.best()
+        assert rows.tolist() == np.repeat(np.arange(len(q)), 4).tolist()
+        d = ((q[:, None] - x[None]) ** 2).sum(axis=2)
+        truth = np.sort(d, axis=1)[:, :4].ravel()
+        assert np.allclose(d[rows, found], truth, rtol=1e-9, atol=1.1e-6)
+        assert np.allclose(costs / unit**2, truth, rtol=1e-9, atol=1.1e-6)
+
+
+def test_grid_blocks_do_not_shrink_with_the_broadcast_bound(spark, plan):
+    """1,000 queries above a bound of 5 make a few blocks, so items are not copied 200 times; ids may be null."""
+    x, q = skewed_vectors(300, 13), skewed_vectors(1000, 14)
+    hits = R.knn(frame(spark, q, "query_id"), frame(spark, x, "id"), 3, broadcast_rows=5)
+    counts = [int(n) for n in re.findall(r"pmod\(xxhash64\([^()]*\), (\d+)\)", plan(hits))]
+    assert counts and max(counts) <= 32
+    assert rows(hits) == brute_force(q, x, 3)
+    odd = spark.createDataFrame([(None, [0.0, 1.0]), (7, [1.0, 0.0])], "id long, embedding array<float>")
+    asked = frame(spark, [[0, 1], [1, 0]], "query_id")
+    got = {(r["query_id"], r["rank"]): r["id"] for r in R.knn(asked, odd, 2, broadcast_rows=1).collect()}
+    assert got == {(0, 1): None, (0, 2): 7, (1, 1): 7, (1, 2): None}

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from trawlnet.functions.text import first_non_empty
-from trawlnet.operators.topk import RunningTopK, squared_distances, without_spare_copies
+from trawlnet.operators.topk import NearestVectors, RunningTopK, id_ranks, squared_distances, without_spare_copies
 from trawlnet.session import cut_lineage
 
 # Hits by default, what separates documents, and the sentence for none.
@@ -24,8 +24,11 @@ NO_RESULTS = "No results found."
 # Queries below both of these are sent to the items; more of them meet the items in a grid of blocks.
 BROADCAST_ROWS = 8192
 BROADCAST_BYTES = 64 << 20
-# Vectors of either side in one block of the grid, and the estimate of a table's size beyond which it is counted.
+# Queries in one block of the grid, the items of a part in such blocks (a task reads them slice by slice), cells per core
+# at least, and the estimate of a table's size beyond which it is counted.
 GRID_BYTES = 64 << 20
+PART_BLOCKS = 4
+CELLS_PER_CORE = 4
 UNKNOWN_BYTES = 1 << 50
 # Scopes with their block counts that are broadcast, a few dozen bytes each.
 BROADCAST_SCOPES = 200_000
@@ -35,7 +38,7 @@ QUERY_BLOCK = 4_096
 # From so many queries on, looking for equal vectors in a batch costs less than scoring the copies.
 COPY_CHECK_QUERIES = 64
 # Items of a cell scored at once.
-_CELL_ITEMS = 20_000
+_CELL_ITEMS = 8_192
 # Scope values that are worth an IN filter on the items.
 PRUNED_SCOPES = 1000
 
@@ -103,13 +106,15 @@ def _knn_grid(queries, n_rows, n_bytes, items, k, query_id, item_id, vector_col,
     """Both sides in a grid of (item part, query block) cells, each of bounded size, in one job.
 
     An item is copied once per query block, a query once per item part, and a cell keeps the k best of each of its
-    queries. Without a scope the number of parts follows from the size that the optimizer expects, so the items are
-    scanned once. With one, every scope is a grid of its own, sized by its rows: items meet the queries of their own
+    queries. Blocks are as large as a task can hold, so copies stay few; smaller tables get cells for every core. Without
+    a scope the number of parts follows from the size that the optimizer expects, so the items are scanned once. With one, every scope is a grid of its own, sized by its rows: items meet the queries of their own
     scope only, and those of a scope that no query asks are left out before anything is shuffled.
     """
     width = max(1, n_bytes // n_rows)
-    q_rows = max(1, min(broadcast_rows, GRID_BYTES // width))
-    x_rows = max(1, GRID_BYTES // width)
+    cells = CELLS_PER_CORE * queries.sparkSession.sparkContext.defaultParallelism
+    # the k best of each query are held as well
+    q_rows = max(1, min(max(broadcast_rows, math.ceil(n_rows / math.sqrt(cells))), GRID_BYTES // (width + 16 * k)))
+    x_rows = max(1, PART_BLOCKS * GRID_BYTES // width)
     centre = [r["m"] for r in queries.select(F.posexplode(vector_col).alias("i", "x")).groupBy("i").agg(F.avg("x").alias("m")).orderBy("i").collect()]
     block = F.xxhash64(query_id)
     part = F.xxhash64(item_id, vector_col)
@@ -125,10 +130,14 @@ def _knn_grid(queries, n_rows, n_bytes, items, k, query_id, item_id, vector_col,
         queries, items = queries.join(parts, scope), items.join(parts, scope)
     else:
         expected = _estimated_bytes(items)
-        n_parts = math.ceil(expected / GRID_BYTES) if expected < UNKNOWN_BYTES else math.ceil(items.count() / x_rows)
-        counts = {"_nq": F.lit(math.ceil(n_rows / q_rows)), "_ni": F.lit(max(1, n_parts))}
+        part_bytes = PART_BLOCKS * GRID_BYTES
+        n_parts = math.ceil(expected / part_bytes) if expected < UNKNOWN_BYTES else math.ceil(items.count() / x_rows)
+        n_blocks = math.ceil(n_rows / q_rows)
+        n_parts = max(1, n_parts, math.ceil(cells / n_blocks))
+        counts = {"_nq": F.lit(n_blocks), "_ni": F.lit(n_parts)}
         queries, items = queries.withColumns(counts), items.withColumns(counts)
     keys = [*([scope] if scope else []), "_ip", "_qb"]
+    n_cells = None if scope else n_blocks * n_parts
 
     def numbers(n: str):
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n).cast("long") - 1))
@@ -142,23 +151,22 @@ def _knn_grid(queries, n_rows, n_bytes, items, k, query_id, item_id, vector_col,
         if not left.num_rows or not right.num_rows:
             return schema_of(left, right).empty_table()
         middle = np.asarray(centre)
-        qm, xm, x_ids = matrix(left["_qv"]) - middle, matrix(right["_xv"]) - middle, plain(right[item_id])
-        if len(qm) >= COPY_CHECK_QUERIES:
-            xm, x_ids = without_spare_copies(xm, x_ids, k)
-        top = RunningTopK(len(qm), k)
-        step = max(1, _CELL_ITEMS)
-        for low in range(0, len(xm), step):
-            some = xm[low : low + step]
-            top.offer(lambda rows, some=some: squared_distances(qm[rows], some), len(some), x_ids[low : low + step])
-        rows = pa.array(top.rows)
+        ranks, ids = id_ranks(right[item_id].combine_chunks())
+        top = NearestVectors(matrix(left["_qv"]) - middle, k)
+        for low in range(0, right.num_rows, _CELL_ITEMS):
+            top.offer(matrix(right["_xv"].slice(low, _CELL_ITEMS)) - middle, ranks[low : low + _CELL_ITEMS])
+        rows, found, costs = top.best()
+        rows = pa.array(rows)
         scopes = [left[scope].combine_chunks().take(rows)] if scope else []
-        made = [left[query_id].combine_chunks().take(rows), *scopes, pa.array(top.ids, type=right.schema.field(item_id).type), pa.array(top.costs)]
+        made = [left[query_id].combine_chunks().take(rows), *scopes, ids.take(pa.array(found)), pa.array(costs)]
         return pa.Table.from_arrays(made, names=schema.names)
 
     def schema_of(left: pa.Table, right: pa.Table) -> pa.Schema:
         fields = [left.schema.field(query_id), *([left.schema.field(scope)] if scope else []), right.schema.field(item_id)]
         return pa.schema([*fields, pa.field("distance", pa.float64())])
 
+    if n_cells is not None:  # few cells share a task, however small their rows are
+        q, x = q.repartition(2 * n_cells, *keys), x.repartition(2 * n_cells, *keys)
     return q.groupBy(*keys).cogroup(x.groupBy(*keys)).applyInArrow(best_of_cell, schema)
 
 
