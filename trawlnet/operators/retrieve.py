@@ -33,8 +33,8 @@ UNKNOWN_BYTES = 1 << 50
 # Scopes with their block counts that are broadcast, a few dozen bytes each.
 BROADCAST_SCOPES = 200_000
 # Rows of either side in one cell block of the partitioned join.
-ITEM_BLOCK = 20_000
-QUERY_BLOCK = 4_096
+ITEM_BLOCK = 131_072
+QUERY_BLOCK = 65_536
 # From so many queries on, looking for equal vectors in a batch costs less than scoring the copies.
 COPY_CHECK_QUERIES = 64
 # Items of a cell scored at once.
@@ -289,14 +289,13 @@ def block_join(visits, placed, sizes, *, k, query_id, item_id, vector_col) -> Da
     schema = _hit_schema(placed, visits.schema[query_id], item_id)
 
     def best_of_block(left: pa.Table, right: pa.Table) -> pa.Table:
-        q_ids = left[query_id].combine_chunks()
-        top = RunningTopK(left.num_rows, k)
-        ids = pa.array([], type=right.schema.field(item_id).type)
-        if left.num_rows and right.num_rows:
-            qm, xm = matrix(left["_qv"]), matrix(right["_xv"])
-            top.offer(lambda part: squared_distances(qm[part], xm), len(xm), plain(right[item_id]))
-            ids = pa.array(top.ids, type=ids.type)
-        return pa.Table.from_arrays([q_ids.take(pa.array(top.rows)), ids, pa.array(top.costs)], names=schema.names)
+        ranks, ids = id_ranks(right[item_id].combine_chunks())
+        top = NearestVectors(matrix(left["_qv"]), k)
+        for low in range(0, right.num_rows, _CELL_ITEMS):
+            top.offer(matrix(right["_xv"].slice(low, _CELL_ITEMS)), ranks[low : low + _CELL_ITEMS])
+        rows, found, costs = top.best()
+        made = [left[query_id].combine_chunks().take(pa.array(rows)), ids.take(pa.array(found)), pa.array(costs)]
+        return pa.Table.from_arrays(made, names=schema.names)
 
     keys = ["cell", "_ip", "_qp"]
     return q.groupBy(*keys).cogroup(x.groupBy(*keys)).applyInArrow(best_of_block, schema)
