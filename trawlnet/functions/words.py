@@ -6,6 +6,8 @@ and one text crosses to Python instead of a list of its words.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -15,6 +17,20 @@ WORD_SEP = r"[^\p{L}\p{N}]+"
 TAG = r"(?s)<[^>]*>"
 
 
+# Text cut into words at once; the words of a batch of 10,000 rows take twenty times its size.
+SLICE_BYTES = 4 << 20
+
+
+def text_slices(texts: pa.Array, most: int | None = None) -> Iterator[slice]:
+    """Runs of rows with at most ``most`` bytes each, or a single row; they cover all rows in order."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    low, held = 0, 0
+    while low < len(ends):
+        high = max(low + 1, int(np.searchsorted(ends, held + (most or SLICE_BYTES), side="right")))
+        yield slice(low, high)
+        low, held = high, int(ends[high - 1])
+
+
 def drop_tags(html: pa.Array) -> pa.Array:
     return pc.replace_substring_regex(html, pattern=TAG, replacement=" ")
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
 from trawlnet.functions.text import TITLE, first_non_empty
-from trawlnet.functions.words import coded_words, drop_tags
+from trawlnet.functions.words import coded_words, drop_tags, text_slices
 from trawlnet.operators.retrieve import BROADCAST_BYTES, BROADCAST_ROWS, NO_RESULTS, rank_hits
 from trawlnet.operators.topk import DECIMALS, RunningTopK
 from trawlnet.session import cut_lineage
@@ -127,9 +127,16 @@ def index_pages(pages: DataFrame, *, page_id: str = "page_id", html: str = "html
     return PageIndex(postings, words, pages.count(), page_id)
 
 
+def _text_batches(batches):
+    """The same rows in batches of a few MB of text, as the words of a batch take many times its size."""
+    for batch in batches:
+        for some in text_slices(batch.column("_html")):
+            yield batch.slice(some.start, some.stop - some.start)
+
+
 def _post(page_id: str):
     def run(batches):
-        for batch in batches:
+        for batch in _text_batches(batches):
             row, code, words = coded_words(drop_tags(batch.column("_html")))
             pairs, tf = np.unique(row * max(1, len(words)) + code, return_counts=True)
             row, code = np.divmod(pairs, max(1, len(words)))
@@ -250,7 +257,7 @@ def _count_words(pages: DataFrame, vocabulary: list[str], page_id: str) -> DataF
     def count(batches):
         lookup = pd.Index(shared.value, dtype=object)
         width = max(1, len(lookup))
-        for batch in batches:
+        for batch in _text_batches(batches):
             row, code, words = coded_words(drop_tags(batch.column("_html")))
             if not len(row):
                 continue
@@ -271,7 +278,7 @@ def _count_words(pages: DataFrame, vocabulary: list[str], page_id: str) -> DataF
     return pages.mapInArrow(count, schema)
 
 
-_SLICE_CELLS = 4_000_000
+_SLICE_CELLS = 1_000_000
 
 
 def _page_costs(word_lists: pa.ListArray, tf_lists: pa.ListArray, idf, starts, postings, n_queries: int):
