@@ -64,3 +64,23 @@ def test_words():
 
 def test_first_non_empty(spark):
     assert evaluate(spark, ["x", "", None], lambda c: T.first_non_empty(c, "other")) == ["x", "other", "other"]
+
+
+def test_batches_are_cut_into_words_a_few_bytes_at_a_time(monkeypatch):
+    from trawlnet.functions import words as W
+    from trawlnet.operators import embed as E
+    from trawlnet.operators import search as S
+
+    texts = pa.array(["one two", None, "", "three " * 50, "four", "five six", None])
+    assert [(s.start, s.stop) for s in W.text_slices(texts, 10)] == [(0, 3), (3, 4), (4, 5), (5, 7)]
+    assert list(W.text_slices(texts[:0])) == []
+    whole = E.hash_vectors(texts, 8)
+    seen = []
+    monkeypatch.setattr(W, "SLICE_BYTES", 10)
+    for module in (E, S):
+        monkeypatch.setattr(module, "coded_words", lambda t: seen.append(len(t)) or coded_words(t))
+    assert (E.hash_vectors(texts, 8) == whole).all() and E.hash_vectors(texts[:0], 8).shape == (0, 8)
+    assert seen == [3, 1, 1, 2]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), texts], names=["page_id", "_html"])
+    posted = [r for b in S._post("page_id")([batch]) for r in zip(*[c.to_pylist() for c in b.columns])]
+    assert seen[4:] == [3, 1, 1, 2] and ("three", 3, 50) in posted and len(posted) == 6

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
-from trawlnet.functions.words import coded_words
+from trawlnet.functions.words import coded_words, text_slices
 
 VECTOR = ArrayType(FloatType())
 HASH_DIM = 64
@@ -66,14 +67,23 @@ def function_embedder(name: str, dim: int, fn: Callable[[list[str]], dict | Sequ
     return Embedder(name, dim, call.asNondeterministic())
 
 
+@lru_cache(maxsize=100_000)
 def token_bucket(token: str, dim: int) -> int:
     return int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % dim
 
 
 def hash_vectors(texts: pa.Array, dim: int) -> np.ndarray:
-    """Count words per hash bucket and scale each row to unit length; a text without words stays zero."""
+    """Count words per hash bucket and scale each row to unit length; a text without words stays zero.
+
+    A batch is cut into words a few MB at a time, so memory does not follow the length of its texts.
+    """
+    made = [_hash_slice(texts[some], dim) for some in text_slices(texts)]
+    return np.concatenate(made) if made else np.zeros((0, dim))
+
+
+def _hash_slice(texts: pa.Array, dim: int) -> np.ndarray:
     rows, codes, words = coded_words(texts)
-    buckets = np.array([token_bucket(w, dim) for w in words], dtype=np.int64)  # each distinct word once per batch
+    buckets = np.array([token_bucket(w, dim) for w in words], dtype=np.int64)  # each distinct word once per slice
     counts = np.bincount(rows * dim + buckets[codes], minlength=len(texts) * dim).astype("float64")
     counts = counts.reshape(len(texts), dim)
     norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
