@@ -76,7 +76,8 @@ def test_batches_are_cut_into_words_a_few_bytes_at_a_time(monkeypatch):
     assert list(W.text_slices(texts[:0])) == []
     whole = E.hash_vectors(texts, 8)
     seen = []
-    monkeypatch.setattr(W, "SLICE_BYTES", 10)
+    for module in (W, E):
+        monkeypatch.setattr(module, "SLICE_BYTES", 10)
     for module in (E, S):
         monkeypatch.setattr(module, "coded_words", lambda t: seen.append(len(t)) or coded_words(t))
     assert (E.hash_vectors(texts, 8) == whole).all() and E.hash_vectors(texts[:0], 8).shape == (0, 8)

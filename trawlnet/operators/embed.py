@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -18,6 +17,8 @@ from trawlnet.functions.words import coded_words, text_slices
 
 VECTOR = ArrayType(FloatType())
 HASH_DIM = 64
+# Text hashed at once: smaller slices hash the same words more often.
+SLICE_BYTES = 12 << 20
 
 
 @dataclass(frozen=True)
@@ -67,7 +68,6 @@ def function_embedder(name: str, dim: int, fn: Callable[[list[str]], dict | Sequ
     return Embedder(name, dim, call.asNondeterministic())
 
 
-@lru_cache(maxsize=100_000)
 def token_bucket(token: str, dim: int) -> int:
     return int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % dim
 
@@ -77,7 +77,7 @@ def hash_vectors(texts: pa.Array, dim: int) -> np.ndarray:
 
     A batch is cut into words a few MB at a time, so memory does not follow the length of its texts.
     """
-    made = [_hash_slice(texts[some], dim) for some in text_slices(texts)]
+    made = [_hash_slice(texts[some], dim) for some in text_slices(texts, SLICE_BYTES)]
     return np.concatenate(made) if made else np.zeros((0, dim))
 
 
