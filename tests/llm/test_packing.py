@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -8,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer as Library
 
 from trawlnet.llm.packing import Packing, differencing, fill, pack
-from trawlnet.llm.segments import WordEnds
+from trawlnet.llm.segments import WordEnds, _ends_alone
 from trawlnet.llm.token_counts import Tokenizer
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -114,3 +115,36 @@ def test_little_padding_on_the_small_table(spark, tiny):
         sums[r["sequence_id"]] += r["length"]
     room = sum(n if n & (n - 1) == 0 else 2048 for n in sums.values())
     assert used / room > 0.985
+
+
+def test_plain_words_equal_the_library_and_need_no_memory():
+    # every entry of the vocabulary that is a word of its own, and words that it lacks, in any case and with any signs
+    rng = np.random.default_rng(5)
+    signs = [*"abcdefghijklmnopqrstuvwxyzABCXYZ0123456789'''.,!?&-_()[]{}#@~`^=+*/|:;\"%$\\>", *"éèñçêüäößíÉÈÑÇÄÖÜÓÊÍÀÞþÿøØ×÷µªº", "'s", "'ll", "'RE", "é"]
+    words = ["".join(rng.choice(signs, rng.integers(1, 14))) for _ in range(20_000)]
+    words += [w.decode() for w in (b"x" * 255, b"x" * 257, b"'", b"''s", b"'sxyz's", b"don't've'llx", b"'d'D", b"1'2'ts")]
+    vocabulary = Library.from_file(PATH)
+    words += [w for i in range(0, 49_000, 7) if (w := vocabulary.id_to_token(i).removesuffix("</w>")).isascii() and "<" not in w]
+    texts = [" ".join(words[i : i + 50]) for i in range(0, len(words), 50)]
+    encoder = WordEnds(Tokenizer(PATH).data)
+    ids, counts = encoder(pa.array(texts))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == ids_of(texts)
+    plain = WordEnds(Tokenizer(PATH).data)
+    plain(pa.array([" ".join(f"w{i}ord Émile'{i}" for i in range(2_000))]))
+    assert not plain.library.known
+
+
+def test_vocabularies_whose_joins_differ_by_merges_are_refused():
+    # "bc" joins before "ab", so only a listed pair ("ab", "c") would ever make "abc", and text alone cannot tell
+    assert _ends_alone({"b": 0, "bc": 1, "ab": 2, "abc": 3}, {"bc": ("b", "c"), "ab": ("a", "b"), "abc": ("a", "bc")})
+    assert not _ends_alone({"b": 0, "bc": 1, "ab": 2, "abc": 3}, {"bc": ("b", "c"), "ab": ("a", "b"), "abc": ("ab", "c")})
+
+
+def test_differencing_of_many_small_sizes_holds_little():
+    sizes = np.ones(6_000, np.int64)
+    tracemalloc.start()
+    window = differencing(sizes, 128)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1_000 * len(sizes)
+    assert np.ptp(np.bincount(window, minlength=128)) <= 1

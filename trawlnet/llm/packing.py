@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawlnet.llm.segments import WordEnds, by_bytes
+from trawlnet.llm.segments import by_bytes, word_ends
 from trawlnet.llm.shared import as_text, written
 from trawlnet.llm.token_counts import Tokenizer
 
@@ -40,34 +40,42 @@ def differencing(sizes: np.ndarray, windows: int) -> np.ndarray:
 
     Every size begins as a partial partition of its own. The two partitions with the largest imbalance are merged, the
     largest sum of one with the smallest of the other, until one is left. Sums are kept above the lowest one; the sets
-    are kept as a forest, whose nodes join what two partitions had in one window.
+    are kept as a forest, whose nodes join what two partitions had in one window. A partition is stored without the
+    windows that it leaves empty, which come first, so many small sizes take little memory.
     """
     if not len(sizes):
         return np.zeros(0, np.int64)
-    heap, parts = [], {}
-    for i, size in enumerate(sizes.tolist()):
-        sums, nodes = np.zeros(windows, np.int64), np.full(windows, -1, np.int64)
-        sums[-1], nodes[-1] = size, i
-        parts[i] = sums - sums[0], nodes
-        heap.append((-size if windows > 1 else 0, i))
+    heap = [(-size if windows > 1 else 0, i) for i, size in enumerate(sizes.tolist())]
     heapq.heapify(heap)
+    parts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def lowest() -> tuple[np.ndarray, np.ndarray]:
+        """The partition with the largest imbalance, which leaves the heap."""
+        imbalance, i = heapq.heappop(heap)
+        own_sums, own_nodes = parts.pop(i) if i in parts else ([-imbalance], [i])
+        sums, nodes = np.zeros(windows, np.int64), np.full(windows, -1, np.int64)
+        sums[windows - len(own_sums) :], nodes[windows - len(own_nodes) :] = own_sums, own_nodes
+        return sums, nodes
+
     n_nodes, joins = len(sizes), []
     name = len(sizes)
     while len(heap) > 1:
-        (a_sums, a_nodes), (b_sums, b_nodes) = (parts.pop(heapq.heappop(heap)[1]) for _ in range(2))
+        (a_sums, a_nodes), (b_sums, b_nodes) = lowest(), lowest()
         sums, b_nodes = a_sums + b_sums[::-1], b_nodes[::-1]
         both = (a_nodes >= 0) & (b_nodes >= 0)
         nodes = np.maximum(a_nodes, b_nodes)
-        made = np.arange(n_nodes, n_nodes + int(both.sum()))
-        joins.append((made, a_nodes[both], b_nodes[both]))
-        nodes[both] = made
-        n_nodes += len(made)
+        if both.any():
+            made = np.arange(n_nodes, n_nodes + int(both.sum()))
+            joins.append((made, a_nodes[both], b_nodes[both]))
+            nodes[both] = made
+            n_nodes += len(made)
         order = np.argsort(sums, kind="stable")
         sums, nodes = sums[order], nodes[order]
-        parts[name] = sums - sums[0], nodes
+        used = int(np.argmax(nodes >= 0))
+        parts[name] = (sums - sums[0])[used:].copy(), nodes[used:].copy()
         heapq.heappush(heap, (-int(sums[-1] - sums[0]), name))
         name += 1
-    ((_, nodes),) = parts.values()
+    _, nodes = lowest()
     window = np.full(n_nodes, -1, np.int64)
     used = nodes >= 0
     window[nodes[used]] = np.flatnonzero(used)
@@ -99,9 +107,8 @@ def _cut(tokenizer: Tokenizer, spec: Packing):
     """Arrow batches of ``doc_id, text`` to whole windows of a document, with their digest, and the ids of its rest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
+        encoder = word_ends(tokenizer.data)
         for batch in batches:
-            encoder = encoder or WordEnds(tokenizer.data)
             for part in by_bytes(batch, 1, SLICE_BYTES):
                 ids, counts = encoder(part.column(1))
                 ends = np.cumsum(counts)
@@ -182,7 +189,8 @@ def _pack(spec: Packing, names: list[str]):
         offset = offset - offset[first] if len(window) else offset
         crcs = [crc32_of(flat[a : a + n]) for a, n in zip(at.tolist(), length.tolist(), strict=True)]
         cell = int(table["cell"][0].as_py()) << 32
-        rest = rests.take(pa.array(owner))
+        # without the ids, which every piece of a rest would copy whole
+        rest = rests.drop_columns("ids").take(pa.array(owner))
         packed = [
             rest["doc_id"].combine_chunks(),
             pa.array(rest["start"].to_numpy() + start, pa.int64()),
