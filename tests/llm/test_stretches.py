@@ -1,8 +1,14 @@
 import re
 from collections import defaultdict
+from pathlib import Path
+from urllib.parse import urlparse
+
+import pyarrow as pa
 
 from tests.llm.conftest import prose
+from trawlnet.llm.paragraphs import _paragraphs, _sets
 from trawlnet.llm.stretches import WORDS, all_passages
+from trawlnet.llm.words import buffers, shingle_hashes
 
 
 def spans(text):
@@ -37,3 +43,23 @@ def test_every_repeated_stretch_has_rows_and_one_copy_survives_cutting(spark, od
 
 def test_empty_table(empty):
     assert all_passages(empty).count() == 0
+
+
+def test_spent_tables_go_and_settings_stay(spark, odd):
+    top = Path(urlparse(spark.conf.get("spark.checkpoint.dir")).path)
+    before, setting = set(top.glob("*/*")), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(setting)
+    got = all_passages(odd)
+    left = {p.name.rsplit("-", 1)[0] for p in set(top.glob("*/*")) - before}
+    assert left == {"passages", "stretch-pieces"}
+    assert spark.conf.get(setting) == was
+    assert got.count() == got.count() > 0
+
+
+def test_sets_hold_each_shingle_once():
+    texts = ["a b c d e f g a b c d e f g. a b c d e.", " ".join(["x"] * 40), prose(1, 90), "one two", "a b c d e f g"]
+    words, _, _, _, first, to = _paragraphs(*buffers(pa.array(texts)))
+    long, values, bounds = _sets(words, first, to, 5)
+    every = shingle_hashes(words, 5)
+    want = [set(every[a : b - 4].tolist()) for a, b in zip(first[long], to[long], strict=True)]
+    assert [sorted(values[a:b].tolist()) for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [sorted(w) for w in want]

@@ -47,29 +47,34 @@ def _paragraphs(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     if not len(words):
         none = np.zeros(0, np.int64)
         return words, begins, ends, none, none, none
-    texts = np.searchsorted(offsets, begins, side="right") - 1
+    heads = np.searchsorted(begins, offsets)
+    texts = np.repeat(np.arange(len(offsets) - 1), np.diff(heads))
     last = raw[ends - 1]
     before = raw[np.maximum(ends - 2, begins)]
     stop = _END[last] | (_CLOSE[last] & _END[before])
-    lines = np.concatenate([[0], np.cumsum(raw == 10)])
-    stop[:-1] |= (lines[begins[1:]] > lines[ends[:-1]]) | (texts[1:] != texts[:-1])
-    stop[-1] = True
+    # the word before each line end and before the end of each text; before the first word there is none, and -1 is a stop
+    stop[np.searchsorted(begins, np.flatnonzero(raw == 10)) - 1] = True
+    stop[heads[1:] - 1] = True
     to = np.flatnonzero(stop) + 1
     first = np.concatenate([[0], to[:-1]])
     return words, begins, ends, texts[first], first, to
 
 
 def _sets(words: np.ndarray, first: np.ndarray, to: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The paragraphs of ``k`` words or more, and the sorted distinct shingles of all of them with n + 1 places."""
+    """The paragraphs of ``k`` words or more, and the distinct shingles of all of them, in any order, with n + 1 places."""
     long = np.flatnonzero(to - first >= k)
     counts = to[long] - first[long] - k + 1
     owner = np.repeat(np.arange(len(long)), counts)
     at = np.repeat(first[long], counts) + np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
     values = shingle_hashes(words, k)[at]
-    order = np.lexsort((values, owner))
-    values = values[order]
+    # few paragraphs repeat a shingle: only what one sort of both together leaves in doubt is looked at
+    both = values + owner.astype(np.uint64) * _PLUS
+    ranked = np.sort(both)
+    doubt = np.flatnonzero(np.isin(both, ranked[1:][ranked[1:] == ranked[:-1]]))
+    doubt = doubt[np.lexsort((values[doubt], owner[doubt]))]
+    equal = (values[doubt[1:]] == values[doubt[:-1]]) & (owner[doubt[1:]] == owner[doubt[:-1]])
     new = np.ones(len(values), dtype=bool)
-    new[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
+    new[doubt[1:][equal]] = False
     return long, values[new], np.concatenate([[0], np.cumsum(np.bincount(owner[new], minlength=len(long)))])
 
 

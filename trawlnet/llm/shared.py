@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,9 +22,42 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared checkpoint folder: computed once, safe from lost executors."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    if (made := _MADE.get()) is not None:
+        made.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[list[str]]:
+    """Inside, the paths that ``written`` makes are listed, and shuffle files go as soon as the job that made them is done.
+
+    For operators of many steps, which write every step: what the driver has not collected yet would add up on disk.
+    """
+    before, made = spark.conf.get(_CLEANUP, None), []
+    token = _MADE.set(made)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield made
+    finally:
+        _MADE.reset(token)
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
+def spent(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes tables of ``written`` that nothing reads any more, and takes them off the list."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    paths.clear()
+
+
 def as_text(column: Column) -> Column:
     """The text of a column, a null being an empty text."""
     return F.coalesce(column.cast("string"), F.lit(""))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from trawlnet.llm.near_dup import text_parts
 from trawlnet.llm.paragraphs import Repeats, repeated_passages
-from trawlnet.llm.shared import as_text, written
+from trawlnet.llm.shared import as_text, passing_tables, spent, written
 from trawlnet.llm.words import buffers, shingle_hashes, word_hashes, word_spans
 
 #: Words of a stretch; candidates share the lowest hash among its runs of ``GRAM`` words.
@@ -51,71 +51,93 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pad = np.zeros(WORDS - GRAM, np.uint64)
             best = _sliding(np.concatenate([pad, np.where(inside, lows, _ZERO), pad]), WORDS - GRAM + 1, np.maximum) if len(lows) else grams
             at = np.flatnonzero((grams == best) & (best > _ZERO))
-            pairs = np.stack([np.searchsorted(bounds, at, side="right") - 1, grams[at].view(np.int64)], axis=1)
-            pairs, found = np.unique(pairs, axis=0, return_counts=True)
-            own = pa.array(pairs[:, 0], pa.int64())
-            made = [part.column(0).take(own), part.column(1).take(own), pa.array(pairs[:, 1], pa.int64()), pa.array(found, pa.int64())]
+            texts, prints = np.searchsorted(bounds, at, side="right") - 1, grams[at].view(np.int64)
+            order = np.lexsort((prints, texts))
+            texts, prints = texts[order], prints[order]
+            new = np.ones(len(at), dtype=bool)
+            new[1:] = (texts[1:] != texts[:-1]) | (prints[1:] != prints[:-1])
+            first = np.flatnonzero(new)
+            own = pa.array(texts[first], pa.int64())
+            found = np.diff(first, append=len(at))
+            made = [part.column(0).take(own), part.column(1).take(own), pa.array(prints[first], pa.int64()), pa.array(found, pa.int64())]
             yield pa.record_batch(made, names=["doc_id", "text_hash", "low", "found"])
 
 
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Arrow batches of ``doc_id, text_hash, text, lows`` to every stretch with a fingerprint among ``lows``, by its first word."""
+    """Arrow batches of ``row, text, lows`` to every stretch with a fingerprint among ``lows``. ``spot`` is twice the place
+    of its first word, and one more where the text had the stretch before."""
     for batch in batches:
-        for part in text_parts(batch, 2):
-            words, bounds, _, lows, inside = _windows(part.column(2))
-            rows, places, hashes = [], [], []
+        for part in text_parts(batch, 1):
+            words, bounds, _, lows, inside = _windows(part.column(1))
+            rows, spots, hashes = [], [], []
             full = shingle_hashes(words, WORDS)
-            for i, wanted in enumerate(part.column(3)):
+            for i, wanted in enumerate(part.column(2)):
                 a, b = int(bounds[i]), int(bounds[i + 1])
                 wanted = np.asarray(wanted.values.to_numpy(zero_copy_only=False), dtype=np.int64).view(np.uint64)
                 at = a + np.flatnonzero(inside[a:b] & np.isin(lows[a:b], wanted))
+                again = np.ones(len(at), np.int64)
+                again[np.unique(full[at], return_index=True)[1]] = 0
                 rows.append(np.full(len(at), i))
-                places.append(at - a)
+                spots.append(2 * (at - a) + again)
                 hashes.append(full[at].view(np.int64))
             own = pa.array(np.concatenate(rows) if rows else [], pa.int64())
-            made = [part.column(0).take(own), part.column(1).take(own)]
-            made += [pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (places, hashes)]
-            yield pa.record_batch(made, names=["doc_id", "text_hash", "place", "gram"])
+            made = [part.column(0).take(own)]
+            made += [pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (spots, hashes)]
+            yield pa.record_batch(made, names=["row", "spot", "gram"])
 
 
-def _cover(starts: np.ndarray, n: int) -> np.ndarray:
-    """The words that stretches from ``starts`` cover, of ``n``."""
-    steps = np.zeros(n + 1, np.int64)
-    np.add.at(steps, starts, 1)
-    np.add.at(steps, starts + WORDS, -1)
+def _cover(begins: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
+    """Which of ``n`` words lie between any ``begins`` and its ``ends``."""
+    steps = np.bincount(begins, minlength=n + 1) - np.bincount(ends, minlength=n + 1)
     return np.cumsum(steps[:n]) > 0
 
 
+def _lists(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Owner of each value of a list column, a null being empty, and the values."""
+    return column.value_parent_indices().to_numpy(), column.flatten()
+
+
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Arrow batches of ``doc_id, text, hits, taken`` to the parts of repeated stretches outside of the taken pieces."""
+    """Arrow batches of ``doc_id, text, hits, taken`` to the parts of repeated stretches outside of the taken pieces. A hit
+    is twice the place of a repeated stretch, and one more where it is the first of its kind."""
     names = ["doc_id", "start", "end", "n_words", "component", "removed"]
     for batch in batches:
-        rows, out = [], []
-        for i in range(len(batch)):
-            raw, offsets = buffers(batch.column(1).slice(i, 1))
+        for part in text_parts(batch, 1):
+            raw, offsets = buffers(part.column(1))
             begins, ends = word_spans(raw, offsets)
             chars = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
-            starts, stops, n = chars[begins], chars[ends], len(begins)
-            hits = batch.column(2)[i].as_py()
-            places, grams = (np.array([h[k] for h in hits], np.int64) for k in ("place", "gram"))
-            stay = _cover(places[np.array([h["first"] for h in hits], bool)], n)
-            every = _cover(places, n)
-            free = every.copy()
-            for piece in batch.column(3)[i].as_py() or ():
-                free[np.searchsorted(starts, piece["start"]) : np.searchsorted(starts, piece["end"])] = False
+            starts, stops, base, bounds = chars[begins], chars[ends], chars[offsets], np.searchsorted(begins, offsets)
+            n = len(begins)
+            text, hits = _lists(part.column(2))
+            hits = hits.to_numpy(zero_copy_only=False)
+            at, first = bounds[text] + (hits >> 1), (hits & 1) == 1
+            stay = _cover(at[first], at[first] + WORDS, n)
+            every = _cover(at, at + WORDS, n)
+            text, taken = _lists(part.column(3))
+            low, high = (np.searchsorted(starts, taken.field(k).to_numpy(zero_copy_only=False) + base[text]) for k in (0, 1))
+            free = every & ~_cover(low, high, n)
             state = np.where(free, np.where(stay, 1, 2), 0)
             # a stretch is named by its lowest run, as its copies are
-            whole = np.cumsum(np.concatenate([[every[0]], every[1:] & ~every[:-1]]))
+            heads = np.zeros(n + 1, dtype=bool)
+            heads[bounds] = True
+            whole = np.cumsum(every & (heads[:n] | ~np.concatenate([[False], every[:-1]])))
             name = np.full(int(whole[-1]) + 1, np.iinfo(np.int64).max)
-            np.minimum.at(name, whole[places], grams)
-            cuts = np.flatnonzero((np.diff(state) != 0) | (np.diff(whole) != 0)) + 1
-            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), n], strict=True):
-                if state[a]:
-                    rows.append(i)
-                    out.append((int(starts[a]), int(stops[b - 1]), b - a, f"{int(name[whole[a]]) & (1 << 64) - 1:016X}", bool(state[a] == 2)))
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_())
-        made = [batch.column(0).take(pa.array(rows, pa.int64()))] + [pa.array([o[k] for o in out], kind) for k, kind in enumerate(kinds)]
-        yield pa.record_batch(made, names=names)
+            np.minimum.at(name, whole[at], shingle_hashes(word_hashes(raw, begins, ends), WORDS)[at].view(np.int64))
+            heads[1:n] |= (np.diff(state) != 0) | (np.diff(whole) != 0)
+            heads[0] = True
+            a = np.flatnonzero(heads[:n])
+            b = np.append(a[1:], n)
+            a, b = a[state[a] > 0], b[state[a] > 0]
+            own = np.searchsorted(bounds, a, side="right") - 1
+            made = [
+                part.column(0).take(pa.array(own, pa.int64())),
+                pa.array(starts[a] - base[own], pa.int64()),
+                pa.array(stops[b - 1] - base[own], pa.int64()),
+                pa.array(b - a, pa.int64()),
+                pa.array([f"{x:016X}" for x in name[whole[a]].view(np.uint64).tolist()], pa.string()),
+                pa.array(state[a] == 2),
+            ]
+            yield pa.record_batch(made, names=names)
 
 
 def _of_doc(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
@@ -132,22 +154,33 @@ def all_passages(docs: DataFrame, spec: Repeats = Repeats(), id_col: str = "doc_
     of ``WORDS`` words the first occurrence, by id and place, stays; words of a later one go unless they are also in a
     first one or in a passage that stays. ``component`` of such a row is the lowest hash of its stretch.
     """
+    with passing_tables(docs.sparkSession) as tables:
+        passages = written(repeated_passages(docs, spec, id_col, text_col, with_hash=True), "passages")
+        spent(docs.sparkSession, tables[:-1])
+        del tables[:]
+        more = written(_stretches(docs, passages, id_col, text_col), "stretch-pieces")
+        spent(docs.sparkSession, tables[:-1])
+    return passages.drop("text_hash").unionByName(more)
+
+
+def _stretches(docs: DataFrame, passages: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``all_passages`` that are not in ``passages``."""
     named = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(as_text(F.col(text_col))).alias("text_hash"), as_text(F.col(text_col)).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    key = f"doc_id {kind}, text_hash long"
-    passages = written(repeated_passages(docs, spec, id_col, text_col, with_hash=True), "passages")
-
-    prints = written(named.mapInArrow(_prints, f"{key}, low long, found long"), "prints")
+    prints = written(named.mapInArrow(_prints, f"doc_id {kind}, text_hash long, low long, found long"), "prints")
     shared = prints.groupBy("low").agg(F.sum("found").alias("n")).where("n > 1").select("low")
     needed = prints.join(shared, "low").groupBy("doc_id", "text_hash").agg(F.collect_set("low").alias("lows"))
-    texts = written(_of_doc(named, needed, "inner").select("doc_id", "text_hash", "text", "lows"), "stretch-texts")
-    grams = written(texts.mapInArrow(_grams, f"{key}, place long, gram long"), "stretches")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "place")
-    firsts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("low")).where("n > 1").drop("n")
-    hits = grams.join(firsts, "gram").withColumn("first", F.col("low") == order)
-    hits = hits.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("place", "gram", "first")).alias("hits"))
+    # rows ascend as texts do, by id and text, so the lowest row of a stretch has it first
+    needed = needed.orderBy(F.col("doc_id").isNull(), "doc_id", "text_hash").withColumn("row", F.monotonically_increasing_id())
+    needed = written(needed, "needed-texts")
+    texts = written(_of_doc(named, needed, "inner").select("row", "doc_id", "text_hash", "text", "lows"), "stretch-texts")
+    grams = written(texts.select("row", "text", "lows").mapInArrow(_grams, "row long, spot long, gram long"), "stretches")
+    firsts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("low")).where("n > 1").select("gram", "low")
+    firsts = written(firsts, "first-stretches")
+    first = (F.col("row") == F.col("low")) & (F.col("spot") % 2 == 0)
+    hits = grams.join(firsts, "gram").select("row", (F.col("spot") - F.col("spot") % 2 + first.cast("long")).cast("int").alias("hit"))
+    hits = written(hits.groupBy("row").agg(F.collect_list("hit").alias("hits")), "stretch-hits")
     taken = passages.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "end")).alias("taken"))
-    single = texts.dropDuplicates(["doc_id", "text_hash"]).drop("lows")
-    joined = _of_doc(_of_doc(single, hits, "inner"), taken, "left").select("doc_id", "text", "hits", "taken")
-    more = joined.mapInArrow(_pieces, f"doc_id {kind}, start long, end long, n_words long, component string, removed boolean")
-    return passages.drop("text_hash").unionByName(more)
+    single = texts.dropDuplicates(["row"]).drop("lows")
+    joined = _of_doc(single.join(hits, "row"), taken, "left").select("doc_id", "text", "hits", "taken")
+    return joined.mapInArrow(_pieces, f"doc_id {kind}, start long, end long, n_words long, component string, removed boolean")
