@@ -83,3 +83,28 @@ def test_no_labels_and_empty_table(spark, empty, odd):
     none = spark.createDataFrame([], "doc_id long, quality int")
     params = learn(odd, none, how=SMALL)
     assert score(empty, params).count() == 0 and score(odd, params).first()["score"] == pytest.approx(0.5, abs=0.5)
+
+
+def test_training_memory_does_not_follow_the_length_of_a_text():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    texts = [bytes(rng.integers(97, 123, n).astype(np.uint8)) for n in (600_000, 50, 0, 900)]
+    tracemalloc.start()
+    train(texts, np.array([1, 0, 1, 0], np.float32), how=Training(epochs=1))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # codes, means and units of 9,400 chunks and one group's windows; all windows at once are 230 MB
+    assert peak < 40e6
+
+
+def test_learned_from_whole_texts_of_any_characters(spark):
+    rows = [(i, t) for i, t in enumerate(["é" * 90, "\U0001f30a wave " * 30, "plain text " * 40, "", None, "ß\n" * 70] * 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    fold = dict(docs.select("doc_id", remainder(docs["doc_id"])).collect())
+    order = docs.selectExpr("doc_id", "xxhash64(5, doc_id) as at").orderBy("at").collect()
+    own = [r["doc_id"] for r in order if fold[r["doc_id"]]]
+    want = train([(rows[i][1] or "").encode() for i in own], np.array([i % 2 for i in own], np.float32), how=SMALL)
+    got = learn(docs, labels, how=SMALL)
+    assert all((got[k] == want[k]).all() for k in want)

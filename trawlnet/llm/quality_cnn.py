@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,6 +16,9 @@ from trawlnet.llm.words import buffers
 
 #: Texts are scored in groups of about so many windows, which bounds memory whatever the length of a text.
 GROUP_WINDOWS = 1 << 13
+#: A training batch of up to so many chunks is multiplied at once, some 150 MB; batches are a fraction of that where texts
+#: have a few thousand bytes.
+WHOLE_CHUNKS = 1 << 13
 
 
 @dataclass(frozen=True)
@@ -93,7 +97,9 @@ def _windows(codes: np.ndarray, p: Params, shape: Shape) -> np.ndarray:
 
 def _chunk_units(codes: np.ndarray, p: Params, shape: Shape) -> tuple:
     windows = _windows(codes, p, shape)
-    active = np.maximum(windows @ p["conv"] + p["conv_bias"], 0)
+    active = windows @ p["conv"]
+    active += p["conv_bias"]
+    np.maximum(active, 0, out=active)
     mean = active.reshape(len(codes), shape.chunk, shape.filters).mean(axis=1)
     return windows, active, mean, np.maximum(mean @ p["dense"] + p["dense_bias"], 0)
 
@@ -138,11 +144,20 @@ def probabilities(raw: np.ndarray, offsets: np.ndarray, p: Params, shape: Shape)
 
 
 def _gradients(texts: list[np.ndarray], labels: np.ndarray, p: Params, shape: Shape) -> Params:
-    """Gradients of the mean log loss over some texts, each given as chunk codes."""
+    """Gradients of the mean log loss over some texts, each given as chunk codes.
+
+    Windows and activations take some 20 KB a chunk. Of more than ``WHOLE_CHUNKS`` chunks they are there for one group at
+    a time, and again for those that have a gradient: ``hidden`` of each text at most, however long it is.
+    """
     sizes = np.array([len(t) for t in texts])
     bounds = np.concatenate([[0], np.cumsum(sizes)])
     codes = np.concatenate(texts)
-    windows, active, mean, units = _chunk_units(codes, p, shape)
+    whole, most = len(codes) <= WHOLE_CHUNKS, max(1, GROUP_WINDOWS // shape.chunk)
+    if whole:
+        seen, active, mean, units = _chunk_units(codes, p, shape)
+    else:
+        mean = np.concatenate([_chunk_units(codes[at : at + most], p, shape)[2] for at in range(0, len(codes), most)])
+        units = np.maximum(mean @ p["dense"] + p["dense_bias"], 0)
     n, h = len(texts), shape.hidden
     best = np.empty((n, h), dtype=np.int64)
     for i in range(n):
@@ -157,11 +172,17 @@ def _gradients(texts: list[np.ndarray], labels: np.ndarray, p: Params, shape: Sh
     g["dense"], g["dense_bias"] = mean.T @ back, back.sum(axis=0)
     # chunks that are no unit's largest have no gradient
     used = np.flatnonzero(np.abs(back).sum(axis=1) > 0)
+    if whole:
+        # one after the other, as both are large
+        seen = seen.reshape(len(codes), shape.chunk, -1)[used].reshape(-1, seen.shape[1])
+        active = active.reshape(len(codes), shape.chunk, -1)[used].reshape(-1, shape.filters)
+    else:
+        seen, active = _chunk_units(codes[used], p, shape)[:2]
     into = np.repeat((back[used] @ p["dense"].T) / shape.chunk, shape.chunk, axis=0).reshape(len(used), shape.chunk, -1)
-    into *= active.reshape(len(codes), shape.chunk, -1)[used] > 0
     into = into.reshape(-1, shape.filters)
-    seen = windows.reshape(len(codes), shape.chunk, -1)[used].reshape(-1, windows.shape[1])
+    into *= active > 0
     g["conv"], g["conv_bias"] = seen.T @ into, into.sum(axis=0)
+    del seen, active
     down = (into @ p["conv"].T).reshape(len(used), shape.chunk, shape.width, shape.embed)
     g["embed"] = np.zeros_like(p["embed"])
     for w in range(shape.width):
@@ -171,7 +192,7 @@ def _gradients(texts: list[np.ndarray], labels: np.ndarray, p: Params, shape: Sh
     return g
 
 
-def train(texts: list[bytes], labels: np.ndarray, shape: Shape = Shape(), how: Training = Training()) -> Params:
+def train(texts: Sequence[bytes | np.ndarray], labels: np.ndarray, shape: Shape = Shape(), how: Training = Training()) -> Params:
     """Parameters learned with Adam from whole texts and labels 0 or 1; the same input gives the same result.
 
     Texts of one label only, or no text, still give a network; it then knows no more than the share of label 1.
@@ -179,15 +200,16 @@ def train(texts: list[bytes], labels: np.ndarray, shape: Shape = Shape(), how: T
     p = start(shape, how.seed)
     share = (float(np.sum(labels)) + 1) / (len(labels) + 2)
     p["out_bias"][:] = np.log(share / (1 - share))
-    chunks = [chunk_codes(np.frombuffer(t, np.uint8), shape) for t in texts]
+    raw = [np.frombuffer(t, np.uint8) for t in texts]
     rng = np.random.default_rng(how.seed)
     first, second, step = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}, 0
     for epoch in range(how.epochs):
-        order, rate = rng.permutation(len(chunks)), how.rate * 0.5 * (1 + np.cos(np.pi * epoch / how.epochs))
+        order, rate = rng.permutation(len(raw)), how.rate * 0.5 * (1 + np.cos(np.pi * epoch / how.epochs))
         for at in range(0, len(order), how.batch):
             own = order[at : at + how.batch]
             step += 1
-            for k, g in _gradients([chunks[i] for i in own], labels[own], p, shape).items():
+            # codes are four times a text: they are made for one batch
+            for k, g in _gradients([chunk_codes(raw[i], shape) for i in own], labels[own], p, shape).items():
                 g = g + how.decay * p[k]
                 first[k] += 0.1 * (g - first[k])
                 second[k] += 0.01 * (g * g - second[k])
@@ -195,6 +217,13 @@ def train(texts: list[bytes], labels: np.ndarray, shape: Shape = Shape(), how: T
     return p
 
 
+def give_back() -> None:
+    """Returns freed memory to the system where the C library can: what training has freed would stay with the driver."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def remainder(id_column: Column, folds: int = 5) -> Column:
     """crc32 of the id as text, modulo the number of folds; a null id is in no fold."""
     return F.crc32(id_column.cast("string").cast("binary")) % folds
@@ -222,8 +251,15 @@ def learn(docs: DataFrame, labels: DataFrame, shape: Shape = Shape(), how: Train
             fits.append(r["doc_id"])
     fits_table = docs.sparkSession.createDataFrame([(i,) for i in fits], docs.select("doc_id").schema)
     rows = rows.join(F.broadcast(fits_table), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
-    found = rows.orderBy(F.xxhash64(F.lit(how.seed), "doc_id"), "doc_id").collect()
-    return train([r["text"].encode() for r in found], np.array([r["quality"] for r in found], np.float32), shape, how)
+    # texts stay in the buffers in which they come, most_bytes at most
+    found = rows.orderBy(F.xxhash64(F.lit(how.seed), "doc_id"), "doc_id").select("text", "quality").toArrow()
+    texts = []
+    for batch in found.to_batches():
+        raw, places = buffers(batch.column(0))
+        texts += [raw[a:b] for a, b in zip(places[:-1], places[1:], strict=True)]
+    params = train(texts, found.column(1).to_numpy().astype(np.float32), shape, how)
+    give_back()
+    return params
 
 
 def score(docs: DataFrame, params: Params, shape: Shape = Shape(), text_col: str = "text", out_col: str = "score") -> DataFrame:
