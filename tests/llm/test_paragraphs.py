@@ -1,6 +1,8 @@
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+
 from tests.llm.conftest import prose
 from trawlnet.llm.paragraphs import Repeats, repeated_passages
 
@@ -133,3 +135,24 @@ def test_bands_miss_few_pairs_at_the_threshold():
 
 def test_empty_table(empty):
     assert repeated_passages(empty).count() == 0
+
+
+def test_classes_are_numbers_that_need_no_sort(spark, plan):
+    from trawlnet.llm.paragraphs import _classes, _ids, _paragraphs, _sets
+    from trawlnet.llm.words import MinHash
+
+    texts = [passage(1), passage(1) + " " + passage(2), sentence(5, 8) + " " + sentence(5, 8), "short one.", "", None]
+    spec = Repeats(bands=5)
+    df = _classes(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3), spec)
+    assert "SortAggregate" not in plan(df) and "Sort [" not in plan(df)
+    want = {}
+    for t in texts:
+        raw = np.frombuffer((t or "").encode(), np.uint8)
+        words, _, _, _, first, to = _paragraphs(raw, np.array([0, len(raw)]))
+        _, values, bounds = _sets(words, first, to, spec.shingle)
+        minima = MinHash(spec.bands, spec.seed)(values, bounds).tolist() if len(bounds) > 1 else []
+        for own, n, keys in zip(_ids(values, bounds), np.diff(bounds).tolist(), minima, strict=True):
+            found = want.get(own.tobytes(), (0,))[0]
+            want[own.tobytes()] = (found + 1, n, [k | i << 32 for i, k in enumerate(keys)])
+    rows = df.collect()
+    assert len(rows) == len(want) and {bytes(r["set_id"]): (r["found"], r["n"], r["bands"]) for r in rows} == want

@@ -63,3 +63,23 @@ def test_sets_hold_each_shingle_once():
     every = shingle_hashes(words, 5)
     want = [set(every[a : b - 4].tolist()) for a, b in zip(first[long], to[long], strict=True)]
     assert [sorted(values[a:b].tolist()) for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [sorted(w) for w in want]
+
+
+def test_stretches_of_a_batch_are_those_of_each_text():
+    from trawlnet.llm.stretches import _grams, _windows
+
+    whole = prose(1, 90)
+    texts = [whole + " " + whole, "", prose(2, 70) + " " + whole, prose(3, 30), whole, None, prose(4, 200)]
+    lows = [set(_windows(pa.array([t]))[3][_windows(pa.array([t]))[4]].view("int64").tolist()) for t in texts]
+    lists = [sorted(x for x in own if sum(x in other for other in lows) > 1) for own in lows]
+    batch = pa.record_batch([pa.array(range(10, 17)), pa.array(texts), pa.array(lists, pa.list_(pa.int64()))], names=["row", "text", "lows"])
+    want = []
+    for i, text in enumerate(texts):
+        words, _, _, low, inside = _windows(pa.array([text]))
+        full, seen = shingle_hashes(words, 50).view("int64").tolist(), set()
+        for at in range(len(low)):
+            if inside[at] and int(low.view("int64")[at]) in lists[i]:
+                want.append((10 + i, 2 * at + (full[at] in seen), full[at]))
+                seen.add(full[at])
+    got = [tuple(r.values()) for b in _grams(iter([batch])) for r in b.to_pylist()]
+    assert want and any(spot % 2 for _, spot, _ in want) and sorted(got) == sorted(want)

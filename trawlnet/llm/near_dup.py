@@ -172,11 +172,22 @@ def _alike(percent: int) -> str:
     return f"100 * least(n, other_n) >= {percent} * greatest(n, other_n)"
 
 
-def linked_classes(members: DataFrame, sets: DataFrame, percent: int, likely: str = "true", sketch: tuple[str, ...] = ()) -> DataFrame:
+def _first_shared(bands: int | None) -> str:
+    """Two classes meet in each band that they share: true in the first one. ``bands``: places to look at one by one, which
+    costs less than lists where they are few."""
+    if bands is None:
+        return "not arrays_overlap(slice(bands, 1, band), slice(other_bands, 1, band))"
+    return " and ".join(["true", *(f"(band <= {i} or bands[{i}] <> other_bands[{i}])" for i in range(bands - 1))])
+
+
+def linked_classes(
+    members: DataFrame, sets: DataFrame, percent: int, likely: str = "true", sketch: tuple[str, ...] = (), bands: int | None = None
+) -> DataFrame:
     """``node, component`` of the classes with a link; every link between classes that share a band counts.
 
     ``members`` come from ``shared_bands``, ``sets`` has their ``set_id, shingles``; ``likely`` is a condition on the
-    columns ``sketch`` and ``other_<sketch>`` that rules pairs out before their sets are compared.
+    columns ``sketch`` and ``other_<sketch>`` that rules pairs out before their sets are compared; ``bands`` is their
+    number, where each holds keys of its own.
 
     A bucket of n classes would have n * (n - 1) / 2 pairs. Instead each class meets the hub of its bucket first. With
     those links known, pairs inside one component need no comparison. In the second round the classes outside a
@@ -194,9 +205,8 @@ def linked_classes(members: DataFrame, sets: DataFrame, percent: int, likely: st
     rest = split.select("key", F.col("set_id").alias("other"), *theirs)
     # minority rows of a bucket meet all its rows, two minority rows once, and a pair in the first band that it shares
     once = "component <> other_component and (other_component = main or set_id < other)"
-    first = "not arrays_overlap(slice(bands, 1, band), slice(other_bands, 1, band))"
     alike = f"{100 + percent} * size(array_intersect(shingles, other_shingles)) >= {percent} * (n + other_n)"
-    met = split.where("component <> main").join(rest, "key").where(" and ".join([once, _alike(percent), first, likely, alike]))
+    met = split.where("component <> main").join(rest, "key").where(" and ".join([once, _alike(percent), _first_shared(bands), likely, alike]))
     more = written(met.select(F.col("set_id").alias("a"), F.col("other").alias("b")), "links")
     return named if more.isEmpty() else written(components(links.union(more)), "components")
 

@@ -70,7 +70,10 @@ def _sets(words: np.ndarray, first: np.ndarray, to: np.ndarray, k: int) -> tuple
     # few paragraphs repeat a shingle: only what one sort of both together leaves in doubt is looked at
     both = values + owner.astype(np.uint64) * _PLUS
     ranked = np.sort(both)
-    doubt = np.flatnonzero(np.isin(both, ranked[1:][ranked[1:] == ranked[:-1]]))
+    # by their upper bits, which find a few more and cost no second sort
+    twice = np.zeros(1 << 20, dtype=bool)
+    twice[ranked[1:][ranked[1:] == ranked[:-1]] >> np.uint64(44)] = True
+    doubt = np.flatnonzero(twice[both >> np.uint64(44)])
     doubt = doubt[np.lexsort((values[doubt], owner[doubt]))]
     equal = (values[doubt[1:]] == values[doubt[:-1]]) & (owner[doubt[1:]] == owner[doubt[:-1]])
     new = np.ones(len(values), dtype=bool)
@@ -95,36 +98,54 @@ def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
 
 
 def _once(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first row of each digest, and how often each is found."""
-    _, first, counts = np.unique(ids.view([("a", np.uint64), ("b", np.uint64)]).ravel(), return_index=True, return_counts=True)
-    return first, counts
+    """A row of each digest, and how often it is found; should first halves be equal by chance, a digest may come twice."""
+    order = np.argsort(ids[:, 0])
+    new = np.ones(len(ids), dtype=bool)
+    new[1:] = (ids[order[1:]] != ids[order[:-1]]).any(axis=1)
+    at = np.flatnonzero(new)
+    return order[at], np.diff(at, append=len(ids))
+
+
+def _packed(keys: int) -> list[str]:
+    """Columns with two band keys of 32 bits each."""
+    return [f"keys_{i}" for i in range(-(-keys // 2))]
 
 
 def _bands(spec: Repeats):
-    """Arrow batches of texts to ``set_id, n, bands, found``, equal paragraphs of a batch as one row."""
+    """Arrow batches of texts to ``high, low, n, keys_0.., found``, equal paragraphs of a batch as one row. All are numbers,
+    which Spark adds up in a hash table without sorting: the digest in two halves and the band keys two by two."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = MinHash(spec.bands, spec.seed)
+        names = _packed(spec.bands)
         for batch in batches:
             for part in text_parts(batch, 0):
                 words, _, _, _, first, to = _paragraphs(*buffers(part.column(0)))
                 _, values, bounds = _sets(words, first, to, spec.shingle)
                 ids = _ids(values, bounds)
                 own, found = _once(ids)
-                minima = hashes(values, bounds)[own].astype(np.int64) if len(ids) else np.zeros((0, spec.bands), np.int64)
-                # the number of the band keeps the keys of different bands apart
-                keys = (minima | (np.arange(spec.bands, dtype=np.int64) << np.int64(32))).ravel()
-                made = [
-                    _binary(ids[own]),
-                    pa.array(np.diff(bounds)[own]),
-                    _lists(keys, np.arange(len(own) + 1) * spec.bands),
-                    pa.array(found),
-                ]
-                yield pa.record_batch(made, names=["set_id", "n", "bands", "found"])
+                pairs = np.zeros((len(own), 2 * len(names)), dtype=np.uint32)
+                if len(ids):
+                    pairs[:, : spec.bands] = hashes(values, bounds)[own]
+                halves = ids[own].byteswap().view(np.int64)
+                made = [halves[:, 0], halves[:, 1], np.diff(bounds)[own], *pairs.view(np.int64).T, found]
+                yield pa.record_batch([pa.array(x) for x in made], names=["high", "low", "n", *names, "found"])
 
     return run
 
 
+def _classes(texts: DataFrame, spec: Repeats) -> DataFrame:
+    """``set_id, found, n, bands`` of every distinct set of shingles."""
+    names = _packed(spec.bands)
+    schema = ", ".join(f"{c} long" for c in ("high", "low", "n", *names, "found"))
+    made = texts.mapInArrow(_bands(spec), schema).groupBy("high", "low")
+    made = made.agg(F.sum("found").alias("found"), *[F.min(c).alias(c) for c in ("n", *names)])
+    set_id = F.unhex(F.concat(*[F.lpad(F.hex(c), 16, "0") for c in ("high", "low")])).alias("set_id")
+    # the number of the band keeps the keys of different bands apart
+    keys = [f"(shiftrightunsigned({names[i // 2]}, {32 * (i % 2)}) & {2**32 - 1}L) | {i << 32}L" for i in range(spec.bands)]
+    return made.select(set_id, "found", "n", F.expr(f"array({', '.join(keys)})").alias("bands"))
+
+
 def _shingles(spec: Repeats):
     """Arrow batches of texts to ``set_id, shingles`` of their paragraphs."""
 
@@ -182,16 +203,14 @@ def repeated_passages(
     """
     text = as_text(F.col(text_col)).alias("text")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(as_text(F.col(text_col))).alias("text_hash"), text)
-    made = texts.select("text").mapInArrow(_bands(spec), "set_id binary, n long, bands array<long>, found long")
-    classes = made.groupBy("set_id").agg(F.sum("found").alias("found"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"))
-    classes = written(classes, "paragraphs")
+    classes = written(_classes(texts.select("text"), spec), "paragraphs")
 
     members = shared_bands(classes.drop("found"))
     needed = written(members.select("set_id").distinct(), "needed")
     small = F.broadcast(needed) if needed.count() <= BROADCAST_ROWS else needed
     sets = texts.select("text").mapInArrow(_shingles(spec), "set_id binary, shingles array<long>").join(small, "set_id", "left_semi")
     sets = written(sets.groupBy("set_id").agg(F.any_value("shingles").alias("shingles")), "sets")
-    named = linked_classes(members, sets, spec.percent)
+    named = linked_classes(members, sets, spec.percent, bands=spec.bands)
 
     named = named.withColumnRenamed("node", "set_id")
     named = F.broadcast(named) if named.count() <= BROADCAST_ROWS else named

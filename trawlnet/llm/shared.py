@@ -28,7 +28,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 _MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Lists are collected in a hash table of up to so many keys a task, instead of 128; with more keys they are sorted.
+_PASSING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
+}
 
 
 @contextmanager
@@ -37,17 +41,19 @@ def passing_tables(spark: SparkSession) -> Iterator[list[str]]:
 
     For operators of many steps, which write every step: what the driver has not collected yet would add up on disk.
     """
-    before, made = spark.conf.get(_CLEANUP, None), []
+    before, made = {k: spark.conf.get(k, None) for k in _PASSING}, []
     token = _MADE.set(made)
-    spark.conf.set(_CLEANUP, "true")
+    for k, v in _PASSING.items():
+        spark.conf.set(k, v)
     try:
         yield made
     finally:
         _MADE.reset(token)
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def spent(spark: SparkSession, paths: list[str]) -> None:

@@ -63,26 +63,32 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch(made, names=["doc_id", "text_hash", "low", "found"])
 
 
+def _among(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Which of ``values`` are in ``wanted``, which ascends."""
+    if not len(wanted):
+        return np.zeros(len(values), dtype=bool)
+    return wanted[np.minimum(np.searchsorted(wanted, values), len(wanted) - 1)] == values
+
+
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Arrow batches of ``row, text, lows`` to every stretch with a fingerprint among ``lows``. ``spot`` is twice the place
     of its first word, and one more where the text had the stretch before."""
     for batch in batches:
         for part in text_parts(batch, 1):
             words, bounds, _, lows, inside = _windows(part.column(1))
-            rows, spots, hashes = [], [], []
             full = shingle_hashes(words, WORDS)
-            for i, wanted in enumerate(part.column(2)):
-                a, b = int(bounds[i]), int(bounds[i + 1])
-                wanted = np.asarray(wanted.values.to_numpy(zero_copy_only=False), dtype=np.int64).view(np.uint64)
-                at = a + np.flatnonzero(inside[a:b] & np.isin(lows[a:b], wanted))
-                again = np.ones(len(at), np.int64)
-                again[np.unique(full[at], return_index=True)[1]] = 0
-                rows.append(np.full(len(at), i))
-                spots.append(2 * (at - a) + again)
-                hashes.append(full[at].view(np.int64))
-            own = pa.array(np.concatenate(rows) if rows else [], pa.int64())
-            made = [part.column(0).take(own)]
-            made += [pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (spots, hashes)]
+            # a fingerprint that any text wants is in several, and so every text that has it wants it
+            wanted = np.unique(part.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+            # neighbouring stretches mostly have the same lowest hash
+            heads = np.flatnonzero(np.append(True, lows[1:] != lows[:-1])[: len(lows)])
+            known = _among(lows[heads], wanted)
+            at = np.flatnonzero(inside & np.repeat(known, np.diff(heads, append=len(lows))))
+            texts, hashes = np.searchsorted(bounds, at, side="right") - 1, full[at]
+            order = np.lexsort((hashes, texts))
+            again = np.zeros(len(at), np.int64)
+            again[order[1:]] = (texts[order[1:]] == texts[order[:-1]]) & (hashes[order[1:]] == hashes[order[:-1]])
+            spots = 2 * (at - bounds[texts]) + again
+            made = [part.column(0).take(pa.array(texts, pa.int64())), pa.array(spots, pa.int64()), pa.array(hashes.view(np.int64), pa.int64())]
             yield pa.record_batch(made, names=["row", "spot", "gram"])
 
 
@@ -169,7 +175,7 @@ def _stretches(docs: DataFrame, passages: DataFrame, id_col: str, text_col: str)
     kind = docs.schema[id_col].dataType.simpleString()
     prints = written(named.mapInArrow(_prints, f"doc_id {kind}, text_hash long, low long, found long"), "prints")
     shared = prints.groupBy("low").agg(F.sum("found").alias("n")).where("n > 1").select("low")
-    needed = prints.join(shared, "low").groupBy("doc_id", "text_hash").agg(F.collect_set("low").alias("lows"))
+    needed = prints.join(shared.hint("shuffle_hash"), "low").groupBy("doc_id", "text_hash").agg(F.collect_set("low").alias("lows"))
     # rows ascend as texts do, by id and text, so the lowest row of a stretch has it first
     needed = needed.orderBy(F.col("doc_id").isNull(), "doc_id", "text_hash").withColumn("row", F.monotonically_increasing_id())
     needed = written(needed, "needed-texts")
@@ -178,7 +184,8 @@ def _stretches(docs: DataFrame, passages: DataFrame, id_col: str, text_col: str)
     firsts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("low")).where("n > 1").select("gram", "low")
     firsts = written(firsts, "first-stretches")
     first = (F.col("row") == F.col("low")) & (F.col("spot") % 2 == 0)
-    hits = grams.join(firsts, "gram").select("row", (F.col("spot") - F.col("spot") % 2 + first.cast("long")).cast("int").alias("hit"))
+    # the smaller side is a hash table, so the stretches, most rows of all, are not sorted
+    hits = grams.join(firsts.hint("shuffle_hash"), "gram").select("row", (F.col("spot") - F.col("spot") % 2 + first.cast("long")).cast("int").alias("hit"))
     hits = written(hits.groupBy("row").agg(F.collect_list("hit").alias("hits")), "stretch-hits")
     taken = passages.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "end")).alias("taken"))
     single = texts.dropDuplicates(["row"]).drop("lows")

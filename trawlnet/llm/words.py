@@ -21,7 +21,8 @@ KEEP = np.arange(256, dtype=np.uint8)
 LOWER = KEEP.copy()
 LOWER[ord("A") : ord("Z") + 1] += 32
 
-BLOCK = 1 << 20
+#: Bytes whose running sums are made at once; they fit a core's cache.
+BLOCK = 1 << 16
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _SEED = np.uint64(0xD6E8FEB86659FD93)
 
@@ -81,6 +82,7 @@ def word_spans(raw: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = SPACE) -
 def word_hashes(raw: np.ndarray, begins: np.ndarray, ends: np.ndarray, fold: np.ndarray = LOWER) -> np.ndarray:
     """A 64-bit hash of every word, block by block; ``fold`` maps each byte first."""
     out = np.empty(len(begins), dtype=np.uint64)
+    values = fold.astype(np.uint64) + np.uint64(1)
     at = 0
     while at < len(begins):
         low = int(begins[at])
@@ -88,7 +90,7 @@ def word_hashes(raw: np.ndarray, begins: np.ndarray, ends: np.ndarray, fold: np.
         high = int(ends[to - 1])
         up, down = _tables(high - low + 1)
         sums = np.zeros(high - low + 1, dtype=np.uint64)
-        np.multiply(fold[raw[low:high]].astype(np.uint64) + np.uint64(1), up[: high - low], out=sums[1:])
+        np.multiply(values[raw[low:high]], up[: high - low], out=sums[1:])
         np.cumsum(sums, out=sums)
         a, b = begins[at:to] - low, ends[at:to] - low
         out[at:to] = (sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64) * _SEED
