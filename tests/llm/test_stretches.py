@@ -83,3 +83,49 @@ def test_stretches_of_a_batch_are_those_of_each_text():
                 seen.add(full[at])
     got = [tuple(r.values()) for b in _grams(iter([batch])) for r in b.to_pylist()]
     assert want and any(spot % 2 for _, spot, _ in want) and sorted(got) == sorted(want)
+
+
+def test_neither_all_paragraphs_nor_all_stretches_leave_the_workers(spark, monkeypatch):
+    """What is not repeated was shuffled with its shingles as soon as the repeated sets were too many to broadcast."""
+    from trawlnet.llm import paragraphs, stretches
+
+    tables = {}
+
+    def counted(df, name, write=paragraphs.written):
+        out = write(df, name)
+        tables[name] = out.count()
+        return out
+
+    monkeypatch.setattr(paragraphs, "written", counted)
+    monkeypatch.setattr(stretches, "written", counted)
+    monkeypatch.setattr(paragraphs, "BROADCAST_ROWS", 0)
+    single = [(i, ". ".join(prose(1_000 * i + j, 12) for j in range(40))) for i in range(60)]
+    shared = ". ".join(prose(7 + j, 12) for j in range(6))
+    rows = single + [(100, single[0][1] + ". " + shared), (101, shared)]
+    seen = []
+    monkeypatch.setattr(paragraphs, "_shingles", lambda *a, make=paragraphs._shingles: seen.append(a) or make(*a))
+    got = all_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), id_col="doc_id")
+    assert {r["doc_id"] for r in got.collect()} == {0, 100, 101}
+    assert tables["paragraphs"] > 2_000 and tables["buckets"] < 200 and tables["needed-texts"] < 10
+    ((_, wanted),) = seen
+    assert wanted.value.bits.any()
+
+
+def test_a_pair_that_the_masks_rule_out_is_not_similar():
+    from trawlnet.llm.paragraphs import Repeats, _masks, _sets
+
+    spec = Repeats()
+    base = prose(1, 30).split()
+    texts = [" ".join(base[:i] + ["other"] * k + base[i + k :]) for i in range(0, 28, 3) for k in (0, 1, 2, 6)] + [prose(i, 25) for i in range(9)]
+    words, _, _, _, first, to = _paragraphs(*buffers(pa.array(texts)))
+    _, values, bounds = _sets(words, first, to, spec.shingle)
+    masks = _masks(values, bounds).view("uint64").tolist()
+    sets = [set(values[a:b].tolist()) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    passed = dropped = 0
+    for a, m in zip(sets, masks, strict=True):
+        for b, o in zip(sets, masks, strict=True):
+            most = min(len(a) - (m & ~o).bit_count(), len(b) - (o & ~m).bit_count())
+            likely = 180 * most >= 80 * (len(a) + len(b))
+            assert likely or 100 * len(a & b) < 80 * len(a | b)
+            passed, dropped = passed + likely, dropped + (not likely)
+    assert passed and dropped > passed

@@ -187,20 +187,23 @@ def linked_classes(
 
     ``members`` come from ``shared_bands``, ``sets`` has their ``set_id, shingles``; ``likely`` is a condition on the
     columns ``sketch`` and ``other_<sketch>`` that rules pairs out before their sets are compared; ``bands`` is their
-    number, where each holds keys of its own.
+    number, where each holds keys of its own. Keys with one member are passed over.
 
     A bucket of n classes would have n * (n - 1) / 2 pairs. Instead each class meets the hub of its bucket first. With
-    those links known, pairs inside one component need no comparison. In the second round the classes outside a
-    bucket's largest component meet all classes of other components there, so no link between components is left
-    out; pairs are compared inside the join, sketches before sets, and only links leave it.
+    those links known, pairs inside one component need no comparison. In the second round the hubs are left out, and the
+    classes outside a bucket's largest component meet all classes of other components there, so no link between
+    components is left out; pairs are compared inside the join, sketches before sets, and only links leave it.
     """
 
     hub = F.min(F.struct(F.col("set_id").alias("other"), *[F.col(c).alias(f"other_{c}") for c in ("n", *sketch)]))
-    hubs = members.groupBy("key").agg(hub.alias("hub")).select("key", "hub.*")
-    met = members.join(hubs, "key").where(f"set_id <> other and {_alike(percent)} and {likely}")
+    hubs = members.groupBy("key").agg(hub.alias("hub"), F.count(F.lit(1)).alias("rows")).where("rows > 1").select("key", "hub.*", "rows")
+    around = written(members.join(hubs, "key").where("set_id <> other"), "around-hubs")
+    met = around.where(f"{_alike(percent)} and {likely}")
     links = verified(met.select(F.col("set_id").alias("a"), F.col("other").alias("b")), sets, percent)
     named = written(components(links), "components")
-    split = written(_split_buckets(members, named).join(sets, "set_id"), "split-buckets")
+    # every pair with a hub has been compared
+    others = around.where("rows > 2").select(*members.columns)
+    split = written(_split_buckets(others, named).join(sets, "set_id"), "split-buckets")
     theirs = [F.col(c).alias(f"other_{c}") for c in ("n", *sketch, "component", "bands", "shingles")]
     rest = split.select("key", F.col("set_id").alias("other"), *theirs)
     # minority rows of a bucket meet all its rows, two minority rows once, and a pair in the first band that it shares

@@ -7,11 +7,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from trawlnet.llm.near_dup import linked_classes, shared_bands, text_parts
+from trawlnet.llm.near_dup import linked_classes, text_parts
+from trawlnet.llm.packed import marked, unpacked
 from trawlnet.llm.shared import as_text, written
 from trawlnet.llm.words import MinHash, buffers, mix, shingle_hashes, word_hashes, word_spans
 
@@ -32,6 +34,12 @@ class Repeats:
     least_words: int = 30
     seed: int = 77
 
+    def likely(self) -> str:
+        """A SQL condition on ``n``, ``mask`` and those of the other set that every similar pair meets: a set lacks at
+        least as many shingles of the other one as bits of its mask, so that bounds what both hold."""
+        both = (f"{a}n - bit_count({a}mask & ~{b}mask)" for a, b in (("", "other_"), ("other_", "")))
+        return " and ".join(f"{100 + self.percent} * ({most}) >= {self.percent} * (n + other_n)" for most in both)
+
 
 _PLUS, _FLIP = np.uint64(0x8EBC6AF09C88C6E3), np.uint64(0x589965CC75374CC3)
 _END = np.zeros(256, dtype=bool)
@@ -106,13 +114,20 @@ def _once(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order[at], np.diff(at, append=len(ids))
 
 
+def _masks(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """64 bits for each set, one of them for each shingle."""
+    if len(bounds) == 1:
+        return np.zeros(0, dtype=np.int64)
+    return np.bitwise_or.reduceat(np.uint64(1) << (values >> np.uint64(58)), bounds[:-1]).view(np.int64)
+
+
 def _packed(keys: int) -> list[str]:
     """Columns with two band keys of 32 bits each."""
     return [f"keys_{i}" for i in range(-(-keys // 2))]
 
 
 def _bands(spec: Repeats):
-    """Arrow batches of texts to ``high, low, n, keys_0.., found``, equal paragraphs of a batch as one row. All are numbers,
+    """Arrow batches of texts to ``high, low, n, mask, keys_0.., found``, equal paragraphs of a batch as one row. All are numbers,
     which Spark adds up in a hash table without sorting: the digest in two halves and the band keys two by two."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,39 +143,75 @@ def _bands(spec: Repeats):
                 if len(ids):
                     pairs[:, : spec.bands] = hashes(values, bounds)[own]
                 halves = ids[own].byteswap().view(np.int64)
-                made = [halves[:, 0], halves[:, 1], np.diff(bounds)[own], *pairs.view(np.int64).T, found]
-                yield pa.record_batch([pa.array(x) for x in made], names=["high", "low", "n", *names, "found"])
+                made = [halves[:, 0], halves[:, 1], np.diff(bounds)[own], _masks(values, bounds)[own], *pairs.view(np.int64).T, found]
+                yield pa.record_batch([pa.array(x) for x in made], names=["high", "low", "n", "mask", *names, "found"])
 
     return run
 
 
 def _classes(texts: DataFrame, spec: Repeats) -> DataFrame:
-    """``set_id, found, n, bands`` of every distinct set of shingles."""
+    """``set_id, found, n, mask, bands`` of every distinct set of shingles."""
     names = _packed(spec.bands)
-    schema = ", ".join(f"{c} long" for c in ("high", "low", "n", *names, "found"))
+    schema = ", ".join(f"{c} long" for c in ("high", "low", "n", "mask", *names, "found"))
     made = texts.mapInArrow(_bands(spec), schema).groupBy("high", "low")
-    made = made.agg(F.sum("found").alias("found"), *[F.min(c).alias(c) for c in ("n", *names)])
+    made = made.agg(F.sum("found").alias("found"), *[F.min(c).alias(c) for c in ("n", "mask", *names)])
     set_id = F.unhex(F.concat(*[F.lpad(F.hex(c), 16, "0") for c in ("high", "low")])).alias("set_id")
     # the number of the band keeps the keys of different bands apart
     keys = [f"(shiftrightunsigned({names[i // 2]}, {32 * (i % 2)}) & {2**32 - 1}L) | {i << 32}L" for i in range(spec.bands)]
-    return made.select(set_id, "found", "n", F.expr(f"array({', '.join(keys)})").alias("bands"))
+    return made.select(set_id, "found", "n", "mask", F.expr(f"array({', '.join(keys)})").alias("bands"))
+
 
+def _band_hashes(bands: pa.Array) -> np.ndarray:
+    return mix(bands.flatten().to_numpy().view(np.uint64))
 
-def _shingles(spec: Repeats):
-    """Arrow batches of texts to ``set_id, shingles`` of their paragraphs."""
+
+def _set_hashes(ids: pa.Array) -> np.ndarray:
+    """The first half of each digest, as in ``_ids``."""
+    return unpacked(ids, np.uint64)[::2]
+
+
+def _buckets(classes: DataFrame, spec: Repeats) -> DataFrame:
+    """``set_id, n, mask, bands, band, key``: a row for each class and band that it shares with another class, and few others.
+
+    Most keys of bands occur once, so they are counted alone, and the classes need no shuffle.
+    """
+    marks = marked(classes.select("bands"), _band_hashes, classes.count() * spec.bands, least=2)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bands = batch.column(3)
+            at = np.flatnonzero(marks.value.have(_band_hashes(bands)))
+            rows = batch.take(pa.array(at // spec.bands))
+            made = [*rows.columns, pa.array((at % spec.bands).astype(np.int32)), bands.flatten().take(pa.array(at))]
+            yield pa.record_batch(made, names=["set_id", "n", "mask", "bands", "band", "key"])
+
+    schema = "set_id binary, n long, mask long, bands array<long>, band int, key long"
+    rows = classes.select("set_id", "n", "mask", "bands").mapInArrow(run, schema)
+    rows = written(rows, "buckets")
+    marks.unpersist()
+    return rows
+
+
+def _shingles(spec: Repeats, wanted: Broadcast):
+    """Arrow batches of texts to ``set_id, shingles`` of the paragraphs whose set is ``wanted``, and few others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_parts(batch, 0):
                 words, _, _, _, first, to = _paragraphs(*buffers(part.column(0)))
                 _, values, bounds = _sets(words, first, to, spec.shingle)
-                yield pa.record_batch([_binary(_ids(values, bounds)), _lists(values, bounds)], names=["set_id", "shingles"])
+                ids = _ids(values, bounds)
+                own = wanted.value.have(ids[:, 0])
+                sizes = np.diff(bounds)
+                bounds = np.concatenate([[0], np.cumsum(sizes[own])])
+                yield pa.record_batch([_binary(ids[own]), _lists(values[np.repeat(own, sizes)], bounds)], names=["set_id", "shingles"])
 
     return run
 
 
-def _places(spec: Repeats):
-    """Arrow batches of ``doc_id, text_hash, text`` to a row for each paragraph: ``at`` counts those that count."""
+def _places(spec: Repeats, wanted: Broadcast):
+    """Arrow batches of ``doc_id, text_hash, text`` to a row for each paragraph whose set is ``wanted``, and few others:
+    ``at`` counts all that count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,10 +219,12 @@ def _places(spec: Repeats):
                 raw, offsets = buffers(part.column(2))
                 words, begins, ends, texts, first, to = _paragraphs(raw, offsets)
                 long, values, bounds = _sets(words, first, to, spec.shingle)
-                own = texts[long]
+                ids, own = _ids(values, bounds), texts[long]
+                at = np.arange(len(own)) - np.searchsorted(own, own)
+                keep = wanted.value.have(ids[:, 0])
+                long, own, at = long[keep], own[keep], at[keep]
                 chars = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
                 base = chars[offsets[own]]
-                at = np.arange(len(own)) - np.searchsorted(own, own)
                 made = [
                     part.column(0).take(pa.array(own)),
                     part.column(1).take(pa.array(own)),
@@ -179,7 +232,7 @@ def _places(spec: Repeats):
                     pa.array(chars[begins[first[long]]] - base),
                     pa.array(chars[ends[to[long] - 1]] - base),
                     pa.array(to[long] - first[long]),
-                    _binary(_ids(values, bounds)),
+                    _binary(ids[keep]),
                 ]
                 yield pa.record_batch(made, names=["doc_id", "text_hash", "at", "start", "end", "words", "set_id"])
 
@@ -205,29 +258,31 @@ def repeated_passages(
     texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(as_text(F.col(text_col))).alias("text_hash"), text)
     classes = written(_classes(texts.select("text"), spec), "paragraphs")
 
-    members = shared_bands(classes.drop("found"))
-    needed = written(members.select("set_id").distinct(), "needed")
-    small = F.broadcast(needed) if needed.count() <= BROADCAST_ROWS else needed
-    sets = texts.select("text").mapInArrow(_shingles(spec), "set_id binary, shingles array<long>").join(small, "set_id", "left_semi")
+    members = _buckets(classes, spec)
+    wanted = marked(members.select("set_id"), _set_hashes, members.count())
+    sets = texts.select("text").mapInArrow(_shingles(spec, wanted), "set_id binary, shingles array<long>")
     sets = written(sets.groupBy("set_id").agg(F.any_value("shingles").alias("shingles")), "sets")
-    named = linked_classes(members, sets, spec.percent, bands=spec.bands)
+    wanted.unpersist()
+    named = linked_classes(members, sets, spec.percent, spec.likely(), ("mask",), bands=spec.bands)
 
     named = named.withColumnRenamed("node", "set_id")
     named = F.broadcast(named) if named.count() <= BROADCAST_ROWS else named
     repeated = classes.select("set_id", "found").join(named, "set_id", "left")
     repeated = repeated.where("found > 1 or component is not null").select("set_id", F.coalesce("component", "set_id").alias("component"))
     repeated = written(repeated, "repeated")
-    if repeated.count() <= BROADCAST_ROWS:
+    among = marked(repeated.select("set_id"), _set_hashes, many := repeated.count())
+    if many <= BROADCAST_ROWS:
         repeated = F.broadcast(repeated)
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"doc_id {kind}, text_hash long, at long, start long, end long, words long, set_id binary"
-    found = texts.mapInArrow(_places(spec), schema).join(repeated, "set_id").drop("set_id")
+    found = texts.mapInArrow(_places(spec, among), schema).join(repeated, "set_id").drop("set_id")
     found = found.withColumn("doc", F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash"))
     one = Window.partitionBy("doc_id", "text_hash").orderBy("at")
     found = found.withColumn("again", F.lag("at").over(one) == F.col("at")).where("again is null or not again").drop("again")
     # the pair with the paragraph before, where that one is repeated too
     pair = F.when(F.lag("at").over(one) == F.col("at") - 1, F.xxhash64(F.lag("component").over(one), "component"))
     found = written(found.withColumn("pair", pair), "repeated-places")
+    among.unpersist()
     pairs = found.where("pair is not null").groupBy("pair").count().where("count > 1").select("pair", F.lit(True).alias("joined"))
     firsts = found.groupBy("component").agg(F.min(F.struct("doc", "at")).alias("first"))
     # rows without a pair, a fifth of them or more, would meet in one task: each is joined by its own place instead

@@ -6,13 +6,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from trawlnet.llm.near_dup import text_parts
+from trawlnet.llm.packed import dealt, marked, met, parts_of
 from trawlnet.llm.paragraphs import Repeats, repeated_passages
 from trawlnet.llm.shared import as_text, passing_tables, spent, written
-from trawlnet.llm.words import buffers, shingle_hashes, word_hashes, word_spans
+from trawlnet.llm.words import buffers, mix, shingle_hashes, word_hashes, word_spans
 
 #: Words of a stretch; candidates share the lowest hash among its runs of ``GRAM`` words.
 WORDS, GRAM = 50, 25
@@ -43,7 +46,7 @@ def _windows(column: pa.Array) -> tuple[np.ndarray, ...]:
 
 
 def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Arrow batches of ``doc_id, text_hash, text`` to each text's fingerprints and how often it has them."""
+    """Arrow batches of ``doc_id, text_hash, text`` to each text's fingerprints, as often as it has them."""
     for batch in batches:
         for part in text_parts(batch, 2):
             _, bounds, grams, lows, inside = _windows(part.column(2))
@@ -52,15 +55,29 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             best = _sliding(np.concatenate([pad, np.where(inside, lows, _ZERO), pad]), WORDS - GRAM + 1, np.maximum) if len(lows) else grams
             at = np.flatnonzero((grams == best) & (best > _ZERO))
             texts, prints = np.searchsorted(bounds, at, side="right") - 1, grams[at].view(np.int64)
-            order = np.lexsort((prints, texts))
-            texts, prints = texts[order], prints[order]
-            new = np.ones(len(at), dtype=bool)
-            new[1:] = (texts[1:] != texts[:-1]) | (prints[1:] != prints[:-1])
-            first = np.flatnonzero(new)
-            own = pa.array(texts[first], pa.int64())
-            found = np.diff(first, append=len(at))
-            made = [part.column(0).take(own), part.column(1).take(own), pa.array(prints[first], pa.int64()), pa.array(found, pa.int64())]
-            yield pa.record_batch(made, names=["doc_id", "text_hash", "low", "found"])
+            bounds = np.searchsorted(texts, np.arange(part.num_rows + 1)).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(prints, pa.int64()))
+            yield pa.record_batch([part.column(0), part.column(1), lists], names=["doc_id", "text_hash", "lows"])
+
+
+def _list_hashes(column: pa.Array) -> np.ndarray:
+    return mix(column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+
+
+def _shared(marks: Broadcast):
+    """Arrow batches of ``doc_id, text_hash, lows`` to the texts with a marked fingerprint, and their marked ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.flatnonzero(marks.value.have(_list_hashes(batch.column(2))))
+            own, lows = _lists(batch.column(2))
+            rows, sizes = np.unique(own[at], return_counts=True)
+            bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(bounds), lows.take(pa.array(at)))
+            rows = pa.array(rows, pa.int64())
+            yield pa.record_batch([batch.column(0).take(rows), batch.column(1).take(rows), lists], names=["doc_id", "text_hash", "lows"])
+
+    return run
 
 
 def _among(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -92,6 +109,46 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch(made, names=["row", "spot", "gram"])
 
 
+def _dealt_grams(parts: int):
+    """Arrow batches of ``row, text, lows`` to packed stretches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = ([batch.column(c).to_numpy() for c in ("gram", "row", "spot")] for batch in _grams(batches))
+        blocks = ((mix(gram.view(np.uint64)), (gram, row, spot.astype(np.int32))) for gram, row, spot in made)
+        return dealt(blocks, parts, ["gram", "row", "spot"])
+
+    return run
+
+
+def _hits(parts: int):
+    """Packed stretches of a part to packed hits of those that are repeated; see ``_pieces``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams, rows, spots = met(batches, {"gram": np.int64, "row": np.int64, "spot": np.int32})
+        order = np.argsort(grams)
+        grams, rows, spots = grams[order], rows[order], spots[order]
+        heads = np.flatnonzero(np.append(True, grams[1:] != grams[:-1])[: len(grams)])
+        sizes = np.diff(heads, append=len(grams))
+        lowest = np.minimum.reduceat(rows, heads) if len(heads) else rows
+        first = (rows == np.repeat(lowest, sizes)) & (spots % 2 == 0)
+        again = np.repeat(sizes > 1, sizes)
+        hits = (spots - spots % 2 + first)[again].astype(np.int32)
+        rows = rows[again]
+        return dealt(iter([(mix(rows.view(np.uint64)), (rows, hits))]) if len(rows) else iter([]), parts, ["row", "hit"])
+
+    return run
+
+
+def _hits_of_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed hits of a part to ``row, hits``."""
+    rows, hits = met(batches, {"row": np.int64, "hit": np.int32})
+    order = np.argsort(rows, kind="stable")
+    rows = rows[order]
+    heads = np.flatnonzero(np.append(True, rows[1:] != rows[:-1])[: len(rows)])
+    bounds = np.append(heads, len(rows)).astype(np.int32)
+    yield pa.record_batch([pa.array(rows[heads]), pa.ListArray.from_arrays(pa.array(bounds), pa.array(hits[order]))], names=["row", "hits"])
+
+
 def _cover(begins: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
     """Which of ``n`` words lie between any ``begins`` and its ``ends``."""
     steps = np.bincount(begins, minlength=n + 1) - np.bincount(ends, minlength=n + 1)
@@ -173,21 +230,25 @@ def _stretches(docs: DataFrame, passages: DataFrame, id_col: str, text_col: str)
     """The rows of ``all_passages`` that are not in ``passages``."""
     named = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(as_text(F.col(text_col))).alias("text_hash"), as_text(F.col(text_col)).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    prints = written(named.mapInArrow(_prints, f"doc_id {kind}, text_hash long, low long, found long"), "prints")
-    shared = prints.groupBy("low").agg(F.sum("found").alias("n")).where("n > 1").select("low")
-    needed = prints.join(shared.hint("shuffle_hash"), "low").groupBy("doc_id", "text_hash").agg(F.collect_set("low").alias("lows"))
+    schema = f"doc_id {kind}, text_hash long, lows array<long>"
+    prints = written(named.mapInArrow(_prints, schema), "prints")
+    many = prints.agg(F.sum(F.size("lows"))).first()[0] or 0
+    marks = marked(prints.select("lows"), _list_hashes, many, least=2)
+    # a fingerprint that is marked by chance costs its stretches, which are not repeated
+    needed = prints.mapInArrow(_shared(marks), schema).dropDuplicates(["doc_id", "text_hash"])
     # rows ascend as texts do, by id and text, so the lowest row of a stretch has it first
     needed = needed.orderBy(F.col("doc_id").isNull(), "doc_id", "text_hash").withColumn("row", F.monotonically_increasing_id())
     needed = written(needed, "needed-texts")
+    marks.unpersist()
     texts = written(_of_doc(named, needed, "inner").select("row", "doc_id", "text_hash", "text", "lows"), "stretch-texts")
-    grams = written(texts.select("row", "text", "lows").mapInArrow(_grams, "row long, spot long, gram long"), "stretches")
-    firsts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("low")).where("n > 1").select("gram", "low")
-    firsts = written(firsts, "first-stretches")
-    first = (F.col("row") == F.col("low")) & (F.col("spot") % 2 == 0)
-    # the smaller side is a hash table, so the stretches, most rows of all, are not sorted
-    hits = grams.join(firsts.hint("shuffle_hash"), "gram").select("row", (F.col("spot") - F.col("spot") % 2 + first.cast("long")).cast("int").alias("hit"))
-    hits = written(hits.groupBy("row").agg(F.collect_list("hit").alias("hits")), "stretch-hits")
+    # a fingerprint is the lowest hash of 26 stretches at most, of 6 on the given texts
+    parts = parts_of((texts.agg(F.sum(F.size("lows"))).first()[0] or 0) * 8)
+    grams = texts.select("row", "text", "lows").mapInArrow(_dealt_grams(parts), "part int, gram binary, row binary, spot binary")
+    hits = grams.repartitionById(parts, "part").mapInArrow(_hits(parts), "part int, row binary, hit binary")
+    hits = written(hits.repartitionById(parts, "part").mapInArrow(_hits_of_rows, "row long, hits array<int>"), "stretch-hits")
     taken = passages.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "end")).alias("taken"))
-    single = texts.dropDuplicates(["row"]).drop("lows")
-    joined = _of_doc(single.join(hits, "row"), taken, "left").select("doc_id", "text", "hits", "taken")
+    known = _of_doc(needed.drop("lows").join(hits, "row"), taken, "left").select("row", "hits", "taken")
+    # of rows that repeat id and text one is looked at; texts are dealt out once, by row
+    single = texts.withColumn("again", F.lag(F.lit(1)).over(Window.partitionBy("row").orderBy("row"))).where("again is null")
+    joined = single.join(known, "row").select("doc_id", "text", "hits", "taken")
     return joined.mapInArrow(_pieces, f"doc_id {kind}, start long, end long, n_words long, component string, removed boolean")
